@@ -210,9 +210,9 @@ def binned_people(cohort: ScoredCohort) -> DataFrame:
     )
 
 
-def standardised_scores(cohort: ScoredCohort) -> DataFrame:
+def standardised_scores(cohort: ScoredCohort, rows_per_key: int = ROWS_PER_KEY) -> DataFrame:
     """People with z, percentile, quintile and decile."""
-    return _lookup_by_score(binned_people(cohort), _ranks(cohort), cohort.people.rows)
+    return _lookup_by_score(binned_people(cohort), _ranks(cohort), cohort.people.rows, rows_per_key)
 
 
 def _ranks(cohort: ScoredCohort) -> DataFrame:
@@ -221,14 +221,14 @@ def _ranks(cohort: ScoredCohort) -> DataFrame:
     )
 
 
-def _lookup_by_score(people: DataFrame, ranks: DataFrame, n_people: int) -> DataFrame:
+def _lookup_by_score(people: DataFrame, ranks: DataFrame, n_people: int, rows_per_key: int) -> DataFrame:
     """Give each person the rank of their score, however many share one score.
 
     Scores shared by more than ``limit`` people are split: their rank row is
     repeated and their people are dealt out by id. At most n_people / limit
     scores can be that common, which bounds the broadcast list of them.
     """
-    limit = max(ROWS_PER_KEY, math.ceil(n_people / MAX_HOT_KEYS))
+    limit = max(rows_per_key, math.ceil(n_people / MAX_HOT_KEYS))
     if n_people <= limit:
         return people.join(ranks.drop("n_tied"), ["prs_id", "score"])
     parts = F.ceil(F.col("n_tied") / limit).cast("int")
