@@ -99,15 +99,21 @@ class Study:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def base(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     def table(self, name: str) -> DataFrame:
-        tables = [f"{b} as (select * from parquet.`{self.sf_dir}/{b}.parquet`)" for b in BASE]
-        used = needed_views(VIEWS[name], VIEWS)
-        tables += [f"{v} as ({VIEWS[v]})" for v in used]
-        return self.spark.sql(f"with {', '.join(tables)} {VIEWS[name]}")
+        if name not in self._tables:
+            views = needed_views(VIEWS[name], VIEWS)
+            text = " ".join([VIEWS[name], *[VIEWS[v] for v in views]])
+            given = {b: self.base(b) for b in BASE if re.search(rf"\b{b}\b", text)}
+            steps = [f"{b} as (select * from {{{b}}})" for b in given] + [f"{v} as ({VIEWS[v]})" for v in views]
+            self._tables[name] = self.spark.sql(f"with {', '.join(steps)} {VIEWS[name]}", **given)
+        return self._tables[name]
 
     def variants(self) -> DataFrame:
         return self.table("variants").select(

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.operators.genotypes import Genotypes, SparseGenotypes
-from riskloom.operators.phenotype import split_by_status
 from riskloom.schema import EmptyInputError, require_schema
 from riskloom.sources.stored import store
 
@@ -15,7 +14,7 @@ def eligible_persons(person: DataFrame, search_person: DataFrame) -> DataFrame:
     """Persons flagged as having both health records and whole-genome data, as ``s``."""
     has_both = search_person.where(
         (F.col("has_ehr_data") == 1) & (F.col("has_whole_genome_variant") == 1)
-    ).select("person_id")
+    ).select("person_id").distinct()
     return person.join(has_both, "person_id", "left_semi").select(
         F.col("person_id").cast("string").alias("s")
     )
@@ -28,7 +27,7 @@ def exclude_flagged(
     if flagged is None:
         return samples
     require_schema(flagged, {id_column: None}, "exclusion list")
-    ids = flagged.select(F.col(id_column).cast("string").alias("s"))
+    ids = flagged.select(F.col(id_column).cast("string").alias("s")).distinct()
     return samples.join(ids, "s", "left_anti")
 
 
@@ -41,26 +40,24 @@ def stratified_sample(
     prefixes of that hash shows which of them lie wholly inside the sample, so
     only the chosen people and those sharing the last prefix are ever sorted.
     """
-    strata = [
-        _first_by_hash(part, n, seed) for part, n in zip(split_by_status(labelled), (n_cases, n_controls))
-    ]
-    return strata[0].unionByName(strata[1]).dropDuplicates(["s"])
-
-
-def _first_by_hash(people: DataFrame, n: int, seed: int) -> DataFrame:
-    keyed = people.withColumn("_key", F.md5(F.concat(F.lit(f"{seed}:"), "s"))).withColumn(
+    wanted = F.when(F.col("phenotype_status") == 1, n_cases).otherwise(n_controls)
+    keyed = labelled.withColumn("_key", F.md5(F.concat(F.lit(f"{seed}:"), "s"))).withColumn(
         "_prefix", F.substring("_key", 1, 3)
     )
-    sizes = keyed.groupBy("_prefix").agg(F.count(F.lit(1)).alias("_size"))
-    # Window over at most 4,096 rows; the broadcast below has the same bound.
-    before = F.sum("_size").over(Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1))
-    reached = sizes.select("_prefix", F.coalesce(before, F.lit(0)).alias("_before")).where(F.col("_before") < n)
-    place = F.row_number().over(Window.partitionBy("_prefix").orderBy("_key", "s"))
+    stratum = ["phenotype_status", "_prefix"]
+    sizes = keyed.groupBy(*stratum).agg(F.count(F.lit(1)).alias("_size"))
+    # At most 4,096 rows per stratum, here and in the broadcast.
+    earlier = Window.partitionBy("phenotype_status").orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
+    reached = sizes.select(*stratum, F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before")).where(
+        F.col("_before") < wanted
+    )
+    place = F.row_number().over(Window.partitionBy(*stratum).orderBy("_key", "s"))
     return (
-        keyed.join(F.broadcast(reached), "_prefix")
+        keyed.join(F.broadcast(reached), stratum)
         .withColumn("_place", place)
-        .where(F.col("_before") + F.col("_place") <= n)
-        .select(*people.columns)
+        .where(F.col("_before") + F.col("_place") <= wanted)
+        .select(*labelled.columns)
+        .dropDuplicates(["s"])
     )
 
 

@@ -34,7 +34,8 @@ class ScoredCohort:
     """Scores with labels, written once and measured.
 
     people:  prs_id, s, score, status, variant_count, normalized_score
-    profile: prs_id, score, n, n_cases, n_upto, cases_upto
+    profile: prs_id, score, n, n_cases, n_upto, cases_upto (people and cases at
+             that score, and at or below it), n_upto_of_all, cases_upto_of_all
     models:  one row per model: n, n_cases, mean, std, min, max, n_distinct,
              q (21 quantiles), degenerate, has_quantiles
     """
@@ -101,7 +102,7 @@ def _model_statistics(people: Stored, profile: Stored) -> DataFrame:
         F.max("score").alias("max"),
     )
     distinct = profile.df.groupBy("prs_id").agg(F.count(F.lit(1)).alias("n_distinct"))
-    quantiles = exact_quantiles(profile.df, moments.select("prs_id", F.col("n").alias("n_total")))
+    quantiles = exact_quantiles(profile.df)
     degenerate = (
         F.col("std").isNull() | F.isnan("std") | (F.col("std") == 0) | (F.col("n_distinct") < MIN_DISTINCT)
     )
@@ -119,15 +120,20 @@ def _model_statistics(people: Stored, profile: Stored) -> DataFrame:
     )
 
 
-def exact_quantiles(profile: DataFrame, totals: DataFrame) -> DataFrame:
+def exact_quantiles(profile: DataFrame) -> DataFrame:
     """Linearly interpolated quantiles at 0, 1/20 .. 1 per model, as the array ``q``.
 
     Quantile k/20 lies at index k(n-1)/20 of the sorted scores, between two
     neighbours. A profile row holds the indices n_upto - n .. n_upto - 1, so
     each of the 42 wanted indices is read off without sorting or collecting.
-    ``totals``: prs_id, n_total - one row per model.
     """
-    last = F.col("n_total") - 1
+    last = F.col("n_upto_of_all") - 1
+    first, end = F.col("n_upto") - F.col("n"), F.col("n_upto")
+    # Plain arithmetic drops the rows without any wanted index: k(n-1)/20 or its
+    # upper neighbour falls into [first, end) only for a k between these two.
+    least_k = F.ceil(F.greatest(first - 1, F.lit(0)) * TWENTIETHS / F.greatest(last, F.lit(1)))
+    most_k = F.floor((end * TWENTIETHS - 1) / F.greatest(last, F.lit(1)))
+    candidate = (last < 1) | (F.least(most_k, F.lit(TWENTIETHS)) >= least_k)
 
     def wanted(side: int) -> Column:
         return F.transform(
@@ -141,13 +147,12 @@ def exact_quantiles(profile: DataFrame, totals: DataFrame) -> DataFrame:
         )
 
     held = (
-        profile.join(totals, "prs_id")
+        profile.where(candidate)
         .select(
             "prs_id",
             "score",
             F.filter(
-                F.concat(wanted(0), wanted(1)),
-                lambda w: (w["index"] >= F.col("n_upto") - F.col("n")) & (w["index"] < F.col("n_upto")),
+                F.concat(wanted(0), wanted(1)), lambda w: (w["index"] >= first) & (w["index"] < end)
             ).alias("hits"),
         )
         .where(F.size("hits") > 0)

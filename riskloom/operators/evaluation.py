@@ -11,6 +11,8 @@ from riskloom.operators.logistic import odds_ratio_per_sd
 
 # Fewer people than this have no meaningful 5 % tails.
 MIN_FOR_TAILS = 40
+# Tables with the same margins are listed in runs of this length.
+SUPPORT_RUN = 100_000
 
 
 def _two_classes() -> Column:
@@ -167,9 +169,14 @@ def fisher_exact(tables: DataFrame, key: str = "prs_id") -> DataFrame:
     )
     least = F.greatest(F.lit(0.0), row + col - total).cast("long")
     most = F.least(row, col).cast("long")
-    support = margins.withColumn("_log_seen", log_p(F.col("_seen"))).withColumn(
-        "_x", F.explode(F.sequence(least, most))
+    runs = margins.select(
+        "*",
+        log_p(F.col("_seen")).alias("_log_seen"),
+        most.alias("_most"),
+        F.explode(F.sequence(least, most, F.lit(SUPPORT_RUN))).alias("_from"),
     )
+    run_end = F.least(F.col("_from") + (SUPPORT_RUN - 1), F.col("_most"))
+    support = runs.withColumn("_x", F.explode(F.sequence("_from", run_end)))
     lp = log_p(F.col("_x").cast("double"))
     return support.groupBy(key).agg(
         F.first("odds_ratio").alias("odds_ratio"),

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.numeric import sigmoid
 from riskloom.operators.distribution import ScoredCohort, z_score
-from riskloom.sources.stored import Stored, store
+from riskloom.sources.stored import BROADCAST_ROWS, store
 
-MAX_STEPS = 50
+MAX_ROUNDS = 20
+# Newton steps per Spark job; the change is looked at between jobs.
+STEPS_PER_ROUND = 3
 TOLERANCE = 1e-10
 # Longest Newton step per coefficient; only reached far from the optimum.
 LONGEST_STEP = 2.0
@@ -34,20 +34,22 @@ def odds_ratio_per_sd(cohort: ScoredCohort) -> DataFrame:
         F.lit(0.0).alias("intercept"),
         F.lit(0.0).alias("slope"),
     )
-    state = store(start, "logistic_start")
-    for _ in range(MAX_STEPS):
-        state = store(_newton_step(cohort, state), "logistic_step", change=F.max("_change"))
-        change = state.figures["change"]
+    state = start
+    for _ in range(MAX_ROUNDS):
+        for _ in range(STEPS_PER_ROUND):
+            state = _newton_step(cohort, state)
+        written = store(state, "logistic_state", change=F.max("_change"))
+        state, change = written.df, written.figures["change"]
         if change is None or change < TOLERANCE:
-            break
-    else:
-        raise RuntimeError(f"logistic fit still moves by {change} after {MAX_STEPS} steps")
-    return state.df.select("prs_id", F.exp("slope").alias("or_per_sd"))
+            return state.select("prs_id", F.exp("slope").alias("or_per_sd"))
+    raise RuntimeError(f"logistic fit still moves by {change} after {MAX_ROUNDS * STEPS_PER_ROUND} steps")
 
 
-def _newton_step(cohort: ScoredCohort, state: Stored) -> DataFrame:
+def _newton_step(cohort: ScoredCohort, state: DataFrame) -> DataFrame:
     keep = ["mean", "std", "degenerate", "case_weight", "control_weight", "intercept", "slope"]
-    known = state.join_side().select("prs_id", *keep)
+    known = state.select("prs_id", *keep)
+    if cohort.models.rows <= BROADCAST_ROWS:  # the state has no more rows than there are models
+        known = F.broadcast(known)
     controls = F.col("n") - F.col("n_cases")
     rows = (
         cohort.profile.df.join(known, "prs_id")

@@ -55,12 +55,15 @@ def phecode_case_counts(
 
 
 def _marks(cohort: DataFrame, counts: DataFrame, min_count: int) -> DataFrame:
-    """One row per cohort member and phecode they have at all."""
+    """One row per cohort member and phecode they have at all.
+
+    Summed before the join, after which no person has more rows than phecodes.
+    """
     return (
         counts.where(F.col("n") > 0)
-        .join(cohort.select("person_id"), "person_id", "left_semi")
         .groupBy("person_id", "phecode")
         .agg((F.sum("n") >= min_count).alias("is_case"))
+        .join(cohort.select("person_id"), "person_id", "left_semi")
     )
 
 

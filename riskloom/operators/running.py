@@ -24,6 +24,8 @@ def running(
 ) -> DataFrame:
     """Add inclusive running aggregates, ``{new column: ("sum" | "max", column)}``.
 
+    The whole group's aggregate comes along as ``<new column>_of_all``.
+
     Rows must be unique on (by, order): pre-aggregate first, so that a hot
     value is one row and any slice can be cut down to size.
     """
@@ -34,6 +36,7 @@ def running(
     within = Window.partitionBy(*by, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     # One row per (group, slice): at most the number of partitions per group.
     earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    everywhere = Window.partitionBy(*by)
 
     local = cut
     slice_totals = []
@@ -43,6 +46,7 @@ def running(
         local = local.withColumn(f"_local_{name}", agg(column).over(within))
         slice_totals.append(agg(column).alias(f"_total_{name}"))
         carried.append(agg(f"_total_{name}").over(earlier).alias(f"_carry_{name}"))
+        carried.append(agg(f"_total_{name}").over(everywhere).alias(f"{name}_of_all"))
     carry = cut.groupBy(*by, "_slice").agg(*slice_totals).select(*by, "_slice", *carried)
 
     # Keys equal the window's partitioning, so the large side is not shuffled again.
@@ -51,4 +55,4 @@ def running(
         _COMBINE[kind][1](F.col(f"_carry_{name}"), F.col(f"_local_{name}")).alias(name)
         for name, (kind, _) in totals.items()
     ]
-    return joined.select(*df.columns, *results)
+    return joined.select(*df.columns, *results, *[f"{name}_of_all" for name in totals])

@@ -16,22 +16,31 @@ from riskloom.sources.readers import read_scoring_file
 from riskloom.sources.stored import Stored, store
 
 
+# Scoring files read by one job; keeps the plan short for thousands of models.
+MODELS_PER_JOB = 100
+
+
 def load_weights(spark: SparkSession, manifest: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(clean weights of all readable models, one row per model that could not be read).
 
     The manifest is the run's configuration: a short list, read on the driver.
     A model whose file is missing or lacks a field does not stop the others.
     """
-    parts, failed = [], []
-    for model in manifest.select("id", "url").collect():
-        try:
-            raw = read_scoring_file(spark, model["url"]).withColumn("prs_id", F.lit(model["id"]))
-            parts.append(clean_weights(raw, ["prs_id"]))
-        except (PySparkException, ValueError) as e:
-            failed.append((model["id"], str(e).splitlines()[0]))
-    if not parts:
+    models = manifest.select("id", "url").collect()
+    written, failed = [], []
+    for start in range(0, len(models), MODELS_PER_JOB):
+        parts = []
+        for model in models[start : start + MODELS_PER_JOB]:
+            try:
+                raw = read_scoring_file(spark, model["url"]).withColumn("prs_id", F.lit(model["id"]))
+                parts.append(clean_weights(raw, ["prs_id"]))
+            except (PySparkException, ValueError) as e:
+                failed.append((model["id"], str(e).splitlines()[0]))
+        if parts:
+            written.append(store(reduce(DataFrame.unionByName, parts), "weights").df)
+    if not written:
         raise EmptyInputError(f"no scoring file could be read: {failed}")
-    weights = one_weight_per_locus(reduce(DataFrame.unionByName, parts), ["prs_id"])
+    weights = one_weight_per_locus(reduce(DataFrame.unionByName, written), ["prs_id"])
     return weights, spark.createDataFrame(failed, "prs_id string, error string")
 
 

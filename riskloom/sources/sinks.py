@@ -9,6 +9,7 @@ from riskloom.operators.genotypes import Genotypes, SparseGenotypes, dataset_cou
 from riskloom.operators.phenotype import status_column
 from riskloom.schema import EmptyInputError, require_rows, require_schema
 from riskloom.sources.readers import NA, read_genotypes
+from riskloom.sources.stored import store
 
 
 def write_genotypes(genotypes: Genotypes | SparseGenotypes, path: str) -> None:
@@ -21,15 +22,17 @@ def write_genotypes(genotypes: Genotypes | SparseGenotypes, path: str) -> None:
     genotypes.variants.repartitionByRange("contig", "position").sortWithinPartitions("contig", "position").write.mode(
         "overwrite"
     ).parquet(f"{path}/variants")
-    locus = [c for c in ("contig", "position") if c in genotypes.calls.columns]
+    # Choosing ranges reads the calls once more, so the input is filtered only once, into this table.
+    kept = store(genotypes.calls, "calls_to_write").df
+    locus = [c for c in ("contig", "position") if c in kept.columns]
     order = [*locus, "variant_id", "s"]
-    calls = genotypes.calls.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite")
+    calls = kept.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite")
     if "contig" in locus:
         calls = calls.partitionBy("contig")
     calls.parquet(f"{path}/calls")
     if isinstance(genotypes, SparseGenotypes):
         order = ["contig", "start_pos", "s"]
-        genotypes.reference_blocks.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(
+        store(genotypes.reference_blocks, "blocks_to_write").df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(
             "overwrite"
         ).parquet(f"{path}/reference_blocks")
 
