@@ -8,9 +8,9 @@ CONTIGS = ", ".join(f"'chr{c}'" for c in [*range(1, 23), "X", "Y", "M"])
 CONCEPT_LIST = ", ".join(map(str, CONCEPTS))
 
 
-def r6(expression: str, name: str | None = None) -> str:
+def r6(expression: str, name: str | None = None, digits: int = 6) -> str:
     """Rounded to six digits, without negative zero."""
-    return f"round({expression}, 6) + 0.0 as {name or expression}"
+    return f"round({expression}, {digits}) + 0.0 as {name or expression}"
 
 
 # Steps shared by several expectations, in order of dependence.
@@ -354,7 +354,7 @@ ORACLES = {
           n_distinct, degenerate, has_quantiles
         from models_stats""",
     "exact_quantiles": f"""
-        select prs_id, cast(k as int) as k, {r6('q[k + 1]', 'value')}
+        select prs_id, cast(k as int) as k, {r6('q[k + 1]', 'value', 9)}
         from (select prs_id, q, unnest(range(0, 21)) as k from models_stats)""",
     "zscore_and_bins": f"select prs_id, s, {r6('z', 'prs_zscore')}, risk_category, prs_decile from standardised",
     "percentile_rank": f"select prs_id, s, {r6('pct', 'prs_percentile')} from standardised",
@@ -407,7 +407,7 @@ ORACLES = {
         union all select prs_id, null, 0.0, 0.0 from models_stats""",
     "roc_auc": f"select prs_id, {r6('auc')} from auc",
     "tail_thresholds": f"""
-        select t.prs_id, {r6('m.q[2]', 'score_p5')}, {r6('m.q[20]', 'score_p95')}, {r6('z_p5')}, {r6('z_p95')}
+        select t.prs_id, {r6('m.q[2]', 'score_p5', 9)}, {r6('m.q[20]', 'score_p95', 9)}, {r6('z_p5')}, {r6('z_p95')}
         from tails t join models_stats m on m.prs_id = t.prs_id""",
     "tail_comparison": f"""
         select prs_id, {r6('z_p5')}, {r6('z_p95')}, bottom_n, bottom_cases,

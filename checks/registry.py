@@ -29,12 +29,14 @@ def query(build: Callable[[Study], DataFrame]) -> Callable[[Study], DataFrame]:
 
 # One division of exact numbers: the same bits everywhere, but often a tie at the sixth digit.
 EXACT = ("normalized_score", "prs_normalized_score")
+# Interpolated between multiples of 1/64 in twentieths: eight decimals, so nine digits have no ties.
+QUANTILES = ("value", "score_p5", "score_p95")
 
 
 def rounded(df: DataFrame) -> DataFrame:
     """Doubles to six digits, where both engines agree whatever the order of summation."""
-    doubles = {n: F.round(n, 6) for n, kind in df.dtypes if kind == "double" and n not in EXACT}
-    return df.withColumns(doubles) if doubles else df
+    digits = {n: 9 if n in QUANTILES else 6 for n, kind in df.dtypes if kind == "double" and n not in EXACT}
+    return df.withColumns({n: F.round(n, d) for n, d in digits.items()}) if digits else df
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -44,6 +44,3 @@ def log_gamma(x: Column) -> Column:
 def log_choose(n: Column, k: Column) -> Column:
     return log_gamma(n + 1.0) - log_gamma(k + 1.0) - log_gamma(n - k + 1.0)
 
-
-def sigmoid(x: Column) -> Column:
-    return 1.0 / (1.0 + F.exp(-x))

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.numeric import sigmoid
-from riskloom.operators.distribution import ScoredCohort, z_score
+from riskloom.operators.distribution import ScoredCohort
 from riskloom.sources.stored import BROADCAST_ROWS, store
 
 MAX_ROUNDS = 20
@@ -45,48 +44,38 @@ def odds_ratio_per_sd(cohort: ScoredCohort) -> DataFrame:
     raise RuntimeError(f"logistic fit still moves by {change} after {MAX_ROUNDS * STEPS_PER_ROUND} steps")
 
 
+# One Newton step in three projections; later columns use earlier ones of the same list.
+_STATE = ["mean", "std", "degenerate", "case_weight", "control_weight", "intercept", "slope"]
+_ROW_TERMS = [
+    "if(degenerate, 0D, (score - mean) / std) as z",
+    "1D / (1D + exp(-(intercept + slope * z))) as p",
+    # Weighted residual and curvature of everybody who shares the score.
+    "n_cases * case_weight * (1D - p) - (n - n_cases) * control_weight * p as r",
+    "(n_cases * case_weight + (n - n_cases) * control_weight) * p * (1D - p) as h",
+]
+_SUMS = {
+    "g0": "sum(r) - first(intercept)",
+    "g1": "sum(r * z) - first(slope)",
+    "h00": "sum(h) + 1D",
+    "h01": "sum(h * z)",
+    "h11": "sum(h * z * z) + 1D",
+}
+_STEP = [
+    "h00 * h11 - h01 * h01 as det",
+    f"greatest(least((h11 * g0 - h01 * g1) / det, {LONGEST_STEP}D), -{LONGEST_STEP}D) as d0",
+    f"greatest(least((h00 * g1 - h01 * g0) / det, {LONGEST_STEP}D), -{LONGEST_STEP}D) as d1",
+]
+
+
 def _newton_step(cohort: ScoredCohort, state: DataFrame) -> DataFrame:
-    keep = ["mean", "std", "degenerate", "case_weight", "control_weight", "intercept", "slope"]
-    known = state.select("prs_id", *keep)
+    known = state.select("prs_id", *_STATE)
     if cohort.models.rows <= BROADCAST_ROWS:  # the state has no more rows than there are models
         known = F.broadcast(known)
-    controls = F.col("n") - F.col("n_cases")
-    rows = (
-        cohort.profile.df.join(known, "prs_id")
-        .withColumn("z", z_score(F.col("score")))
-        .withColumn("p", sigmoid(F.col("intercept") + F.col("slope") * F.col("z")))
-        # Weighted residual and curvature of everybody who shares the score.
-        .withColumn(
-            "r",
-            F.col("n_cases") * F.col("case_weight") * (1.0 - F.col("p"))
-            - controls * F.col("control_weight") * F.col("p"),
-        )
-        .withColumn(
-            "h",
-            (F.col("n_cases") * F.col("case_weight") + controls * F.col("control_weight"))
-            * F.col("p") * (1.0 - F.col("p")),
-        )
-    )
-    r, h, z = F.col("r"), F.col("h"), F.col("z")
+    rows = cohort.profile.df.join(known, "prs_id").selectExpr("prs_id", *_STATE, *_ROW_TERMS)
     sums = rows.groupBy("prs_id").agg(
-        *[F.first(k).alias(k) for k in keep],
-        (F.sum(r) - F.first("intercept")).alias("g0"),
-        (F.sum(r * z) - F.first("slope")).alias("g1"),
-        (F.sum(h) + 1.0).alias("h00"),
-        F.sum(h * z).alias("h01"),
-        (F.sum(h * z * z) + 1.0).alias("h11"),
+        *[F.first(c).alias(c) for c in _STATE], *[F.expr(text).alias(name) for name, text in _SUMS.items()]
     )
-    g0, g1, h00, h01, h11 = (F.col(c) for c in ("g0", "g1", "h00", "h01", "h11"))
-    det = h00 * h11 - h01 * h01
-
-    def limited(step):
-        return F.greatest(F.least(step, F.lit(LONGEST_STEP)), F.lit(-LONGEST_STEP))
-
-    d0 = limited((h11 * g0 - h01 * g1) / det)
-    d1 = limited((h00 * g1 - h01 * g0) / det)
-    return sums.select(
-        "prs_id", "mean", "std", "degenerate", "case_weight", "control_weight",
-        (F.col("intercept") + d0).alias("intercept"),
-        (F.col("slope") + d1).alias("slope"),
-        F.greatest(F.abs(d0), F.abs(d1)).alias("_change"),
+    return sums.selectExpr("*", *_STEP).selectExpr(
+        "prs_id", *_STATE[:-2], "intercept + d0 as intercept", "slope + d1 as slope",
+        "greatest(abs(d0), abs(d1)) as _change",
     )
