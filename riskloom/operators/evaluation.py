@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.numeric import log_choose, percent
-from riskloom.operators.distribution import ScoredCohort, decile, z_score
+from riskloom.operators.distribution import ScoredCohort, quantile_bin, z_score
 from riskloom.operators.logistic import odds_ratio_per_sd
 
 # Fewer people than this have no meaningful 5 % tails.
@@ -27,18 +27,21 @@ def decile_prevalence(cohort: ScoredCohort) -> DataFrame:
     found = (
         cohort.profile_with_models()
         .where("has_quantiles")
-        .groupBy("prs_id", decile(F.col("score")).alias("prs_decile"))
-        .agg(F.sum("n_tied").alias("n_people"), F.sum("cases_tied").alias("n_cases"))
+        .groupBy("prs_id", quantile_bin(F.col("score"), 10).alias("bin"))
+        .agg(F.sum("n_tied").alias("n"), F.sum("cases_tied").alias("cases"))
     )
-    varied = found.groupBy("prs_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("prs_id")
-    listed = varied.select(
-        "prs_id", F.explode(F.array(*[F.lit(f"D{i}") for i in range(1, 11)])).alias("prs_decile")
+    # At most ten entries per model, so the empty deciles need no join.
+    by_bin = found.groupBy("prs_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("bin", F.struct("n", "cases")))).alias("held")
     )
-    n = F.coalesce("n_people", F.lit(0))
-    cases = F.coalesce("n_cases", F.lit(0))
-    return listed.join(found, ["prs_id", "prs_decile"], "left").select(
+    listed = by_bin.where(F.size("held") > 1).select(
+        "prs_id", "held", F.explode(F.sequence(F.lit(1), F.lit(10))).alias("bin")
+    )
+    entry = F.try_element_at("held", F.col("bin"))
+    n, cases = F.coalesce(entry["n"], F.lit(0)), F.coalesce(entry["cases"], F.lit(0))
+    return listed.select(
         "prs_id",
-        "prs_decile",
+        F.concat(F.lit("D"), F.col("bin").cast("string")).alias("prs_decile"),
         n.alias("n_people"),
         cases.alias("n_cases"),
         percent(cases, n).alias("prevalence_percent"),

@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 from riskloom.functions.genotype import dosage, effect_alternate_index, effect_is_reference
 from riskloom.operators.genotypes import BlockedGenotypes, Genotypes
 from riskloom.schema import WEIGHTS, require_schema
-from riskloom.sources.stored import BROADCAST_ROWS, Stored, store
+from riskloom.sources.stored import Stored, store
+
+# Loci up to which the genotype calls stay where they are: some 50 bytes each, so
+# about 200 MB per executor. Two genome-wide models have fewer.
+LOCI_ROWS = 4_000_000
 
 
 def scoring_loci(weights: DataFrame, variants: DataFrame) -> Stored:
@@ -28,8 +32,12 @@ def scoring_loci(weights: DataFrame, variants: DataFrame) -> Stored:
     return store(matched, "scoring_loci")
 
 
-def contributions(calls: DataFrame, loci: Stored, row_limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Dosage and dosage x weight of every call at a model's locus."""
+def contributions(calls: DataFrame, loci: Stored, row_limit: int = LOCI_ROWS) -> DataFrame:
+    """Dosage and dosage x weight of every call at a model's locus.
+
+    Beyond ``row_limit`` loci both sides are shuffled by variant, where a
+    variant with very many calls is split by adaptive execution.
+    """
     copies = dosage(F.col("a1"), F.col("a2"), F.col("effect_is_ref"), F.col("alternate_index"))
     return (
         calls.join(loci.join_side(row_limit), "variant_id")
@@ -41,7 +49,7 @@ def contributions(calls: DataFrame, loci: Stored, row_limit: int = BROADCAST_ROW
 
 
 def score_models(
-    genotypes: Genotypes, loci: Stored, members: DataFrame | None = None, row_limit: int = BROADCAST_ROWS
+    genotypes: Genotypes, loci: Stored, members: DataFrame | None = None, row_limit: int = LOCI_ROWS
 ) -> DataFrame:
     """One row per sample and model that has at least one matched locus.
 
@@ -60,7 +68,7 @@ def score_models(
     return _sum_up(called.unionByName(_empty_rows(members.select("s"), loci)), ["prs_id", "s"])
 
 
-def score_blocked(genotypes: BlockedGenotypes, loci: Stored, row_limit: int = BROADCAST_ROWS) -> DataFrame:
+def score_blocked(genotypes: BlockedGenotypes, loci: Stored, row_limit: int = LOCI_ROWS) -> DataFrame:
     """As ``score_models`` on the variant-major layout.
 
     Whole rows are dropped by locus before their calls are unpacked, and
