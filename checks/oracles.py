@@ -316,6 +316,8 @@ ORACLES = {
         group by prs_id""",
     "one_weight_per_locus": f"select prs_id, contig, position, effect_allele, {r6('weight')} from clean_weights",
     "scoring_files": f"select prs_id, contig, position, effect_allele, {r6('weight')} from clean_weights",
+    "prepared_intervals": """
+        select prs_id, contig, position as start_pos, position as end_pos from clean_weights""",
     "weight_table_roundtrip": f"select prs_id, contig, position, effect_allele, {r6('weight')} from clean_weights",
     "extract_intervals": """
         select distinct contig, position as start_pos, position as end_pos from clean_weights""",

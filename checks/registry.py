@@ -214,9 +214,8 @@ def one_weight_per_locus(st: Study) -> DataFrame:
     return locus_weights(st).drop("other_allele")
 
 
-@query
-def scoring_files(st: Study) -> DataFrame:
-    """Gzipped scoring files, one per model, read back through a manifest."""
+def _written_manifest(st: Study) -> DataFrame:
+    """Gzipped scoring files, one per model, and a model whose file is absent."""
     base = new_path(st.spark, "scoring_files")
     raw = st.table("raw_weights")
     rows = []
@@ -225,8 +224,20 @@ def scoring_files(st: Study) -> DataFrame:
         raw.where(F.col("prs_id") == model).drop("prs_id").write.csv(path, sep="\t", header=True, compression="gzip")
         rows.append((model, path, TARGET))
     rows.append(("PGSX", f"{base}/absent.txt.gz", TARGET))
-    manifest = st.spark.createDataFrame(rows, "id string, url string, phenotype string")
-    return score_models.load_weights(st.spark, manifest)[0].drop("other_allele")
+    return st.spark.createDataFrame(rows, "id string, url string, phenotype string")
+
+
+@query
+def scoring_files(st: Study) -> DataFrame:
+    return score_models.load_weights(st.spark, _written_manifest(st))[0].drop("other_allele")
+
+
+@query
+def prepared_intervals(st: Study) -> DataFrame:
+    """The second artefact is made from the first, which the second call reuses."""
+    base, manifest = new_path(st.spark, "prepared"), _written_manifest(st)
+    score_models.prepared_weights(st.spark, base, manifest)
+    return score_models.prepared_weights(st.spark, base, manifest)[1]
 
 
 @query

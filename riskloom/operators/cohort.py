@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import TypeVar
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from riskloom.operators.genotypes import Genotypes, SparseGenotypes
 from riskloom.schema import EmptyInputError, require_schema
 from riskloom.sources.stored import store
 
+AnyGenotypes = TypeVar("AnyGenotypes", Genotypes, SparseGenotypes)
+
 
 def eligible_persons(person: DataFrame, search_person: DataFrame) -> DataFrame:
     """Persons flagged as having both health records and whole-genome data, as ``s``."""
@@ -61,12 +65,13 @@ def stratified_sample(
     )
 
 
-def restrict_calls(genotypes: Genotypes, members: DataFrame) -> Genotypes:
-    """Genotypes of the given samples only; variants are kept."""
-    return genotypes.with_samples(_kept_samples(genotypes.samples, members))
+def restrict_calls(genotypes: AnyGenotypes, members: DataFrame) -> AnyGenotypes:
+    """Genotypes of the given samples only, in every component; variants are kept."""
+    kept = genotypes.samples.join(members.select("s").distinct(), "s", "left_semi")
+    return genotypes.with_samples(store(kept, "kept_samples"))
 
 
-def restrict_to_id_list(genotypes: Genotypes, ids: DataFrame) -> Genotypes:
+def restrict_to_id_list(genotypes: AnyGenotypes, ids: DataFrame) -> AnyGenotypes:
     """As ``restrict_calls`` for a ``person_id`` list; nobody left is an error."""
     members = ids.select(F.col("person_id").cast("string").alias("s")).distinct()
     kept = restrict_calls(genotypes, members)
@@ -78,11 +83,3 @@ def restrict_to_id_list(genotypes: Genotypes, ids: DataFrame) -> Genotypes:
 def exclude_from_sparse(genotypes: SparseGenotypes, flagged: DataFrame | None) -> SparseGenotypes:
     """Drop flagged samples from both components, through one kept-sample list."""
     return genotypes.with_samples(store(exclude_flagged(genotypes.samples, flagged), "kept_samples"))
-
-
-def restrict_sparse(genotypes: SparseGenotypes, members: DataFrame) -> SparseGenotypes:
-    return genotypes.with_samples(_kept_samples(genotypes.samples, members))
-
-
-def _kept_samples(samples: DataFrame, members: DataFrame):
-    return store(samples.join(members.select("s").distinct(), "s", "left_semi"), "kept_samples")

@@ -41,11 +41,11 @@ def resolve_headings(columns: list[str]) -> dict[str, str]:
 def type_weights(raw: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Text columns under any accepted headings -> typed columns, NULL where invalid."""
     found = resolve_headings(raw.columns)
-    chrom = F.regexp_replace(_value(raw[found["chr"]]), r"\.0$", "")
+    without_fraction = F.regexp_replace(_value(raw[found["chr"]]), r"\.0$", "")
     # Through double, so that '1.0' is position 1.
     position = to_number(raw[found["bp"]].cast("string")).try_cast("int")
     columns = [
-        F.when(chrom.startswith("chr"), chrom).otherwise(F.concat(F.lit("chr"), chrom)).alias("contig"),
+        F.regexp_replace(without_fraction, "^(?!chr)", "chr").alias("contig"),
         position.alias("position"),
         _value(raw[found["effect_allele"]]).alias("effect_allele"),
         to_number(raw[found["weight"]].cast("string")).alias("weight"),
@@ -60,13 +60,13 @@ def type_weights(raw: DataFrame, by: list[str] | None = None) -> DataFrame:
 def clean_weights(raw: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Typed weights with every essential field valid and on a known contig."""
     typed = type_weights(raw, by)
-    return typed.where(_complete(typed) & F.col("contig").isin(CONTIGS))
+    return typed.where(F.col("contig").isin(CONTIGS) & _has_values(typed))
 
 
 def cleaning_report(raw: DataFrame, by: list[str]) -> DataFrame:
     """Per model: rows read, dropped as incomplete, dropped for their contig, kept."""
     typed = type_weights(raw, by)
-    complete = _complete(typed)
+    complete = F.col("contig").isNotNull() & _has_values(typed)
     known = F.col("contig").isin(CONTIGS)
     return typed.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_raw"),
@@ -96,8 +96,5 @@ def _value(text: Column) -> Column:
     return F.when(~F.trim(text).isin(NO_VALUE), text)
 
 
-def _complete(typed: DataFrame) -> Column:
-    valid = F.lit(True)
-    for name in ("contig", "position", "effect_allele", "weight"):
-        valid = valid & typed[name].isNotNull()
-    return valid
+def _has_values(typed: DataFrame) -> Column:
+    return typed["position"].isNotNull() & typed["effect_allele"].isNotNull() & typed["weight"].isNotNull()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +12,6 @@ from riskloom.operators.cohort import (
     eligible_persons,
     exclude_flagged,
     restrict_calls,
-    restrict_sparse,
     stratified_sample,
 )
 from riskloom.operators.genotypes import Genotypes, SparseGenotypes
@@ -71,13 +70,9 @@ def build_cohort(
     members = store(cohort_members(person, search_person, flagged, cases, parameters), "cohort_members")
     if members.rows == 0:
         raise EmptyInputError("nobody is eligible for the cohort")
-    if isinstance(genotypes, SparseGenotypes):
-        kept = restrict_sparse(genotypes, members.df)
-        kept = SparseGenotypes(
-            kept.samples, kept.variants, kept.calls, split_reference_blocks(kept.reference_blocks, MAX_BLOCK_LENGTH)
-        )
-    else:
-        kept = restrict_calls(genotypes, members.df)
+    kept = restrict_calls(genotypes, members.df)
+    if isinstance(kept, SparseGenotypes):
+        kept = replace(kept, reference_blocks=split_reference_blocks(kept.reference_blocks, MAX_BLOCK_LENGTH))
     if kept.samples.isEmpty():
         raise EmptyInputError("no cohort member is genotyped")
     write_genotypes(kept, path)

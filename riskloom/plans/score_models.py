@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.operators.genotypes import Genotypes
+from riskloom.operators.intervals import extract_intervals
 from riskloom.operators.scoring import score_models, scoring_loci, scoring_status
 from riskloom.operators.weights import clean_weights, one_weight_per_locus
 from riskloom.schema import EmptyInputError
 from riskloom.sources.readers import read_scoring_file
-from riskloom.sources.stored import Stored, store
+from riskloom.sources.stored import READ_ERRORS, Stored, checkpoint_or_compute, store
 
 
 # Scoring files read by one job; keeps the plan short for thousands of models.
@@ -29,21 +29,45 @@ def load_weights(spark: SparkSession, manifest: DataFrame) -> tuple[DataFrame, D
     models = manifest.select("id", "url").collect()
     written, failed = [], []
     for start in range(0, len(models), MODELS_PER_JOB):
-        parts = []
+        parts = {}
         for model in models[start : start + MODELS_PER_JOB]:
             try:
                 raw = read_scoring_file(spark, model["url"]).withColumn("prs_id", F.lit(model["id"]))
-                parts.append(clean_weights(raw, ["prs_id"]))
-            except (PySparkException, ValueError) as e:
+                parts[model["id"]] = clean_weights(raw, ["prs_id"])
+            except (*READ_ERRORS, ValueError) as e:
                 failed.append((model["id"], str(e).splitlines()[0]))
-        if parts:
-            written.append(store(reduce(DataFrame.unionByName, parts), "weights").df)
+        written += _write_readable(parts, failed)
     if not written:
         raise EmptyInputError(f"no scoring file could be read: {failed}")
     weights = one_weight_per_locus(reduce(DataFrame.unionByName, written), ["prs_id"])
     return weights, spark.createDataFrame(failed, "prs_id string, error string")
 
 
+def _write_readable(parts: dict[str, DataFrame], failed: list[tuple[str, str]]) -> list[DataFrame]:
+    """Write the models' weights in one job; if a file turns out damaged, each in its own."""
+    if not parts:
+        return []
+    try:
+        return [store(reduce(DataFrame.unionByName, parts.values()), "weights").df]
+    except READ_ERRORS as e:
+        if len(parts) == 1:
+            failed.append((next(iter(parts)), str(e).splitlines()[0]))
+            return []
+        return [table for model, part in parts.items() for table in _write_readable({model: part}, failed)]
+
+
+def prepared_weights(spark: SparkSession, base_path: str, manifest: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(clean weights, their intervals per model), each built only if not written before."""
+    models = {m["id"]: m["url"] for m in manifest.select("id", "url").collect()}
+    weights = checkpoint_or_compute(
+        spark, base_path, {"artefact": "weights", "models": models}, lambda: load_weights(spark, manifest)[0]
+    )
+    intervals = checkpoint_or_compute(
+        spark, base_path, {"artefact": "intervals", "models": models}, lambda: extract_intervals(weights, ["prs_id"])
+    )
+    return weights, intervals
+
+
 def score_manifest(
     genotypes: Genotypes, manifest: DataFrame, weights: DataFrame, members: DataFrame | None = None
 ) -> tuple[Stored, DataFrame]:

@@ -12,13 +12,17 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Rows up to which a join side of a few narrow columns is broadcast (tens of MB).
 BROADCAST_ROWS = 1_000_000
 
+# What reading a damaged or missing file may raise, at planning or at execution.
+READ_ERRORS = (PySparkException, Py4JJavaError)
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``; a scratch one only in local mode."""
@@ -72,18 +76,33 @@ def fingerprint(**parameters) -> str:
 def checkpoint_or_compute(
     spark: SparkSession, base_path: str, parameters: dict, build: Callable[[], DataFrame]
 ) -> DataFrame:
-    """Reuse a written, non-empty artefact of the same parameters, else rebuild it.
+    """Reuse a completely written, non-empty artefact of the same parameters, else rebuild it.
 
     The parameters are part of the path, so a changed configuration never
-    reads another configuration's data. An empty result is not kept.
+    reads another configuration's data. The row count is written last: without
+    it, or with data that cannot be read, the artefact is built again.
     """
     path = f"{base_path.rstrip('/')}/{fingerprint(**parameters)}"
-    found = read_if_present(spark, path)
-    if found is not None and not found.isEmpty():
+    found = _complete(spark, path)
+    if found is not None:
         return found
     fresh = build()
-    fresh.write.mode("overwrite").parquet(path)
-    return spark.read.schema(fresh.schema).parquet(path)
+    seen = Observation("artefact")
+    rows = F.count(F.lit(1)).alias("rows")
+    fresh.observe(seen, rows).write.mode("overwrite").parquet(f"{path}/data")
+    spark.range(1).select(F.lit(seen.get["rows"]).alias("rows")).write.mode("overwrite").parquet(f"{path}/complete")
+    return spark.read.schema(fresh.schema).parquet(f"{path}/data")
+
+
+def _complete(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        counted = read_if_present(spark, f"{path}/complete")
+        if counted is None or counted.where("rows > 0").isEmpty():
+            return None
+        found = spark.read.parquet(f"{path}/data")
+        return None if found.isEmpty() else found
+    except READ_ERRORS:
+        return None
 
 
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:

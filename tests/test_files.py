@@ -137,6 +137,21 @@ def test_reuse_depends_on_parameters_and_rows(spark, tmp_path):
     assert fingerprint(a=1, b=2) == fingerprint(b=2, a=1) != fingerprint(a=1, b=3)
 
 
+def test_broken_artefacts_are_rebuilt(spark, tmp_path):
+    base = str(tmp_path / "b")
+    assert checkpoint_or_compute(spark, base, {"n": 1}, lambda: spark.range(5)).count() == 5
+    (folder,) = (tmp_path / "b").iterdir()
+    for part in (folder / "data").glob("part-*"):
+        part.write_bytes(b"not parquet")
+    for crc in (folder / "data").glob(".*.crc"):
+        crc.unlink()
+    assert checkpoint_or_compute(spark, base, {"n": 1}, lambda: spark.range(6)).count() == 6
+    # Data without the final count was not completely written.
+    for part in (folder / "complete").glob("*"):
+        part.unlink()
+    assert checkpoint_or_compute(spark, base, {"n": 1}, lambda: spark.range(7)).count() == 7
+
+
 def test_store_measures_and_uses_the_named_folder(spark):
     kept = store(spark.range(7), "seven", top=F.max("id"))
     assert (kept.rows, kept.figures["top"]) == (7, 6)

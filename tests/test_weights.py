@@ -77,12 +77,18 @@ def test_manifest_survives_bad_models(spark, tmp_path):
     )
     other = scoring_file(tmp_path / "b.txt.gz", ["chromosome", "BP", "A1", "OR"], [["chr3", "7", "T", "1.25"]])
     lacking = scoring_file(tmp_path / "c.txt.gz", ["chr", "pos", "allele"], [["1", "2", "A"]])
+    # Truncated in the middle, so that only reading all of it shows the damage.
+    many = [["1", str(i), "ACGT"[i % 4], str(i * 7919 % 1000 / 64)] for i in range(1, 60000)]
+    damaged = tmp_path / "e.txt.gz"
+    scoring_file(damaged, ["chr", "pos", "allele", "beta"], many)
+    damaged.write_bytes(damaged.read_bytes()[:-1000])
     rows = [("A", good, "x"), ("B", other, "x"), ("C", lacking, "x"), ("D", str(tmp_path / "absent.gz"), "x")]
+    rows.append(("E", str(damaged), "x"))
     manifest = spark.createDataFrame(rows, "id string, url string, phenotype string")
     table, failed = score_models.load_weights(spark, manifest)
     got = sorted(tuple(r) for r in table.select("prs_id", "contig", "position", "effect_allele", "weight").collect())
     assert got == [("A", "chr1", 10, "A", 0.5), ("A", "chr2", 11, "G", -2.0), ("B", "chr3", 7, "T", 1.25)]
-    assert sorted(r["prs_id"] for r in failed.collect()) == ["C", "D"]
+    assert sorted(r["prs_id"] for r in failed.collect()) == ["C", "D", "E"]
     with pytest.raises(EmptyInputError):
         score_models.load_weights(spark, manifest.where("id = 'D'"))
 
