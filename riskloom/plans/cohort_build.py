@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +19,11 @@ from riskloom.operators.genotypes import Genotypes, SparseGenotypes
 from riskloom.operators.phenotype import label_cohort
 from riskloom.schema import EmptyInputError
 from riskloom.sources.readers import read_genotypes, read_sparse_genotypes
-from riskloom.sources.sinks import write_genotypes, write_sample_ids
+from riskloom.sources.sinks import verify_counts, write_genotypes, write_sample_ids
 from riskloom.sources.stored import fingerprint, read_if_present, store
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class CohortParameters:
@@ -75,7 +78,10 @@ def build_cohort(
         kept = replace(kept, reference_blocks=split_reference_blocks(kept.reference_blocks, MAX_BLOCK_LENGTH))
     if kept.samples.isEmpty():
         raise EmptyInputError("no cohort member is genotyped")
-    write_genotypes(kept, path)
+    expected = write_genotypes(kept, path)
+    found = verify_counts(spark, path, expected).first()
+    if not found["verified"]:
+        log.warning("cohort at %s holds %s, expected %s", path, found.asDict(), expected)
     # Ids of the samples really present, with their labels.
     present = members.df.join(kept.samples, "s", "left_semi")
     write_sample_ids(present, f"{path}/ids")

@@ -12,10 +12,10 @@ from riskloom.sources.readers import NA, read_genotypes
 from riskloom.sources.stored import store
 
 
-def write_genotypes(genotypes: Genotypes | SparseGenotypes, path: str) -> None:
+def write_genotypes(genotypes: Genotypes | SparseGenotypes, path: str) -> dict[str, int]:
     """Write genotypes with calls ordered by variant, so that files cover narrow ranges.
 
-    The sample is part of the range key: one variant's calls may span files.
+    Returns the counts a reader must find. The sample is part of the range key: one variant's calls may span files.
     Calls that carry their contig are also partitioned by it.
     """
     genotypes.samples.write.mode("overwrite").parquet(f"{path}/samples")
@@ -23,10 +23,10 @@ def write_genotypes(genotypes: Genotypes | SparseGenotypes, path: str) -> None:
         "overwrite"
     ).parquet(f"{path}/variants")
     # Choosing ranges reads the calls once more, so the input is filtered only once, into this table.
-    kept = store(genotypes.calls, "calls_to_write").df
-    locus = [c for c in ("contig", "position") if c in kept.columns]
+    kept = store(genotypes.calls, "calls_to_write")
+    locus = [c for c in ("contig", "position") if c in kept.df.columns]
     order = [*locus, "variant_id", "s"]
-    calls = kept.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite")
+    calls = kept.df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite")
     if "contig" in locus:
         calls = calls.partitionBy("contig")
     calls.parquet(f"{path}/calls")
@@ -35,6 +35,11 @@ def write_genotypes(genotypes: Genotypes | SparseGenotypes, path: str) -> None:
         store(genotypes.reference_blocks, "blocks_to_write").df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(
             "overwrite"
         ).parquet(f"{path}/reference_blocks")
+    return {
+        "n_samples": genotypes.samples.count(),
+        "n_variants": genotypes.variants.count(),
+        "n_calls": kept.rows,
+    }
 
 
 def verify_counts(spark: SparkSession, path: str, expected: dict[str, int]) -> DataFrame:
