@@ -14,7 +14,6 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -26,8 +25,6 @@ from riskloom.sources.stored import new_path
 BATCH_BYTES = 2 << 20
 # Written bytes up to which the answers of an exchange, or other small sides, are broadcast.
 BROADCAST_BYTES = 32 << 20
-# Entries of a worker's cache of word hashes.
-CACHE_ENTRIES = 1_000_000
 
 BATCH_SCHEMA = "batch long, doc_ids array<bigint>, lens array<bigint>, blob binary"
 
@@ -79,23 +76,6 @@ def batch_of(columns: dict[str, list], schema: pa.Schema) -> pa.RecordBatch:
 # --- hashing ---
 
 
-class WordHashes(dict):
-    """Hash of each word, computed at its first look-up; emptied when full."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
-
-
-_WORDS = WordHashes()
-
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_WORDS.__getitem__, words), U64, len(words))
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit (finaliser with two multiplications)."""
     x = (x ^ (x >> U64(30))) * U64(0xBF58476D1CE4E5B9)
@@ -104,6 +84,48 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _BASE = 0x9E3779B97F4A7C15
+# A random-looking number for each byte.
+BYTE_CODES = mix(np.arange(1, 257, dtype=U64) * U64(_BASE))
+LOWER_CASE = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
+_IS_SPACE = np.isin(np.arange(256), [0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
+_POWERS: list[np.ndarray] = [np.ones(1, U64), np.ones(1, U64)]
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse modulo 2^64."""
+    if len(_POWERS[0]) < n:
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            steps = np.full(n, base, U64)
+            steps[0] = 1
+            _POWERS[i] = np.multiply.accumulate(steps)
+    return _POWERS
+
+
+class Words:
+    """The words of a batch's texts, end to end: runs of bytes other than 0x20 and 0x09-0x0D, as 64-bit hashes.
+
+    A word's hash is that of its bytes wherever it stands: a polynomial over the byte codes, read off prefix sums.
+    """
+
+    def __init__(self, texts: list[bytes], lower: bool = False):
+        data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+        if lower:
+            data = LOWER_CASE[data]
+        space = _IS_SPACE[data]
+        edges = np.flatnonzero(np.diff(np.concatenate(([True], space))))
+        first, last = edges[::2], edges[1::2]
+        power, inverse = _powers(len(data))
+        sums = np.concatenate((np.zeros(1, U64), np.cumsum(BYTE_CODES[data] * power[: len(data)])))
+        self.hashes = mix((sums[last] - sums[first]) * inverse[first] + (last - first).astype(U64) * U64(0xD6E8FEB86659FD93))
+        stops = np.cumsum([len(t) + 1 for t in texts])
+        self.ends = np.searchsorted(first, stops)
+        self.starts = np.concatenate(([0], self.ends[:-1]))
+        self.counts = self.ends - self.starts
+        self.doc = np.repeat(np.arange(len(texts)), self.counts)
+
+    def windows(self, size: int) -> np.ndarray:
+        """Positions at which a window of that many words lies within one document."""
+        return np.flatnonzero(np.arange(len(self.hashes)) + size <= self.ends[self.doc])
 
 
 def rolling(x: np.ndarray, k: int) -> np.ndarray:

@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import (
-    U64, answers, batches, covered, exchange, map_rows, mix, pack, rolling, runs_of, save, sliding_min, small_side,
-    table, texts_of, unpack, word_hashes,
+    U64, Words, answers, batches, covered, exchange, map_rows, mix, pack, rolling, save, sliding_min, small_side, table,
+    texts_of, unpack,
 )
 
 WINDOW = 50
@@ -34,22 +34,6 @@ NO_ID = 2**63 - 1
 _ROW_SEEDS = (0x8BB84B93962EACC9, 0x2D358DCCAA6C78A5)
 
 
-class Words:
-    """The words of a batch's texts, end to end."""
-
-    def __init__(self, texts: list[bytes]):
-        self.words = [t.split() for t in texts]  # splits at exactly 0x20 and 0x09-0x0D
-        self.counts = np.array([len(w) for w in self.words], np.int64)
-        self.ends = np.cumsum(self.counts)
-        self.starts = self.ends - self.counts
-        self.hashes = word_hashes([w for words in self.words for w in words])
-        self.doc = np.repeat(np.arange(len(texts)), self.counts)
-
-    def windows(self, size: int) -> np.ndarray:
-        """Positions at which a window lies within one document."""
-        return np.flatnonzero(np.arange(len(self.hashes)) + size <= self.ends[self.doc])
-
-
 def representatives(words: Words, at: np.ndarray, window: int, gram: int) -> np.ndarray:
     """Least hash of the ``gram``-word parts of the windows at the given positions."""
     if not len(at):

@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import (
-    U64, answers, arrow_schema, batch_of, batches, exchange, map_rows, mix, pack, partition_number, rolling, runs_of,
-    save, shuffle_partitions, sliding_min, small_side, table, texts_of, unpack,
+    BYTE_CODES, U64, answers, arrow_schema, batch_of, batches, exchange, map_rows, pack, partition_number, rolling,
+    runs_of, save, shuffle_partitions, sliding_min, small_side, table, texts_of, unpack,
 )
 
 LENGTH = 400
@@ -51,7 +51,7 @@ class Runs:
             for at in range(0, max(0, len(text) - length + 1), step):  # strings that begin in this slice
                 part = np.frombuffer(text, np.uint8)[at : at + step + length - 1]
                 n = len(part) - length + 1
-                hashes = rolling(mix(part.astype(U64) + U64(1)), lead)
+                hashes = rolling(BYTE_CODES[part], lead)
                 ranked = hashes >> U64(PLACE_BITS) << U64(PLACE_BITS) | np.arange(len(part), dtype=U64)
                 least = sliding_min(ranked[: len(part) - lead + 1], length - lead + 1)[:n]
                 place = (least & U64((1 << PLACE_BITS) - 1)).astype(np.int64)
@@ -255,7 +255,7 @@ def _by_hashes(contexts: DataFrame, length: int) -> DataFrame:
             rows = frame.to_pylist()
             for at in range(0, len(rows), 2048):
                 part = rows[at : at + 2048]
-                each = [rolling(mix(np.frombuffer(r["context"], np.uint8).astype(U64) + U64(1)), length)[: len(r["context"]) - length + 1] for r in part]
+                each = [rolling(BYTE_CODES[np.frombuffer(r["context"], np.uint8)], length)[: len(r["context"]) - length + 1] for r in part]
                 copies = np.repeat([r["copies"] for r in part], [len(e) for e in each])
                 unique, which = np.unique(np.concatenate(each), return_inverse=True)
                 total = np.bincount(which, copies, len(unique)).astype(np.int64)

@@ -104,7 +104,7 @@ def test_edits_and_moves_lower_the_likeness():
 
 
 def check_pieces(rows, pairs, window, words):
-    ids = {i: packing.token_ids(t or "", words) for i, t in pairs}
+    ids = {i: words.ids_of([(t or "").encode()])[0] for i, t in pairs}
     by_doc, by_sequence = {}, {}
     for r in rows:
         by_doc.setdefault(r["doc_id"], []).append(r)
@@ -145,9 +145,12 @@ def test_tokens_equal_the_tokenizer():
     tokenizer = Tokenizer.from_file(packing.default_tokenizer())
     words = packing.word_tokens(packing.default_tokenizer())
     texts = ["", "It's DON'T we'll 'S x''s", "a<|endoftext|>b < | > <|startoftext|>", "É é é Σας ΟΔΟΣ İ", "12 3.5%%% a_b ²½ ª­b",
-             "a b c\u0085d\x0be\x1cf", "日本語 текст", "tab\tnew\nline\r\n end", "ÀÖØß×÷µ"]
-    for t in texts:
-        assert packing.token_ids(t, words).tolist() == tokenizer.encode(t, add_special_tokens=False).ids + [2], t
+             "a b c\u0085d\x0be\x1cf", "日本語 текст", "tab\tnew\nline\r\n end", "ÀÖØß×÷µ", "x" * 200 + " " + "ab" * 30 + "!" * 90]
+    import duckdb
+
+    texts += [r[0] for r in duckdb.sql("select text from '/root/testdata/sf0.001/documents.parquet'").fetchall()]
+    for t, ids in zip(texts, words.ids_of([t.encode() for t in texts])):
+        assert ids.tolist() == tokenizer.encode(t, add_special_tokens=False).ids + [2], t
 
 
 # --- URL rules ---
