@@ -26,6 +26,10 @@ BATCH_BYTES = 2 << 20
 # Written bytes up to which the answers of an exchange, or other small sides, are broadcast.
 BROADCAST_BYTES = 32 << 20
 
+# A batch's number: the partition's number, then the batch's place in it. A document's: the batch's, then its place.
+PLACE_IN_PARTITION = 20
+PLACE_IN_BATCH = 18
+
 BATCH_SCHEMA = "batch long, doc_ids array<bigint>, lens array<bigint>, blob binary"
 
 U64 = np.uint64
@@ -218,7 +222,7 @@ def batches(
     arrow = _arrow(wanted)
 
     def build(frames: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, number = partition_number() << 32, 0
+        base, number = partition_number() << PLACE_IN_PARTITION, 0
         for ids, texts in gather(frames):
             row = {"batch": base + number, "doc_ids": ids, "lens": [len(t) for t in texts]}
             row["blob"] = zstandard.ZstdCompressor(level=1).compress(b"".join(texts))
