@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import order_minhash, packing, substring_dedup, suffix_dedup, url_rules
+from riskloom.llm import language_id, ngram_join, order_minhash, packing, substring_dedup, suffix_dedup, url_rules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_language_id": language_id.op3,
         "op4_order_minhash": order_minhash.op4,
+        "op5_ngram_join": ngram_join.op5,
         "op6_substring_dedup": substring_dedup.op6,
         "op7_suffix_dedup": suffix_dedup.op7,
         "op8_packing": packing.op8,
