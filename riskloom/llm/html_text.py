@@ -37,6 +37,10 @@ LABELLED = (
     (55, 10, 40, 0, 1, 0, 0, 1, 1), (150, 3, 3, 0, 60, 12, 0, 1, 1), (12, 25, 30, 0, 18, 0, 0, 1, 1), (1, 0, 0, 0, 0, 0, 0, 1, 1),
     (2, 0, 3, 0, 4, 0, 0, 1, 1), (6, 50, 90, 0, 75, 5, 0, 1, 1), (30, 60, 25, 0, 40, 0, 0, 1, 1), (4, 100, 60, 0, 48, 0, 0, 1, 1),
     (5, 100, 33, 0, 0, 0, 0, 1, 1), (700, 0, 200, 0, 300, 0, 0, 1, 1), (8, 0, 5, 100, 30, 0, 0, 1, 1),
+    (7, 0, 1, 0, 1, 0, 0, 1, 1), (7, 0, 0, 0, 0, 0, 0, 1, 1), (6, 0, 1, 0, 1, 0, 0, 1, 1), (5, 0, 2, 0, 0, 0, 0, 1, 1), (4, 0, 0, 0, 6, 0, 0, 1, 1),
+    (10, 0, 6, 0, 8, 0, 0, 1, 1), (13, 0, 1, 0, 4, 0, 0, 1, 1), (17, 0, 2, 0, 2, 0, 0, 1, 1), (3, 0, 7, 0, 9, 0, 0, 1, 1), (2, 0, 1, 0, 30, 0, 0, 1, 1),
+    (1, 0, 5, 0, 3, 0, 0, 1, 1), (6, 0, 15, 0, 2, 0, 0, 1, 1), (11, 0, 0, 0, 3, 0, 0, 1, 1), (24, 0, 4, 0, 0, 0, 0, 1, 1), (8, 0, 250, 0, 1, 0, 0, 1, 1),
+    (14, 40, 3, 0, 2, 0, 0, 1, 1), (5, 80, 12, 0, 7, 0, 0, 1, 1), (2, 50, 4, 0, 70, 0, 0, 1, 1), (3, 0, 2, 100, 5, 0, 0, 1, 1), (4, 0, 3, 0, 6, 100, 0, 1, 1),
     # inside the article: lists of links
     (4, 100, 5, 100, 3, 100, 0, 1, 0), (3, 100, 4, 100, 6, 100, 0, 1, 0), (6, 100, 2, 95, 5, 100, 0, 1, 0),
     # pages without an article element
