@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -61,6 +62,11 @@ def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if written_bytes(df) <= limit else df
 
 
+def text_key(text: bytes) -> int:
+    """What ``xxhash64`` of a text column gives for it; of a null text as for an empty one once it is coalesced."""
+    return int(U64(xxhash.xxh64_intdigest(text, seed=42)).astype(np.int64))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -106,16 +112,16 @@ def _powers(n: int) -> list[np.ndarray]:
 
 
 class Words:
-    """The words of a batch's texts, end to end: runs of bytes other than 0x20 and 0x09-0x0D, as 64-bit hashes.
+    """The words of a batch's texts, end to end, as 64-bit hashes: runs of bytes other than those ``between`` words.
 
     A word's hash is that of its bytes wherever it stands: a polynomial over the byte codes, read off prefix sums.
     """
 
-    def __init__(self, texts: list[bytes], lower: bool = False):
+    def __init__(self, texts: list[bytes], lower: bool = False, between: np.ndarray = _IS_SPACE):
         data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
         if lower:
             data = LOWER_CASE[data]
-        space = _IS_SPACE[data]
+        space = between[data]
         edges = np.flatnonzero(np.diff(np.concatenate(([True], space))))
         first, last = edges[::2], edges[1::2]
         power, inverse = _powers(len(data))

@@ -29,8 +29,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import (
-    PLACE_IN_BATCH, U64, Words, answers, batches, exchange, map_rows, pack, rolling, save, small_side, table, texts_of,
-    unpack,
+    PLACE_IN_BATCH, U64, Words, answers, batches, exchange, map_rows, pack, rolling, save, small_side, table, text_key,
+    texts_of, unpack,
 )
 from riskloom.llm.components import components
 
@@ -90,12 +90,11 @@ def _signed(x: np.ndarray) -> list[int]:
     return x.view(np.int64).tolist()
 
 
-def join(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row: the least doc_id reachable by links of similarity >= num / den.
+def members(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """node, doc_id, text_key, n, component, component_id of every row; written.
 
-    A text that is null or has no words has an empty set and is linked with nothing. Rows with equal sets, repeated rows
-    among them, are linked. A null doc_id is never a component's id unless its component has no other. An empty
-    table gives no rows.
+    ``node`` numbers the rows, ``component`` is the least node of a distinct set reachable by links (null for an empty
+    set), ``text_key`` is xxhash64 of the text.
     """
     like = Likeness(num, den)
     held, nodes, groups = _distinct_sets(docs, k, like)
@@ -108,12 +107,43 @@ def join(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
         "sid", "first_id", F.coalesce("component", "rep").alias("component")
     )
     least = labels.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    of_set = save(labels.join(least, "component").select("sid", "component_id"), "components")
-    return nodes.join(of_set, "sid", "left").select(
+    of_set = save(labels.join(least, "component").select("sid", "component", "component_id"), "components")
+    return save(nodes.join(of_set, "sid", "left").drop("sid"), "members")
+
+
+def join(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row: the least doc_id reachable by links of similarity >= num / den.
+
+    A text that is null or has no words has an empty set and is linked with nothing. Rows with equal sets, repeated rows
+    among them, are linked. A null doc_id is never a component's id unless its component has no other. An empty
+    table gives no rows.
+    """
+    return members(docs, k, num, den).select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
 
+def one_of_each(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """The rows of ``docs``, with all columns, without those linked to a kept one: each component keeps its least doc_id.
+
+    Rows without words are all kept. Of rows that share doc_id and text one is kept, if any is.
+    """
+    found = members(docs, k, num, den)
+    order = F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "node")
+    kept = found.where("component is not null").groupBy("component").agg(F.min(order).alias("kept"))
+    rows = found.join(kept, "component").select(
+        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), (F.col("node") == F.col("kept.node")).alias("stays")
+    )
+    keys = save(rows.groupBy("_id", "_key").agg(F.max("stays").alias("_stays"), F.count("*").alias("_copies")).where("not _stays or _copies > 1"), "dropped")
+    same = (F.col("doc_id").eqNullSafe(F.col("_id"))) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_key"))
+    out = docs.join(small_side(keys), same, "left_anti")
+    copied = keys.where("_stays")
+    if not copied.isEmpty():
+        once = docs.join(copied, same, "left_semi").withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+        out = out.unionByName(once.dropDuplicates(["doc_id", "_hash"]).drop("_hash"))
+    return out
+
+
 def _distinct_sets(docs: DataFrame, k: int, like: Likeness) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(batches with first shingles, a row for each document, a row for each distinct set)."""
 
@@ -123,13 +153,13 @@ def _distinct_sets(docs: DataFrame, k: int, like: Likeness) -> tuple[DataFrame,
         distinct = list(dict(zip(sids, sets)).values())
         early = [s[: like.early(len(s))] for s in distinct if len(s)]
         keys, counts = np.unique(np.concatenate(early), return_counts=True) if early else (np.empty(0, U64), np.empty(0, int))
-        return {"sizes": [len(s) for s in sets], "sids": sids, "keys": pack(keys), "payload": pack(counts.astype(np.int64))}
+        return {"text_keys": [text_key(t) for t in texts], "sizes": [len(s) for s in sets], "sids": sids, "keys": pack(keys), "payload": pack(counts.astype(np.int64))}
 
-    held = batches(docs, "shingles", first_shingles, "sizes array<bigint>, sids array<binary>, keys binary, payload binary")
-    each = held.select("batch", F.posexplode(F.arrays_zip("doc_ids", "sizes", "sids")).alias("place", "d"))
+    held = batches(docs, "shingles", first_shingles, "text_keys array<bigint>, sizes array<bigint>, sids array<binary>, keys binary, payload binary")
+    each = held.select("batch", F.posexplode(F.arrays_zip("doc_ids", "text_keys", "sizes", "sids")).alias("place", "d"))
     nodes = each.select(
-        (F.col("batch") * FIRST + F.col("place")).alias("node"), F.col("d.doc_ids").alias("doc_id"), F.col("d.sizes").alias("n"),
-        F.when(F.col("d.sizes") > 0, F.col("d.sids")).alias("sid"),
+        (F.col("batch") * FIRST + F.col("place")).alias("node"), F.col("d.doc_ids").alias("doc_id"),
+        F.col("d.text_keys").alias("text_key"), F.col("d.sizes").alias("n"), F.when(F.col("d.sizes") > 0, F.col("d.sids")).alias("sid"),
     )
     groups = nodes.where("n > 0").groupBy("sid").agg(F.min("node").alias("rep"), F.min("doc_id").alias("first_id"))
     return held, nodes, save(groups, "distinct-sets")

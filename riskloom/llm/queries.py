@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import language_id, ngram_join, order_minhash, packing, substring_dedup, suffix_dedup, url_rules
+from riskloom.llm import class_lm, html_text, language_id, latent_leaks, ngram_join, order_minhash, packing, substring_dedup, suffix_dedup, url_rules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_class_lm": class_lm.op1,
+        "op2_html_text": html_text.op2,
         "op3_language_id": language_id.op3,
         "op4_order_minhash": order_minhash.op4,
         "op5_ngram_join": ngram_join.op5,
@@ -18,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_suffix_dedup": suffix_dedup.op7,
         "op8_packing": packing.op8,
         "op9_url_rules": url_rules.op9,
+        "op10_latent_leaks": latent_leaks.op10,
     }
 
 

@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.common import (
     BYTE_CODES, U64, answers, arrow_schema, batch_of, batches, exchange, map_rows, pack, partition_number, rolling,
-    runs_of, save, shuffle_partitions, sliding_min, small_side, table, texts_of, unpack,
+    runs_of, save, shuffle_partitions, sliding_min, small_side, table, text_key,
+    texts_of, unpack,
 )
 
 LENGTH = 400
@@ -309,5 +310,34 @@ def digest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return map_rows(joined, rows, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
+def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """The rows of ``docs``, with all columns, whose texts lose every repeated string; rows without a word left go.
+
+    A code point that is cut in two goes as a whole. n_chars, if there is such a column, follows the text.
+    """
+    held, lost = repeated_bytes(docs, length, min(LEAD, length))
+
+    def changed(row: dict) -> Iterator[dict]:
+        for doc_id, text, kept, removed, _ in kept_texts(row, length):
+            if removed:
+                rest = kept.decode("utf-8", "ignore")
+                yield {"_id": doc_id, "_key": text_key(text), "_text": rest if rest.strip() else None}
+
+    new = save(map_rows(held.join(small_side(lost), "batch"), changed, "_id long, _key long, _text string"), "changed-texts")
+    new = new.withColumn("_changed", F.lit(True)).dropDuplicates(["_id", "_key"])
+    same = (F.col("doc_id").eqNullSafe(F.col("_id"))) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_key"))
+    out = docs.join(new, same, "left").where("_changed is null or _text is not null")
+    text = F.when(F.col("_changed"), F.col("_text")).otherwise(F.col("text"))
+    columns = []
+    for c in docs.columns:
+        if c == "text":
+            columns.append(text.alias("text"))
+        elif c == "n_chars":
+            columns.append(F.when(F.col("_changed"), F.length("_text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType).alias("n_chars"))
+        else:
+            columns.append(F.col(c))
+    return out.select(*columns)
+
+
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(table(spark, sf_dir, "documents"))
