@@ -182,12 +182,11 @@ def runs_of(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
-def covered(length: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Which of ``length`` places lie in one of the intervals."""
-    steps = np.zeros(length + 1, np.int64)
-    np.add.at(steps, starts, 1)
-    np.add.at(steps, ends, -1)
-    return np.cumsum(steps[:-1]) > 0
+def merged_intervals(starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal runs covered by intervals of one size: their starts and ends."""
+    s = np.unique(starts)
+    fresh = np.flatnonzero(np.concatenate(([True], s[1:] > s[:-1] + size)))
+    return s[fresh], s[np.concatenate((fresh[1:] - 1, [len(s) - 1]))] + size
 
 
 # --- batches ---

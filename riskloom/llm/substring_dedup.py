@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import (
-    U64, Words, answers, batches, covered, exchange, map_rows, mix, pack, rolling, save, sliding_min, small_side, table,
-    texts_of, unpack,
+    U64, Words, answers, batches, exchange, map_rows, merged_intervals, mix, pack, rolling, save, sliding_min, small_side,
+    table, texts_of, unpack,
 )
 
 WINDOW = 50
@@ -73,7 +73,7 @@ def sketch_bits(docs: DataFrame, window: int, gram: int) -> int:
 
 
 def repeated_words(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
-    """(batches of whole texts, removed words): the second has batch, doc (place in the batch), starts, ends.
+    """(batches of whole texts, removed words): the second has for each batch the documents' maximal removed spans.
 
     A word is removed if a window covers it whose words also start, as a window, in a document with a smaller
     doc_id. Documents without an id neither lose words nor take them from others.
@@ -125,12 +125,14 @@ def repeated_words(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> t
         ids = np.array([NO_ID if i is None else i for i in row["doc_ids"]], np.int64)
         flagged = (answers(row, "least")[which] == 1) | (unpack(row["payload"], np.int64)[which] < ids[doc])
         at, doc = at[flagged], doc[flagged]
+        lost = []
         for d in np.unique(doc).tolist():
-            own = at[doc == d] - starts[d]
-            yield {"batch": row["batch"], "doc": d, "windows": pack(own.astype(np.uint32))}
+            a, b = merged_intervals(at[doc == d] - starts[d], window)
+            lost.append({"doc": d, "starts": a.tolist(), "ends": b.tolist()})
+        yield {"batch": row["batch"], "lost": lost}
 
-    lost = map_rows(grouped.join(small_side(elsewhere), "batch"), removed, "batch long, doc int, windows binary")
-    return held, save(lost, "removed-words")
+    spans = "batch long, lost array<struct<doc: int, starts: array<int>, ends: array<int>>>"
+    return held, save(map_rows(grouped.join(small_side(elsewhere), "batch"), removed, spans), "removed-words")
 
 
 def digest(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -140,19 +142,17 @@ def digest(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     take nothing from each other, as neither id is smaller. An empty table gives no rows.
     """
     held, lost = repeated_words(docs, window, window // 2)
-    per_batch = save(lost.groupBy("batch").agg(F.collect_list(F.struct("doc", "windows")).alias("lost")), "removed-by-batch")
 
     def rows(row: dict) -> Iterator[dict]:
-        lost_of = {x["doc"]: unpack(x["windows"], np.uint32).astype(np.int64) for x in row["lost"] or []}
+        lost_of = {x["doc"]: (x["starts"], x["ends"]) for x in row["lost"] or []}
         for d, (doc_id, text) in enumerate(zip(row["doc_ids"], texts_of(row))):
             words = text.split()
-            n, kept = len(words), words
-            if d in lost_of:
-                gone = covered(n, lost_of[d], lost_of[d] + window)
-                kept = [w for w, g in zip(words, gone.tolist()) if not g]
-            yield {"doc_id": doc_id, "n_words": n, "n_removed": n - len(kept), "kept_sha256": hashlib.sha256(b" ".join(kept)).hexdigest()}
+            starts, ends = lost_of.get(d, ([], []))
+            kept = [w for a, b in zip([0, *ends], [*starts, len(words)]) for w in words[a:b]] if starts else words
+            digest_of = hashlib.sha256(b" ".join(kept)).hexdigest()
+            yield {"doc_id": doc_id, "n_words": len(words), "n_removed": len(words) - len(kept), "kept_sha256": digest_of}
 
-    joined = held.select("batch", "doc_ids", "lens", "blob").join(small_side(per_batch), "batch", "left")
+    joined = held.select("batch", "doc_ids", "lens", "blob").join(small_side(lost), "batch", "left")
     return map_rows(joined, rows, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
