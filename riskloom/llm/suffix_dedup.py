@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import (
-    BYTE_CODES, U64, answers, arrow_schema, batch_of, batches, exchange, map_rows, pack, partition_number, rolling,
-    runs_of, save, shuffle_partitions, sliding_min, small_side, table, text_key,
+    BYTE_CODES, U64, answers, arrow_schema, batch_of, batches, exchange, map_rows, merged_intervals, pack,
+    partition_number, rolling, save, shuffle_partitions, sliding_min, small_side, table, text_key,
     texts_of, unpack,
 )
 
@@ -158,7 +158,7 @@ def _contexts(row: dict, length: int, lead: int) -> tuple[list, dict, list]:
 
 
 def repeated_bytes(docs: DataFrame, length: int = LENGTH, lead: int = LEAD) -> tuple[DataFrame, DataFrame]:
-    """(batches of whole texts, strings found): the second has batch, doc, and the starts of all repeated strings."""
+    """(batches of whole texts, spans): the second has for each batch the documents' maximal repeated spans."""
     spark = docs.sparkSession
 
     def anchors(ids: list, texts: list[bytes]) -> dict:
@@ -200,9 +200,11 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, lead: int = LEAD) -> t
         for d, first, slot in zip(row["runs"], row["firsts"], row["slots"]):
             if slot in found:
                 starts.setdefault(d, []).append(found[slot] + first)
-        yield {"batch": row["batch"], "lost": [{"doc": d, "starts": pack(np.concatenate(s).astype(np.uint32))} for d, s in starts.items()]}
+        spans = {d: merged_intervals(np.concatenate(s), length) for d, s in starts.items()}
+        yield {"batch": row["batch"], "lost": [{"doc": d, "starts": a.tolist(), "ends": b.tolist()} for d, (a, b) in spans.items()]}
 
-    lost = map_rows(runs.join(small_side(by_batch), "batch"), spread, "batch long, lost array<struct<doc: int, starts: binary>>")
+    spans = "batch long, lost array<struct<doc: int, starts: array<int>, ends: array<int>>>"
+    lost = map_rows(runs.join(small_side(by_batch), "batch"), spread, spans)
     return held.select("batch", "doc_ids", "lens", "blob"), save(lost, "repeated-bytes")
 
 
@@ -278,19 +280,12 @@ def _by_hashes(contexts: DataFrame, length: int) -> DataFrame:
     return map_rows(sent.join(exchange(sent, "hot-counts"), "batch"), verdict, "batch long, slot int, found binary")
 
 
-def kept_texts(row: dict, length: int) -> Iterator[tuple[int | None, bytes, bytes, int, int]]:
+def kept_texts(row: dict) -> Iterator[tuple[int | None, bytes, bytes, int, int]]:
     """(doc_id, text, kept bytes, removed bytes, removed runs) of each document of a batch."""
-    lost = {x["doc"]: unpack(x["starts"], np.uint32).astype(np.int64) for x in row["lost"] or []}
+    lost = {x["doc"]: (x["starts"], x["ends"]) for x in row["lost"] or []}
     for d, (doc_id, text) in enumerate(zip(row["doc_ids"], texts_of(row))):
-        if d not in lost:
-            yield doc_id, text, text, 0, 0
-            continue
-        steps = np.zeros(len(text) + 1, np.int64)
-        np.add.at(steps, lost[d], 1)
-        np.add.at(steps, lost[d] + length, -1)
-        starts, ends = runs_of(np.cumsum(steps[:-1]) > 0)
-        edges = [0, *np.stack((starts, ends), 1).ravel().tolist(), len(text)]
-        kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
+        starts, ends = lost.get(d, ([], []))
+        kept = b"".join(text[a:b] for a, b in zip([0, *ends], [*starts, len(text)]))
         yield doc_id, text, kept, len(text) - len(kept), len(starts)
 
 
@@ -303,7 +298,7 @@ def digest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     held, lost = repeated_bytes(docs, length, min(LEAD, length))
 
     def rows(row: dict) -> Iterator[dict]:
-        for doc_id, text, kept, removed, spans in kept_texts(row, length):
+        for doc_id, text, kept, removed, spans in kept_texts(row):
             yield {"doc_id": doc_id, "n_bytes": len(text), "n_removed": removed, "n_spans": spans, "kept_sha256": hashlib.sha256(kept).hexdigest()}
 
     joined = held.join(small_side(lost), "batch", "left")
@@ -318,7 +313,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     held, lost = repeated_bytes(docs, length, min(LEAD, length))
 
     def changed(row: dict) -> Iterator[dict]:
-        for doc_id, text, kept, removed, _ in kept_texts(row, length):
+        for doc_id, text, kept, removed, _ in kept_texts(row):
             if removed:
                 rest = kept.decode("utf-8", "ignore")
                 yield {"_id": doc_id, "_key": text_key(text), "_text": rest if rest.strip() else None}
