@@ -156,7 +156,7 @@ def bigram_blocks(training: DataFrame, words: Lexicon) -> DataFrame:
             joined, which = np.unique(np.concatenate((codes, new)), return_inverse=True)
             n = np.bincount(which, np.concatenate((n, counts)), len(joined)).astype(np.int64)
             codes = joined
-            if len(codes) > 10 * HELD:
+            if len(codes) > 5 * HELD:
                 yield rows(codes, n)
                 codes, n = codes[:0], n[:0]
         yield rows(codes, n)
