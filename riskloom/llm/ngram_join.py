@@ -2,8 +2,9 @@
 
 Exact set similarity with relations between sets used to skip work:
 
-1.  Equal sets are one set. A set can have a partner only if one of its first shingles, in any order common to all
-    sets, is also among another set's first ones. The order of hashes decides at little cost which sets go on.
+1.  Equal sets are one set. In any order common to all sets, the first shingles of two alike sets have several in
+    common; how many first ones must have how many is known from the sizes. So, in the order of hashes, a set goes on only
+    if enough of its first shingles are among those of any other sets. Most sets have a few of them, alike sets many.
 2.  Among those, shingles are put in order of how many sets hold them, rarest first. Shingles of one set only come
     first of all, so a set with too many of its own is done. What remains is the inverted index: for each
     shingle the sets that have it early, each with its position.
@@ -20,16 +21,17 @@ Shingles are 64-bit hashes of word sequences; equality of sets is by 128 bits.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from math import log
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import (
-    PLACE_IN_BATCH, U64, Words, answers, batches, exchange, map_rows, pack, rolling, save, small_side, table, text_key,
+    PLACE_IN_BATCH, U64, Words, answers, arrow_schema, batches, exchange, map_rows, pack, rolling, save, small_side, table, text_key,
     texts_of, unpack,
 )
 from riskloom.llm.components import components
@@ -45,15 +47,23 @@ class Likeness:
             raise ValueError("the similarity must be above 0 and at most 1")
         self.num, self.den = num, den
 
-    def early(self, n: int) -> int:
+    def early(self, n):
         """How many first shingles of a set of size ``n`` must hold one in common with any partner."""
         return n + self.num * n // -self.den + 1
 
+    def several(self, n):
+        """How many common shingles the first filter asks for at once: a tenth of a set of size ``n``."""
+        return -(-n // 10)
+
+    def first(self, n: int) -> int:
+        """How many shingles of least hash must hold that many common with any partner of the same size or larger."""
+        return min(n, n - self.smallest(n) + self.several(n))
+
     def largest(self, n: np.ndarray, position: np.ndarray) -> np.ndarray:
         """Size of the largest possible partner if the first common shingle is at ``position`` (from 1)."""
         return ((self.num + self.den) * (n - position + 1) - self.num * n) // self.num
 
-    def smallest(self, n: int) -> int:
+    def smallest(self, n):
         return -(-self.num * n // self.den)
 
     def alike(self, common: Column, n: Column, m: Column) -> Column:
@@ -86,10 +96,6 @@ def _digest(s: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(s.tobytes())
 
 
-def _signed(x: np.ndarray) -> list[int]:
-    return x.view(np.int64).tolist()
-
-
 def members(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """node, doc_id, text_key, n, component, component_id of every row; written.
 
@@ -151,7 +157,7 @@ def _distinct_sets(docs: DataFrame, k: int, like: Likeness) -> tuple[DataFrame,
         sets = shingle_sets(texts, k)
         sids = [_digest(s) for s in sets]
         distinct = list(dict(zip(sids, sets)).values())
-        early = [s[: like.early(len(s))] for s in distinct if len(s)]
+        early = [s[: like.first(len(s))] for s in distinct if len(s)]
         keys, counts = np.unique(np.concatenate(early), return_counts=True) if early else (np.empty(0, U64), np.empty(0, int))
         return {"text_keys": [text_key(t) for t in texts], "sizes": [len(s) for s in sets], "sids": sids, "keys": pack(keys), "payload": pack(counts.astype(np.int64))}
 
@@ -179,13 +185,17 @@ def _sets_in_order(held: DataFrame, groups: DataFrame, k: int, like: Likeness) -
         places, texts = sorted(row["places"]), texts_of(row)
         kept, sets = [], []
         for place, s in zip(places, shingle_sets([texts[p] for p in places], k)):
-            if np.isin(s[: like.early(len(s))], often).any():
+            first = s[: like.first(len(s))]
+            at = np.minimum(np.searchsorted(often, first), max(0, len(often) - 1))
+            # a smaller partner has fewer first shingles: its number is what can be asked for
+            if len(often) and (often[at] == first).sum() >= like.several(like.smallest(len(s))):
                 kept.append(place)
                 sets.append(s)
         if kept:
             yield {"batch": row["batch"], "places": kept, "sizes": [len(s) for s in sets], "shingles": np.concatenate(sets).tobytes()}
 
-    joined = held.join(small_side(reps), "batch").join(small_side(counted), "batch")
+    read = held.select("batch", "lens", "blob", "keys")
+    joined = read.join(small_side(reps), "batch").join(small_side(counted), "batch")
     going_on = save(
         map_rows(joined, survivors, "batch long, places array<int>, sizes array<bigint>, shingles binary"), "surviving-sets"
     )
@@ -196,28 +206,43 @@ def _sets_in_order(held: DataFrame, groups: DataFrame, k: int, like: Likeness) -
 
     held_by = exchange(map_rows(going_on, distinct, "batch long, keys binary, payload binary"), "shingle-counts")
 
-    def in_order(row: dict) -> Iterator[dict]:
-        shingles = np.frombuffer(row["shingles"], U64)
-        frequency = answers(row)[np.unique(shingles, return_inverse=True)[1]]
-        at = 0
-        for place, n in zip(row["places"], row["sizes"]):
-            s, f = shingles[at : at + n], frequency[at : at + n]
-            at += n
-            shared = np.flatnonzero(f >= 2)
-            s = s[shared[np.lexsort((s[shared], f[shared]))]]
-            own = n - len(s)
-            position = np.arange(own + 1, min(n, like.early(n)) + 1)
-            largest = like.largest(n, position)
-            useful = largest >= like.smallest(n)
-            if useful.any():
-                early = zip(_signed(s[: len(position)]), position.tolist(), largest.tolist(), useful.tolist())
-                yield {
-                    "node": row["batch"] * FIRST + place, "n": n, "shingles": _signed(s),
-                    "early": [{"token": t, "position": p, "largest": m} for t, p, m, u in early if u],
-                }
-
     schema = "node long, n long, shingles array<bigint>, early array<struct<token: bigint, position: bigint, largest: bigint>>"
-    return save(map_rows(going_on.join(small_side(held_by), "batch"), in_order, schema), "sets")
+    arrow = arrow_schema(held.sparkSession, schema)
+
+    def in_order(frames: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in frames:
+            for i in range(frame.num_rows):
+                row = {c: frame.column(c)[i].as_py() for c in frame.schema.names}
+                yield _ordered(row, like, arrow)
+
+    return save(going_on.join(small_side(held_by), "batch").mapInArrow(in_order, schema), "sets")
+
+
+def _ordered(row: dict, like: Likeness, schema: pa.Schema) -> pa.RecordBatch:
+    """A batch's sets with their shared shingles, rarest first, and which of these are early enough to matter."""
+    shingles, n = np.frombuffer(row["shingles"], U64), np.array(row["sizes"], np.int64)
+    frequency = answers(row)[np.unique(shingles, return_inverse=True)[1]]
+    shared = np.flatnonzero(frequency >= 2)
+    doc = np.repeat(np.arange(len(n)), n)[shared]
+    order = np.lexsort((shingles[shared], frequency[shared], doc))
+    token, counts = shingles[shared[order]].view(np.int64), np.bincount(doc, minlength=len(n))
+    starts = np.cumsum(counts) - counts
+    position = np.arange(len(doc)) - starts[doc] + (n - counts)[doc] + 1
+    largest = like.largest(n[doc], position)
+    useful = (position <= like.early(n)[doc]) & (largest >= like.smallest(n)[doc])
+    kept = np.flatnonzero(np.bincount(doc, useful, len(n)))
+    there = np.isin(doc, kept)
+    entry = pa.StructArray.from_arrays([pa.array(x[useful]) for x in (token, position, largest)], fields=list(schema.field("early").type.value_type))
+    lists = lambda sizes, values, kind: pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), values).cast(kind)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(row["batch"] * FIRST + np.array(row["places"], np.int64)[kept]),
+            pa.array(n[kept]),
+            lists(counts[kept], pa.array(token[there]), schema.field("shingles").type),
+            lists(np.bincount(doc, useful, len(n))[kept].astype(np.int64), entry, schema.field("early").type),
+        ],
+        schema=schema,
+    )
 
 
 def _common(pairs: DataFrame, sets: DataFrame) -> DataFrame:
