@@ -111,7 +111,7 @@ def repeated_words(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> t
             "starts": pack(words.starts), "at": pack(np.diff(at, prepend=0).astype(np.uint32)), "which": pack(which.astype(np.uint32)),
         }
 
-    joined = held.join(small_side(estimates), "batch")
+    joined = held.drop("payload").join(small_side(estimates), "batch")
     grouped = save(
         map_rows(joined, second, "batch long, doc_ids array<bigint>, keys binary, payload binary, starts binary, at binary, which binary"),
         "repeated-windows",

@@ -172,7 +172,7 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, lead: int = LEAD) -> t
         "doc binary, first binary, last binary, anchor binary, run_keys binary, keys binary, payload binary",
     )
     counted = exchange(held, "anchor-counts")
-    joined = held.join(small_side(counted), "batch")
+    joined = held.drop("doc_ids", "payload").join(small_side(counted), "batch")
 
     def cut(row: dict) -> Iterator[dict]:
         kept, slots, slot_of = _contexts(row, length, lead)
