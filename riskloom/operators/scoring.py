@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from riskloom.functions.genotype import dosage, effect_alternate_index, effect_is_reference
 from riskloom.operators.genotypes import BlockedGenotypes, Genotypes
 from riskloom.schema import WEIGHTS, require_schema
-from riskloom.sources.stored import Stored, store
+from riskloom.sources.stored import BROADCAST_ROWS, Stored, store
 
 # Loci up to which the genotype calls stay where they are: some 50 bytes each, so
 # about 200 MB per executor. Two genome-wide models have fewer.
@@ -59,10 +59,19 @@ def score_models(
 
     The report list joins by union: each member adds an empty row per model to
     the rows being summed, and sums without such a row are dropped afterwards.
-    That costs one shuffle for everything, whatever the size of the cohort.
+    That costs one shuffle for everything, whatever the size of the cohort. A
+    counted list that is small enough also filters the calls where they lie, so
+    that nobody else is summed.
     """
-    members = genotypes.samples if members is None else members
-    called = contributions(genotypes.calls, loci, row_limit).select(
+    calls = genotypes.calls
+    if members is None:
+        members = genotypes.samples
+    else:
+        listed = store(members.select("s").distinct(), "members")
+        members = listed.df
+        if listed.rows <= BROADCAST_ROWS:
+            calls = calls.join(F.broadcast(listed.df), "s", "left_semi")
+    called = contributions(calls, loci, row_limit).select(
         "prs_id", "s", "contribution", F.lit(0).alias("is_member")
     )
     return _sum_up(called.unionByName(_empty_rows(members.select("s"), loci)), ["prs_id", "s"])

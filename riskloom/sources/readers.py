@@ -7,8 +7,9 @@ cast: a reordered or widened file still lands in the right types.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.operators.genotypes import Genotypes, SparseGenotypes
 from riskloom.schema import (
@@ -32,7 +33,7 @@ def read_genotypes(spark: SparkSession, path: str) -> Genotypes:
     variants = require_rows(
         require_schema(spark.read.parquet(f"{path}/variants"), VARIANTS, "variants"), "variants"
     )
-    calls = require_schema(spark.read.parquet(f"{path}/calls"), CALLS, "calls")
+    calls = require_schema(_with_text(spark, f"{path}/calls", "contig"), CALLS, "calls")
     return Genotypes(samples, variants, calls)
 
 
@@ -45,7 +46,7 @@ def read_sparse_genotypes(spark: SparkSession, path: str) -> SparseGenotypes:
 
 def read_weights(spark: SparkSession, path: str) -> DataFrame:
     """A written weight table; wrong types or no rows are an error."""
-    return require_rows(require_schema(spark.read.parquet(path), WEIGHTS, "weights"), "weights")
+    return require_rows(require_schema(_with_text(spark, path, "prs_id"), WEIGHTS, "weights"), "weights")
 
 
 def read_text_columns(
@@ -60,7 +61,23 @@ def read_text_columns(
     missing = [c for c in types if c not in raw.columns and c not in optional]
     if missing:
         raise SchemaError(f"{path} lacks {missing}; it has {raw.columns}")
-    return raw.select(*[F.col(c).cast(t).alias(c) for c, t in types.items() if c in raw.columns])
+    return raw.select(*[_read_as(c, t).alias(c) for c, t in types.items() if c in raw.columns])
+
+
+def _read_as(name: str, kind: str) -> Column:
+    """A column of text in another type; whole numbers may be written ``1.0``; unreadable values are NULL."""
+    if kind == "long":
+        return F.coalesce(F.col(name).try_cast("long"), F.col(name).try_cast("double").try_cast("long"))
+    return F.col(name).try_cast(kind)
+
+
+def _with_text(spark: SparkSession, path: str, *names: str) -> DataFrame:
+    """A Parquet table whose named columns are text, even where folder names look like numbers."""
+    schema = spark.read.parquet(path).schema
+    if not any(f.name in names for f in schema):
+        return spark.read.parquet(path)
+    fields = [T.StructField(f.name, T.StringType() if f.name in names else f.dataType, f.nullable) for f in schema]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
 def read_flagged_samples(spark: SparkSession, path: str) -> DataFrame | None:
