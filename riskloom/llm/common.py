@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from riskloom.sources.stored import new_path
 
 # Bytes of text after which a batch is closed; a longer text is a batch of its own.
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 # Written bytes up to which the answers of an exchange, or other small sides, are broadcast.
 BROADCAST_BYTES = 32 << 20
 
