@@ -27,8 +27,9 @@ BATCH_BYTES = 1 << 20
 # Written bytes up to which the answers of an exchange, or other small sides, are broadcast.
 BROADCAST_BYTES = 32 << 20
 
-# Rows of text that an executor hands to Python at a time; Spark's own default is ten times as many.
+# Rows, and bytes, that an executor hands to Python at a time; Spark's own defaults are ten times as many and more.
 FRAME_ROWS = 1000
+FRAME_BYTES = 4 << 20
 # A batch's number: the partition's number, then the batch's place in it. A document's: the batch's, then its place.
 PLACE_IN_PARTITION = 20
 PLACE_IN_BATCH = 18
@@ -197,11 +198,12 @@ def merged_intervals(starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndar
 def texts_as_bytes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id and the UTF-8 bytes of the text (null: empty); other columns, whatever their names, are left out.
 
-    Sets the session's Arrow frames to at most ``FRAME_ROWS`` rows, as texts are long.
+    Sets the session's Arrow frames to at most ``FRAME_ROWS`` rows and about ``FRAME_BYTES``, as texts are long.
     """
     conf = docs.sparkSession.conf
     if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > FRAME_ROWS:
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(FRAME_ROWS))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(FRAME_BYTES))
     return docs.select(
         F.col(id_column).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_column), F.lit("")).cast("binary").alias("data"),
