@@ -195,15 +195,16 @@ def merged_intervals(starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndar
 # --- batches ---
 
 
-def texts_as_bytes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id and the UTF-8 bytes of the text (null: empty); other columns, whatever their names, are left out.
+def limit_frames(spark: SparkSession) -> None:
+    """Sets the session's Arrow frames to at most ``FRAME_ROWS`` rows and about ``FRAME_BYTES``, as texts are long."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > FRAME_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(FRAME_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(FRAME_BYTES))
 
-    Sets the session's Arrow frames to at most ``FRAME_ROWS`` rows and about ``FRAME_BYTES``, as texts are long.
-    """
-    conf = docs.sparkSession.conf
-    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > FRAME_ROWS:
-        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(FRAME_ROWS))
-    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(FRAME_BYTES))
+
+def texts_as_bytes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """doc_id and the UTF-8 bytes of the text (null: empty); other columns, whatever their names, are left out."""
+    limit_frames(docs.sparkSession)
     return docs.select(
         F.col(id_column).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_column), F.lit("")).cast("binary").alias("data"),

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import arrow_schema, batch_of, table
+from riskloom.llm.common import arrow_schema, batch_of, limit_frames, table
 
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "apart", "article")
 
@@ -263,6 +263,7 @@ def extract(pages: DataFrame, tree: Tree) -> DataFrame:
 
     Repeated rows and null ids are kept as they are; pages of any length are read whole; an empty table gives no rows.
     """
+    limit_frames(pages.sparkSession)
     source = pages.select(F.col("page_id").alias("page_id"), F.col("url").alias("url"), F.coalesce("html", F.lit("")).alias("html"))
     wanted = source.select("page_id", "url", F.lit("").alias("text"), F.lit(0).cast("long").alias("n_chars")).schema
     added = arrow_schema(pages.sparkSession, "text string, n_chars long")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import U64, arrow_schema, batch_of, mix, pack, rolling, table, unpack
+from riskloom.llm.common import U64, arrow_schema, batch_of, limit_frames, mix, pack, rolling, table, unpack
 
 FIT_ROWS = 1500
 BUCKETS = 1 << 16
@@ -204,6 +204,7 @@ def predict(model: Model, texts: list[str]) -> list[tuple[str, float, list[tuple
 def fit(training: DataFrame, rows_per_language: int = FIT_ROWS) -> Model:
     """Counts from a bounded sample of (text, lang); rows without either are left out."""
     spark = training.sparkSession
+    limit_frames(spark)
     known = training.where("text is not null and lang is not null").select("lang", "text")
     sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").collect()}  # a row for each language
     languages = sorted(sizes)
@@ -243,6 +244,7 @@ def fit(training: DataFrame, rows_per_language: int = FIT_ROWS) -> Model:
 def identify(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
     """All columns of ``docs``, and ``llm_lang``, ``llm_score``, ``llm_spans`` (first and last word, language)."""
     spark = docs.sparkSession
+    limit_frames(spark)
     shared = spark.sparkContext.broadcast(model)  # languages x buckets numbers, whatever the corpus
     ddl = "llm_lang string, llm_score double, llm_spans array<struct<first: int, last: int, lang: string>>"
     added = arrow_schema(spark, ddl)
