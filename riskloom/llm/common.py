@@ -285,13 +285,22 @@ def map_rows(df: DataFrame, build: Callable[[dict], Iterable[dict]], schema: str
 # --- exchange ---
 
 
-def exchange(sent: DataFrame, label: str, how: str = "sum") -> DataFrame:
+def packed_keys(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    return unpack(row["keys"], U64), unpack(row["payload"], np.int64)
+
+
+def exchange(
+    sent: DataFrame, label: str, how: str = "sum", prepare: Callable[[dict], tuple[np.ndarray, np.ndarray]] = packed_keys,
+    reads: tuple[str, ...] = ("keys", "payload"),
+) -> DataFrame:
     """Meet all batches' keys: (batch, answers) for ``sent``'s rows of (batch, keys, payload).
 
     ``keys`` packs distinct ascending 64-bit hashes, ``payload`` one 64-bit number for each. With ``sum`` the
     answer is the sum of the payloads of a key over all batches, at most 65,535 (unsigned 16 bit); with ``least``
     it is whether another batch has a smaller payload for the key (one byte). Answers come in the order of the
     keys, as one packed array for each bucket, buckets in ascending order: read them by ``answers``.
+
+    ``prepare`` may derive keys and payload from other columns, ``reads``, in the same Python worker.
     """
     spark = sent.sparkSession
     bits = max(4, (2 * shuffle_partitions(spark) - 1).bit_length())
@@ -301,7 +310,7 @@ def exchange(sent: DataFrame, label: str, how: str = "sum") -> DataFrame:
     def split(frames: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
             for i in range(frame.num_rows):
-                keys, payload = unpack(frame.column("keys")[i].as_py(), U64), unpack(frame.column("payload")[i].as_py(), np.int64)
+                keys, payload = prepare({c: frame.column(c)[i].as_py() for c in reads})
                 cuts = np.searchsorted(keys >> U64(64 - bits), np.arange(1 << bits, dtype=U64)).tolist() + [len(keys)]
                 parts = [(b, x, y) for b, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x]
                 yield batch_of(
@@ -340,7 +349,7 @@ def exchange(sent: DataFrame, label: str, how: str = "sum") -> DataFrame:
             schema=answer_schema,
         )
 
-    parts = sent.select("batch", "keys", "payload").mapInArrow(split, "bucket int, batch long, keys binary, payload binary")
+    parts = sent.select("batch", *reads).mapInArrow(split, "bucket int, batch long, keys binary, payload binary")
     merged = parts.groupBy("bucket").applyInArrow(merge, "batch long, bucket int, answer binary")
     back = merged.groupBy("batch").agg(F.sort_array(F.collect_list(F.struct("bucket", "answer"))).alias("answers"))
     return save(back, label)

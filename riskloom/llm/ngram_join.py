@@ -200,11 +200,11 @@ def _sets_in_order(held: DataFrame, groups: DataFrame, k: int, like: Likeness) -
         map_rows(joined, survivors, "batch long, places array<int>, sizes array<bigint>, shingles binary"), "surviving-sets"
     )
 
-    def distinct(row: dict) -> Iterator[dict]:
+    def distinct(row: dict) -> tuple[np.ndarray, np.ndarray]:
         keys, counts = np.unique(np.frombuffer(row["shingles"], U64), return_counts=True)
-        yield {"batch": row["batch"], "keys": pack(keys), "payload": pack(counts.astype(np.int64))}
+        return keys, counts.astype(np.int64)
 
-    held_by = exchange(map_rows(going_on, distinct, "batch long, keys binary, payload binary"), "shingle-counts")
+    held_by = exchange(going_on, "shingle-counts", prepare=distinct, reads=("shingles",))
 
     schema = "node long, n long, shingles array<bigint>, early array<struct<token: bigint, position: bigint, largest: bigint>>"
     arrow = arrow_schema(held.sparkSession, schema)
