@@ -4,6 +4,8 @@ Every training word has a class: the ``CLASSED`` most frequent words each for it
 groups. Exchange clustering assigns these units to ``CLASSES`` classes: from the counts of neighbouring units over
 all training texts, each unit moves to the class that raises the likelihood of the class bigrams most. Units decide
 at the same time, half of them in each sweep, so that a sweep is one pass over the written bigram counts.
+Then every other word seen at least ``TOLD`` times leaves its group for the class that its own neighbours make likeliest, in one pass
+over the training texts; its class stands in the table of counts. Rarer words stay with their group.
 
     P(word | word before) = P(class | class before) * P(word | class)
 
@@ -27,11 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import arrow_schema, batch_of, gather, mix, pack, partition_number, save, table, texts_as_bytes, unpack
+from riskloom.llm.common import arrow_schema, batch_of, gather, mix, pack, partition_number, save, shuffle_partitions, table, texts_as_bytes, unpack
 
 HOT = 1 << 18
 CLASSED = 8192
 ENDINGS = 2048
+# Occurrences from which a word's neighbours tell its class.
+TOLD = 5
 CLASSES = 64
 SWEEPS = 12
 # Weight of the classes' shares in a transition.
@@ -212,8 +216,9 @@ def best_moves(pairs: np.ndarray, after: np.ndarray, before: np.ndarray, itself:
         f[:], p[:] = f, p
         # f and p now count the unit's other neighbours; those in its own class lose it too
         sums = m.sum(axis=1)
-        rows, columns = _xlogx(m), _xlogx(m)
-        change = (_xlogx(m + f) - rows).sum(axis=1) + (_xlogx(m + p[:, None]) - columns).sum(axis=0)
+        x, y = f > 0, p > 0  # other columns and rows stay as they are
+        rows, columns = m[:, x], m[y]
+        change = (_xlogx(rows + f[x]) - _xlogx(rows)).sum(axis=1) + (_xlogx(columns + p[y, None]) - _xlogx(columns)).sum(axis=0)
         d = np.arange(k + 1)
         both = m[d, d]
         change += _xlogx(both + f + p + s) - _xlogx(both + f) - _xlogx(both + p) + _xlogx(both)
@@ -298,13 +303,89 @@ def cluster(blocks: DataFrame, sweeps: int = SWEEPS) -> tuple[np.ndarray, np.nda
     return best[1], best[2], likelihoods
 
 
+# --- the other words ---
+
+
+def word_classes(training: DataFrame, counts: DataFrame, words: Lexicon, classes: np.ndarray, pairs: np.ndarray) -> DataFrame:
+    """``counts`` with ``cls``, the class of a word that is no unit and was seen ``TOLD`` times, else null; written.
+
+    A task sends its words' counts of the classes beside them: after the word, before it, and last the word itself after it.
+    """
+    spark = training.sparkSession
+    ddl = "word binary, codes binary, n binary"
+    schema, out_schema = arrow_schema(spark, ddl), arrow_schema(spark, "word binary, cls int")
+    width = CLASSES + 1
+    codes_of_word = 2 * width + 1
+    shared = spark.sparkContext.broadcast(words.words[:CLASSED])
+
+    def rows(index: dict[bytes, int], codes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        cuts = np.searchsorted(codes, np.arange(len(index) + 1) * codes_of_word).tolist()
+        local, n = (codes % codes_of_word).astype(np.int16), n.astype(np.int64)
+        return batch_of(
+            {"word": list(index), "codes": [local[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], "n": [n[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]}, schema
+        )
+
+    def count(frames: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units = {w: i for i, w in enumerate(shared.value)}
+        index: dict[bytes, int] = {}
+        codes, n = np.empty(0, np.int64), np.empty(0, np.int64)
+        for _, texts in gather(frames):
+            flat = [END]
+            for t in texts:
+                flat += words_of(t)
+                flat.append(END)
+            place, unit = units_of(flat, units)
+            ends = np.array([w == END for w in flat])
+            unit[ends] = END_UNIT
+            cls = classes[unit]
+            at = np.flatnonzero((place < 0) & ~ends)
+            own = np.fromiter((index.setdefault(flat[i], len(index)) for i in at.tolist()), np.int64, len(at)) * codes_of_word
+            number = np.full(len(flat), -1)
+            number[at] = own
+            twice = own[number[at + 1] == own]
+            new, m = np.unique(np.concatenate((own + cls[at + 1], own + width + cls[at - 1], twice + 2 * width)), return_counts=True)
+            joined, which = np.unique(np.concatenate((codes, new)), return_inverse=True)
+            n = np.bincount(which, np.concatenate((n, m)), len(joined)).astype(np.int64)
+            codes = joined
+            if len(codes) > 2 * HELD:
+                yield rows(index, codes, n)
+                index, codes, n = {}, codes[:0], n[:0]
+        yield rows(index, codes, n)
+
+    def assign(group: pa.Table) -> pa.Table:
+        index: dict[bytes, int] = {}
+        own = np.array([index.setdefault(w, len(index)) for w in group.column("word").to_pylist()], np.int64)
+        codes = [np.frombuffer(c, np.int16) for c in group.column("codes").to_pylist()]
+        n = np.frombuffer(b"".join(group.column("n").to_pylist()), np.int64)
+        own, code = np.repeat(own, [len(c) for c in codes]), np.concatenate(codes).astype(np.int64)
+        seen = np.bincount(own[code < width], n[code < width], len(index))
+        kept = np.flatnonzero(seen >= TOLD)
+        names = list(index)
+        names = [names[i] for i in kept.tolist()]
+        number = np.full(len(index), -1)
+        number[kept] = np.arange(len(kept))
+        use = number[own] >= 0
+        target = np.empty(0, np.int64)
+        if len(kept):
+            sums = np.bincount(number[own[use]] * codes_of_word + code[use], n[use], len(kept) * codes_of_word).reshape(len(kept), codes_of_word)
+            at = classes[[ending_unit(w) for w in names]]
+            target, _ = best_moves(pairs, sums[:, :width], sums[:, width : 2 * width], sums[:, -1], at)
+        return pa.Table.from_batches([batch_of({"word": names, "cls": target.tolist()}, out_schema)])
+
+    parts = training.mapInArrow(count, ddl)
+    bucket = F.pmod(F.xxhash64("word"), F.lit(8 * shuffle_partitions(spark)))
+    found = parts.groupBy(bucket.alias("bucket")).applyInArrow(assign, "word binary, cls int")
+    return save(counts.join(found, "word", "left"), "word-classes")
+
+
 # --- model ---
 
 
 @dataclass
 class ClassModel:
     words: Lexicon
-    classes: np.ndarray
+    classes: np.ndarray  # of each unit
+    own_classes: np.ndarray  # of each word of the lexicon
     transitions: np.ndarray  # log10, from row to column
     sizes: np.ndarray  # tokens of each class
     discounts: np.ndarray
@@ -327,13 +408,14 @@ def class_sizes(counts: DataFrame, words: Lexicon, classes: np.ndarray) -> tuple
         for frame in frames:
             c = frame.column("c").to_numpy()
             unit = np.array([index[w] if w in index else ending_unit(w) for w in frame.column("word").to_pylist()], np.int64)
-            cls = classes[unit]
+            told = frame.column("cls").to_numpy()
+            cls = np.where(told >= 0, told, classes[unit])
             for i, weight in enumerate((c, np.ones(len(c)), c == 1, c == 2)):
                 sums[:, i] += np.bincount(cls, weight, CLASSES + 1).astype(np.int64)
         rows = np.arange(CLASSES + 1).tolist()
         yield batch_of({"c": rows} | {n: sums[:, i].tolist() for i, n in enumerate(("tokens", "types", "once", "twice"))}, schema)
 
-    parts = counts.mapInArrow(total, "c int, tokens long, types long, once long, twice long")
+    parts = counts.select("word", "c", F.coalesce("cls", F.lit(-1)).alias("cls")).mapInArrow(total, "c int, tokens long, types long, once long, twice long")
     out = np.zeros((4, CLASSES + 1), np.int64)
     for r in parts.groupBy("c").agg(*[F.sum(n).alias(n) for n in ("tokens", "types", "once", "twice")]).collect():
         out[:, r["c"]] = r["tokens"], r["types"], r["once"], r["twice"]
@@ -341,36 +423,40 @@ def class_sizes(counts: DataFrame, words: Lexicon, classes: np.ndarray) -> tuple
 
 
 def train(training: DataFrame, sweeps: int = SWEEPS) -> tuple[ClassModel, DataFrame]:
-    """(model, word counts) from (doc_id, data) rows."""
+    """(model, word counts and classes) from (doc_id, data) rows."""
     counts = word_counts(training)
     total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.sum(F.when(F.col("word") == F.lit(END), F.col("c"))).alias("ends")).first()
     words = lexicon(counts, HOT)
     classes, pairs, _ = cluster(bigram_blocks(training, words), sweeps)
+    counts = word_classes(training, counts, words, classes, pairs)
+    told = {bytes(r["word"]): r["cls"] for r in counts.where((F.col("c") >= words.least) & F.col("cls").isNotNull()).select("word", "cls").collect()}  # at most ``HOT``
+    own = np.array([told.get(w, classes[i if i < CLASSED else ending_unit(w)]) for i, w in enumerate(words.words)], np.int64)
     tokens, types, once, twice = class_sizes(counts, words, classes)
-    share = (tokens + 1) / (tokens.sum() + CLASSES + 1)
-    transitions = np.log10((pairs + PRIOR * share) / (pairs.sum(axis=1, keepdims=True) + PRIOR))
     # share of a word's count that is kept for unseen words; a class without words has nothing else
     discounts = np.where(once > 0, once / np.maximum(once + 2 * twice, 1), 0.5)
     discounts = np.clip(discounts, 0.05, 0.95)
     discounts[CLASSES] = 0.0  # there is one end only
     with np.errstate(divide="ignore"):
         unseen = np.where(tokens > 0, np.log10(discounts * types / np.maximum(tokens, 1)), 0.0)
-    return ClassModel(words, classes, transitions, tokens, discounts, unseen, total["n"] or 0, total["v"], total["ends"] or 0), counts
+    model = ClassModel(words, classes, own, np.zeros_like(pairs), tokens, discounts, unseen, total["n"] or 0, total["v"], total["ends"] or 0)
+    # transitions are counted anew, as words have left their groups
+    pairs = class_bigrams(in_classes(training, model, counts))
+    share = (tokens + 1) / (tokens.sum() + CLASSES + 1)
+    model.transitions = np.log10((pairs + PRIOR * share) / (pairs.sum(axis=1, keepdims=True) + PRIOR))
+    return model, counts
 
 
 # --- scoring ---
 
-_LINES = "word binary, row long, doc_id long, held_out boolean, tf long, class int, n_tokens long, known long, base double, score double"
+_LINES = "word binary, row long, doc_id long, held_out boolean, tf long, class int, n_tokens long, known long, base double, score double, classes binary, places binary"
+_TEXTS = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, classes binary"
 
 
-def score(docs: DataFrame, model: ClassModel, counts: DataFrame) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row.
-
-    A null or empty text is its end alone. Rows that repeat a doc_id are scored each for itself; a row without one is
-    not held out. Without training texts every token is unseen.
-    """
-    spark = docs.sparkSession
-    schema = arrow_schema(spark, _LINES)
+def in_classes(source: DataFrame, model: ClassModel, counts: DataFrame) -> DataFrame:
+    """A row for each of (doc_id, data): the columns of ``score``, which here has the emissions only, and the packed classes
+    of the text's words, with an end on both sides."""
+    spark = source.sparkSession
+    schema, out_schema = arrow_schema(spark, _LINES), arrow_schema(spark, _TEXTS)
     shared = spark.sparkContext.broadcast(model)  # at most ``HOT`` words, and matrices of classes
     scale = model.tokens + 0.5 * (model.types + 1)
     base_of = lambda c: np.log10((c + 0.5) / scale)
@@ -378,9 +464,7 @@ def score(docs: DataFrame, model: ClassModel, counts: DataFrame) -> DataFrame:
     def lines(frames: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         index = m.words.index()
-        rank = np.arange(len(m.words.words))
-        own_unit = np.where(rank < CLASSED, rank, [ending_unit(w) for w in m.words.words] or 0)
-        cls = m.classes[own_unit.astype(np.int64)]
+        cls = m.own_classes
         base = base_of(m.words.counts)
         emission = np.log10((m.words.counts - m.discounts[cls]) / np.maximum(m.sizes[cls], 1))
         end_base = base_of(m.end_count)
@@ -391,30 +475,41 @@ def score(docs: DataFrame, model: ClassModel, counts: DataFrame) -> DataFrame:
                 words = words_of(text)
                 place = np.fromiter(map(index.get, words, repeat(-1)), np.int64, len(words))
                 hot = place[place >= 0]
-                classes = np.empty(len(words) + 2, np.int64)
+                classes = np.empty(len(words) + 2, np.uint8)
                 classes[0] = classes[-1] = CLASSES
                 classes[1:-1] = cls[place] if len(cls) else 0
-                rare: Counter = Counter()
+                rare: dict[bytes, list[int]] = {}
                 for i in np.flatnonzero(place < 0).tolist():
-                    rare[words[i]] += 1
+                    rare.setdefault(words[i], []).append(i + 1)
                     classes[i + 1] = m.classes[ending_unit(words[i])]
                 held = tested_id(doc_id)
                 line = (
                     END + row.to_bytes(8, "big"), row, doc_id, held, 0, 0, len(words) + 1, len(hot) + (m.end_count > 0),
-                    float(base[hot].sum() + end_base), float(emission[hot].sum() + m.transitions[classes[:-1], classes[1:]].sum()),
+                    float(base[hot].sum() + end_base), float(emission[hot].sum()), pack(classes), None,
                 )
                 for column, value in zip(out.values(), line):
                     column.append(value)
-                for w, tf in rare.items():
-                    line = (w, row, None, None, tf, int(m.classes[ending_unit(w)]), 0, 0, 0.0, 0.0)
+                for w, at in rare.items():
+                    line = (w, row, None, None, len(at), int(classes[at[0]]), 0, 0, 0.0, 0.0, None, np.array(at, np.int32).tobytes())
                     for column, value in zip(out.values(), line):
                         column.append(value)
                 row += 1
             yield batch_of(out, schema)
 
+    def placed(frames: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in frames:
+            classes = []
+            for data, told in zip(frame.column("classes").to_pylist(), frame.column("told").to_pylist()):
+                own = unpack(data, np.uint8).copy()
+                for t in told:
+                    own[np.frombuffer(t["places"], np.int32)] = t["cls"]
+                classes.append(pack(own))
+            kept = [frame.column(f.name) for f in out_schema if f.name != "classes"]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(classes, pa.binary())], schema=out_schema)
+
     rare = counts.where(F.col("c") < model.words.least).withColumnRenamed("word", "known_word")
-    met = texts_as_bytes(docs).mapInArrow(lines, _LINES).join(rare, F.col("word") == F.col("known_word"), "left")
-    number = lambda values: F.element_at(F.array(*[F.lit(float(x)) for x in values]), F.col("class") + 1)
+    met = source.mapInArrow(lines, _LINES).join(rare, F.col("word") == F.col("known_word"), "left")
+    number = lambda values: F.element_at(F.array(*[F.lit(float(x)) for x in values]), F.coalesce("cls", "class") + 1)
     emitted = F.when(F.col("c").isNull(), number(model.unseen)).otherwise(F.log10((F.col("c") - number(model.discounts)) / number(np.maximum(model.sizes, 1))))
     base = F.log10((F.coalesce("c", F.lit(0)) + 0.5) / scale)
     sums = met.groupBy("row").agg(
@@ -422,8 +517,51 @@ def score(docs: DataFrame, model: ClassModel, counts: DataFrame) -> DataFrame:
         F.sum(F.col("known") + F.when(F.col("c").isNotNull(), F.col("tf")).otherwise(0)).alias("n_known"),
         F.sum(F.col("base") + F.when(F.col("tf") > 0, F.col("tf") * base).otherwise(0.0)).alias("base_score"),
         F.sum(F.col("score") + F.when(F.col("tf") > 0, F.col("tf") * emitted).otherwise(0.0)).alias("score"),
+        F.first("classes", ignorenulls=True).alias("classes"),
+        F.collect_list(F.when(F.col("cls").isNotNull(), F.struct("cls", "places"))).alias("told"),
     )
-    return sums.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    return sums.drop("row").mapInArrow(placed, _TEXTS)
+
+
+def class_bigrams(texts: DataFrame) -> np.ndarray:
+    """Counts of classes beside each other in the rows of ``in_classes``."""
+    width = CLASSES + 1
+
+    def count(frames: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(width * width, np.int64)
+        for frame in frames:
+            for data in frame.column("classes").to_pylist():
+                own = unpack(data, np.uint8).astype(np.int64)
+                sums += np.bincount(own[:-1] * width + own[1:], minlength=width * width)
+        there = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(sums[there])], names=["pair", "n"])
+
+    out = np.zeros(width * width)
+    for r in texts.select("classes").mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        out[r["pair"]] = r["n"]
+    return out.reshape(width, width)
+
+
+def score(docs: DataFrame, model: ClassModel, counts: DataFrame) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row.
+
+    A null or empty text is its end alone. Rows that repeat a doc_id are scored each for itself; a row without one is
+    not held out. Without training texts every token is unseen.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model.transitions)
+    ddl = _TEXTS.removesuffix(", classes binary")
+    at = ddl.split(", ").index("score double")
+
+    def add(frames: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in frames:
+            total = []
+            for emitted, data in zip(frame.column("score").to_pylist(), frame.column("classes").to_pylist()):
+                own = unpack(data, np.uint8)
+                total.append(emitted + float(shared.value[own[:-1], own[1:]].sum()))
+            yield frame.set_column(at, "score", pa.array(total, pa.float64())).drop_columns(["classes"])
+
+    scored = in_classes(texts_as_bytes(docs), model, counts).mapInArrow(add, ddl)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
