@@ -5,7 +5,7 @@ probability of its character n-grams (1 to 4 letters, with word ends) and of the
 to ``BUCKETS``; the mean is weighted by the square root of the word's length. The best sequence of languages, where each change
 costs ``SWITCH``, labels every word; spans are runs of one label.
 
-Counts come from at most about ``FIT_ROWS`` training rows of each language, chosen by a hash of their text, read whole. The sample's
+Counts come from at most about ``FIT_ROWS`` distinct training texts of each language, chosen by a hash, read whole. The sample's
 bound is a parameter of the fit; prediction covers all rows.
 """
 
@@ -202,17 +202,18 @@ def predict(model: Model, texts: list[str]) -> list[tuple[str, float, list[tuple
 
 
 def fit(training: DataFrame, rows_per_language: int = FIT_ROWS) -> Model:
-    """Counts from a bounded sample of (text, lang); rows without either are left out."""
+    """Counts from a bounded sample of the distinct (text, lang); rows without either are left out."""
     spark = training.sparkSession
     limit_frames(spark)
     known = training.where("text is not null and lang is not null").select("lang", "text")
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").collect()}  # a row for each language
+    texts = known.select("lang", F.xxhash64("text").alias("h")).distinct()
+    sizes = {r["lang"]: r["n"] for r in texts.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").collect()}  # a row for each language
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros((0, BUCKETS)), np.zeros((0, len(SCRIPT_NAMES))))
-    # the share of each language's rows, by the text's hash: the same rows whatever the partitions
+    # the share of each language's texts, by the text's hash: the same texts whatever the partitions, and copies once
     share = F.element_at(F.create_map(*[x for lang in languages for x in (F.lit(lang), F.lit(min(1.0, rows_per_language / sizes[lang])))]), F.col("lang"))
-    sample = known.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share * 1_000_000)
+    sample = known.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share * 1_000_000).distinct()
     schema = arrow_schema(spark, "lang string, counts binary, scripts binary")
 
     def count(frames: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -62,3 +62,12 @@ def test_best_paths():
         value = lambda p: sum(scores[s + i, x] for i, x in enumerate(p)) - 1.25 * sum(a != b for a, b in zip(p, p[1:]))  # noqa: E731, B023
         best = max(itertools.product(range(3), repeat=int(n)), key=value)
         assert value(labels[s : s + n]) == pytest.approx(value(best))
+
+
+def test_a_language_of_copies_is_learned(spark):
+    rows = [(f"кот {i} сидит на столе", "ru") for i in range(5)] * 40 + [("the cat sits", "en"), ("le chat est", "fr")] * 3
+    training = spark.createDataFrame(rows, "text string, lang string")
+    # whatever the hashes of the texts: a bound of as many texts takes each once
+    model, once = lid.fit(training, 5), lid.fit(training.distinct(), 5)
+    assert model.uses.any(axis=1).all() and np.array_equal(model.log_p, once.log_p)
+    assert lid.predict(model, ["кот на столе"])[0][0] == "ru"
