@@ -15,15 +15,15 @@ from riskloom.llm.common import save, table
 # Near duplicates: five-word shingles, similarity of 0.8 or more.
 SHINGLE_WORDS = 5
 SIMILARITY = (8, 10)
-# Least share of a text's letters in the language found.
-LEAST_SHARE = 0.5
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with letters, at least half of which are in one language; the model learns from the labelled rows."""
+    """Texts with letters, mixed ones too; the model learns from the labelled rows. Without any, all texts with letters stay."""
     model = language_id.fit(docs.select("text", "lang"))
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     found = language_id.identify(docs, model)
-    return found.where((F.col("llm_lang") != "und") & (F.col("llm_score") >= LEAST_SHARE)).select(*docs.columns)
+    return found.where(F.col("llm_lang") != "und").select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
