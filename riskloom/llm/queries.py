@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import class_lm, html_text, language_id, latent_leaks, ngram_join, order_minhash, packing, substring_dedup, suffix_dedup, url_rules, whitening
+from riskloom.llm import class_lm, html_text, language_id, latent_leaks, ngram_join, order_minhash, packing, source_mix, substring_dedup, suffix_dedup, url_rules, whitening
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": packing.op8,
         "op9_url_rules": url_rules.op9,
         "op10_latent_leaks": latent_leaks.op10,
+        "op11_source_mix": source_mix.op11,
         "op13_whitening": whitening.op13,
     }
 
