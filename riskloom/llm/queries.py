@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import class_lm, html_text, language_id, latent_leaks, ngram_join, order_minhash, packing, source_mix, substring_dedup, suffix_dedup, url_rules, whitening
+from riskloom.llm import class_lm, collocations, html_text, language_id, latent_leaks, ngram_join, order_minhash, packing, source_mix, substring_dedup, suffix_dedup, url_rules, whitening
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,9 +22,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_url_rules": url_rules.op9,
         "op10_latent_leaks": latent_leaks.op10,
         "op11_source_mix": source_mix.op11,
+        "op12_collocations": collocations.op12,
         "op13_whitening": whitening.op13,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_substring_dedup": substring_dedup.op6_sql(), "op9_url_rules": url_rules.op9_sql()}
+    return {"op6_substring_dedup": substring_dedup.op6_sql(), "op9_url_rules": url_rules.op9_sql(), "op12_collocations": collocations.op12_sql()}
