@@ -10,10 +10,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.schema import EmptyInputError, require_schema
@@ -34,36 +35,88 @@ RESULT = (
 )
 
 
+@dataclass(frozen=True)
+class RiskRules:
+    """Who may be a case or a control of a phecode.
+
+    ``definitions`` has phecode, sex ("Male", "Female", anything else: both), and optionally exclude_first and
+    exclude_last: with ``use_exclusions``, a person with any phecode between these two, compared as numbers, is no
+    control. A phecode may have several rows, one for each range; a phecode without a row has no rule. ``sex`` names the
+    cohort's column, 1 for men if ``male_as_one``, else 1 for women.
+    """
+
+    definitions: DataFrame
+    sex: str
+    male_as_one: bool = True
+    use_exclusions: bool = False
+
+    def is_male(self) -> Column:
+        return F.col(self.sex) == F.lit(1 if self.male_as_one else 0)
+
+    def limits(self) -> DataFrame:
+        """(phecode, only_male) of the phecodes of one sex: a row each."""
+        only = F.when(F.lower("sex") == "male", True).when(F.lower("sex") == "female", False)
+        return self.definitions.groupBy("phecode").agg(F.max(only).alias("only_male")).where("only_male is not null")
+
+    def related(self, counts: DataFrame) -> DataFrame:
+        """(target, phecode): having ``phecode`` rules a person out as a control of ``target``.
+
+        Ranges meet the phecodes on whole numbers first, so none is compared with all.
+        """
+        number = F.col("phecode").try_cast("double")
+        known = counts.select("phecode").distinct().select("phecode", number.alias("value"), F.floor(number).alias("whole"))
+        first, last = F.col("exclude_first").try_cast("double"), F.col("exclude_last").try_cast("double")
+        ranges = self.definitions.select(F.col("phecode").alias("target"), first.alias("first"), last.alias("last")).where("first <= last")
+        wholes = ranges.withColumn("whole", F.explode(F.sequence(F.floor("first"), F.floor("last"))))
+        return known.join(wholes, "whole").where(F.col("value").between(F.col("first"), F.col("last"))).select("target", "phecode").distinct()
+
+
 def phecode_case_counts(
-    cohort: DataFrame, counts: DataFrame, min_count: int = MIN_COUNT, min_cases: int = MIN_CASES
+    cohort: DataFrame, counts: DataFrame, min_count: int = MIN_COUNT, min_cases: int = MIN_CASES, rules: RiskRules | None = None
 ) -> DataFrame:
     """Cases, controls and left-out people per phecode with enough cases.
 
     A person with at least ``min_count`` occurrences is a case, with none a
-    control, and otherwise neither.
+    control, and otherwise neither. ``rules`` leave out the other sex, and
+    controls with a related phecode.
     """
-    marked = _marks(cohort, counts, min_count)
-    total = cohort.agg(F.count(F.lit(1))).scalar()
+    marked = _marks(cohort, counts, min_count, rules)
+    found = marked.groupBy("phecode").agg(
+        F.count_if("is_case").alias("n_cases"), F.count_if(~F.col("is_case")).alias("n_excluded")
+    )
+    if rules is None:
+        total = cohort.agg(F.count(F.lit(1))).scalar()
+    else:
+        found = found.join(rules.limits(), "phecode", "left")
+        everybody, men = cohort.agg(F.count(F.lit(1))).scalar(), cohort.agg(F.count_if(rules.is_male())).scalar()
+        total = F.when(F.col("only_male").isNull(), everybody).when(F.col("only_male"), men).otherwise(everybody - men)
     return (
-        marked.groupBy("phecode")
-        .agg(F.count_if("is_case").alias("n_cases"), F.count_if(~F.col("is_case")).alias("n_excluded"))
-        .where(F.col("n_cases") >= min_cases)
+        found.where(F.col("n_cases") >= min_cases)
         .select(
             "phecode", "n_cases", (total - F.col("n_cases") - F.col("n_excluded")).alias("n_controls"), "n_excluded"
         )
     )
 
 
-def _marks(cohort: DataFrame, counts: DataFrame, min_count: int) -> DataFrame:
-    """One row per cohort member and phecode they have at all.
+def _marks(cohort: DataFrame, counts: DataFrame, min_count: int, rules: RiskRules | None = None) -> DataFrame:
+    """One row per cohort member and phecode they have at all, or are ruled out of as a control.
 
     Summed before the join, after which no person has more rows than phecodes.
     """
+    had = counts.where(F.col("n") > 0).groupBy("person_id", "phecode").agg((F.sum("n") >= min_count).alias("is_case"))
+    if rules is None:
+        return had.join(cohort.select("person_id"), "person_id", "left_semi")
+    if rules.use_exclusions:
+        ruled_out = had.select("person_id", "phecode").join(rules.related(counts), "phecode").select(
+            "person_id", F.col("target").alias("phecode"), F.lit(False).alias("is_case")
+        )
+        had = had.unionByName(ruled_out).groupBy("person_id", "phecode").agg(F.max("is_case").alias("is_case"))
+    people = cohort.select("person_id", rules.is_male().alias("is_male"))
     return (
-        counts.where(F.col("n") > 0)
-        .groupBy("person_id", "phecode")
-        .agg((F.sum("n") >= min_count).alias("is_case"))
-        .join(cohort.select("person_id"), "person_id", "left_semi")
+        had.join(people, "person_id")
+        .join(rules.limits(), "phecode", "left")
+        .where(F.col("only_male").isNull() | (F.col("only_male") == F.col("is_male")))
+        .select("person_id", "phecode", "is_case")
     )
 
 
@@ -75,11 +128,13 @@ def association_scan(
     sex: str,
     min_count: int = MIN_COUNT,
     min_cases: int = MIN_CASES,
+    rules: RiskRules | None = None,
 ) -> DataFrame:
     """Effect of ``exposure`` on every tested phecode, adjusted for covariates and sex.
 
     ``cohort``: person_id and numeric columns; members with a missing value are
-    left out. ``counts``: person_id, phecode, n.
+    left out. ``counts``: person_id, phecode, n. ``rules`` give each phecode its
+    own risk set; among people of one sex its coefficient is 0.
     """
     features = [exposure, *covariates, sex]
     require_schema(cohort, {"person_id": None, **{f: None for f in features}}, "association cohort")
@@ -91,7 +146,8 @@ def association_scan(
     if complete.rows == 0:
         raise EmptyInputError("no cohort member has all covariates")
     # One row per phecode of the vocabulary.
-    tested = phecode_case_counts(complete.df, counts, min_count, min_cases).orderBy("phecode").collect()
+    tested = phecode_case_counts(complete.df, counts, min_count, min_cases, rules).orderBy("phecode").collect()
+    limits = {r["phecode"]: r["only_male"] for r in rules.limits().collect()} if rules else {}
     scale = complete.df.agg(
         *[F.avg(f).alias(f"mean_{f}") for f in features], *[F.stddev_samp(f).alias(f"std_{f}") for f in features]
     ).first()
@@ -103,22 +159,25 @@ def association_scan(
     results = []
     for start in range(0, len(tested), PHECODES_PER_FIT):
         block = tested[start : start + PHECODES_PER_FIT]
-        people = _people(complete, counts, varying, scale, [r["phecode"] for r in block], min_count)
-        beta, covariance, converged = _fit(people, len(block), 1 + len(varying))
+        people = _people(complete, counts, varying, scale, [r["phecode"] for r in block], min_count, rules)
+        # 1: men only, 0: women only, -1: both.
+        sexes = np.array([{True: 1, False: 0}.get(limits.get(r["phecode"]), -1) for r in block], dtype=np.int8)
+        beta, covariance, converged = _fit(people, len(block), 1 + len(varying), sexes)
         for i, row in enumerate(block):
             results.append(_result(row, beta[i, 1], covariance[i, 1, 1], scale[f"std_{exposure}"], converged[i]))
     return spark.createDataFrame(results, RESULT)
 
 
 def _people(
-    complete: Stored, counts: DataFrame, features: list[str], scale, phecodes: list[str], min_count: int
+    complete: Stored, counts: DataFrame, features: list[str], scale, phecodes: list[str], min_count: int,
+    rules: RiskRules | None,
 ) -> DataFrame:
-    """x = (1, standardised features), with the numbers of the phecodes a person has or half has."""
+    """x = (1, standardised features), with the numbers of the phecodes a person has, or is neither case nor control of."""
     spark = complete.df.sparkSession
     numbered = spark.createDataFrame(list(enumerate(phecodes)), "number int, phecode string")
     # At most PHECODES_PER_FIT rows, and as many entries per person.
     lists = (
-        _marks(complete.df, counts, min_count)
+        _marks(complete.df, counts, min_count, rules)
         .join(F.broadcast(numbered), "phecode")
         .groupBy("person_id")
         .agg(
@@ -130,13 +189,13 @@ def _people(
     none = F.array().cast("array<int>")
     return store(
         complete.df.join(lists, "person_id", "left").select(
-            x.alias("x"), F.coalesce("cases", none).alias("cases"), F.coalesce("excluded", none).alias("excluded")
+            x.alias("x"), (rules.is_male() if rules else F.lit(True)).alias("is_male"), F.coalesce("cases", none).alias("cases"), F.coalesce("excluded", none).alias("excluded")
         ),
         "scan_people",
     ).df
 
 
-def _fit(people: DataFrame, n_phecodes: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _fit(people: DataFrame, n_phecodes: int, width: int, sexes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Newton's method for all phecodes at once: coefficients, covariances, converged."""
     beta = np.zeros((n_phecodes, width))
     covariance = np.full((n_phecodes, width, width), np.nan)
@@ -146,7 +205,7 @@ def _fit(people: DataFrame, n_phecodes: int, width: int) -> tuple[np.ndarray, np
         active = np.flatnonzero(~converged & np.isfinite(beta).all(axis=1))
         if not len(active):
             break
-        gradient, packed = _sums(people, active, beta[active], upper)
+        gradient, packed = _sums(people, active, beta[active], upper, sexes[active])
         hessian = np.zeros((len(active), width, width))
         hessian[:, upper[0], upper[1]] = packed
         hessian[:, upper[1], upper[0]] = packed
@@ -159,12 +218,13 @@ def _fit(people: DataFrame, n_phecodes: int, width: int) -> tuple[np.ndarray, np
     return beta, covariance, converged
 
 
-def _sums(people: DataFrame, active: np.ndarray, beta: np.ndarray, upper) -> tuple[np.ndarray, np.ndarray]:
+def _sums(people: DataFrame, active: np.ndarray, beta: np.ndarray, upper, sexes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Gradient and packed upper Hessian of the log likelihood, per active phecode."""
     width = beta.shape[1]
     n_sums = width + len(upper[0])
     names = [f"s{i}" for i in range(n_sums)]
     slice_rows = SLICE
+    one_sex = np.flatnonzero(sexes >= 0)
 
     def mark(matrix: np.ndarray, lists: pa.ListArray, shift: float, factor: float) -> None:
         """x -> factor * x + shift at every (person, phecode being fitted) listed."""
@@ -188,6 +248,11 @@ def _sums(people: DataFrame, active: np.ndarray, beta: np.ndarray, upper) -> tup
                 mark(residual, part.column("cases"), 1.0, 1.0)
                 mark(residual, part.column("excluded"), 0.0, 0.0)
                 mark(curvature, part.column("excluded"), 0.0, 0.0)
+                if len(one_sex):
+                    male = part.column("is_male").to_numpy(zero_copy_only=False)
+                    outside = male[:, None] != (sexes[one_sex] == 1)[None, :]
+                    for matrix in (residual, curvature):
+                        matrix[:, one_sex] = np.where(outside, 0.0, matrix[:, one_sex])
                 total[:, :width] += residual.T @ x
                 total[:, width:] += curvature.T @ (x[:, upper[0]] * x[:, upper[1]])
         yield pa.RecordBatch.from_arrays(

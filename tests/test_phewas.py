@@ -116,3 +116,66 @@ def test_case_counts_use_the_sum_of_occurrences(inputs):
     people, counts = inputs
     got = {r["phecode"]: r for r in phewas.phecode_case_counts(people, counts, min_cases=1).collect()}
     assert got["C4x"]["n_cases"] == 1 and got["C4x"]["n_controls"] == 900
+
+
+def ruled(spark, rows, definitions, male_as_one=True, use_exclusions=False):
+    """Counts by hand and by the operator, for people (id, sex) with phecode counts."""
+    people, counts = rows
+    cohort = spark.createDataFrame([(i, s) for i, s in people], "person_id long, sex int")
+    marks = spark.createDataFrame(counts, "person_id long, phecode string, n long")
+    known = spark.createDataFrame(definitions, "phecode string, sex string, exclude_first string, exclude_last string")
+    rules = phewas.RiskRules(known, "sex", male_as_one, use_exclusions)
+    got = {r["phecode"]: (r["n_cases"], r["n_controls"], r["n_excluded"]) for r in phewas.phecode_case_counts(cohort, marks, 2, 1, rules).collect()}
+    total = {}
+    for i, code, n in counts:
+        total[i, code] = total.get((i, code), 0) + n
+    limits, ranges = {}, {}
+    for code, sex, first, last in definitions:
+        if sex in ("Male", "Female"):
+            limits[code] = sex
+        if first is not None:
+            ranges.setdefault(code, []).append((float(first), float(last)))
+    expected = {}
+    for code in {c for _, c in total}:
+        members = [i for i, s in people if code not in limits or (s == (1 if male_as_one else 0)) == (limits[code] == "Male")]
+        cases = [i for i in members if total.get((i, code), 0) >= 2]
+        out = [
+            i for i in members if i not in cases and (
+                total.get((i, code), 0) > 0
+                or use_exclusions and any(total.get((i, c), 0) > 0 and a <= float(c) <= b for c in {c for _, c in total} for a, b in ranges.get(code, []))
+            )
+        ]
+        if cases:
+            expected[code] = (len(cases), len(members) - len(cases) - len(out), len(out))
+    return got, expected
+
+
+def test_risk_sets_by_hand(spark):
+    rnd = random.Random(2)
+    people = [(i, i % 2) for i in range(60)]
+    codes = ["250.1", "250.2", "251", "252.5", "401"]
+    counts = [(rnd.randrange(65), rnd.choice(codes), rnd.randint(0, 2)) for _ in range(200)]
+    definitions = [
+        ("250.1", "Male", "250", "250.99"), ("250.2", "Both", "250", "250.99"), ("250.2", "Both", "401", "401"),
+        ("251", "Female", None, None), ("252.5", None, "300", "200"),
+    ]
+    for male_as_one in (True, False):
+        for use_exclusions in (True, False):
+            got, expected = ruled(spark, (people, counts), definitions, male_as_one, use_exclusions)
+            assert got == expected
+
+
+def test_one_sex_is_fitted_on_its_own_people(spark):
+    """A phecode of men has the estimates of a cohort of men."""
+    rnd = random.Random(6)
+    rows = [(i, i % 2, rnd.randint(0, 1), rnd.random()) for i in range(400)]
+    people = spark.createDataFrame(rows, "person_id long, sex int, exposure int, age double")
+    marked = [(i, "600", 2) for i, sex, exposure, _ in rows if rnd.random() < 0.2 + 0.3 * exposure]
+    counts = spark.createDataFrame(marked, "person_id long, phecode string, n long")
+    known = spark.createDataFrame([("600", "Male", None, None)], "phecode string, sex string, exclude_first string, exclude_last string")
+    got = phewas.association_scan(people, counts, "exposure", ["age"], "sex", rules=phewas.RiskRules(known, "sex")).first()
+    men = people.where("sex = 1")
+    alone = phewas.association_scan(men, counts, "exposure", ["age"], "sex").first()
+    assert (got["n_cases"], got["n_controls"]) == (alone["n_cases"], alone["n_controls"])
+    assert got["beta"] == pytest.approx(alone["beta"], rel=1e-8)
+    assert got["std_err"] == pytest.approx(alone["std_err"], rel=1e-6)
