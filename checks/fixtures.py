@@ -19,6 +19,7 @@ VIEWS = {
           case when c_custkey%7<>6 then 1 else 0 end as has_whole_genome_variant
         from customer""",
     "flagged_samples": "select c_custkey as sample_id from customer where c_custkey%23=0",
+    "more_flagged_samples": "select c_custkey as sample_id from customer where c_custkey%23=0 or c_custkey%17=1",
     "condition_occurrence": """
         select o_custkey as person_id,
           case when o_orderkey%60=0 then 432510 when o_orderkey%60=1 then 374919
@@ -68,6 +69,14 @@ VIEWS = {
         select o_custkey as person_id, 'PH_'||cast(o_orderkey%12 as varchar(2)) as phecode,
           count(*) as n
         from orders group by o_custkey, o_orderkey%12""",
+    "numbered_counts": """
+        select o_custkey as person_id, cast(cast(200+floor(o_orderkey%12/4) as int) as varchar(3))||'.'||cast(o_orderkey%4 as varchar(1)) as phecode,
+          count(*) as n
+        from orders group by o_custkey, o_orderkey%12, o_orderkey%4""",
+    "phecode_definitions": """
+        select phecode, case substr(phecode,5,1) when '1' then 'Male' when '2' then 'Female' else 'Both' end as sex,
+          phecode as exclude_first, substr(phecode,1,4)||case substr(phecode,5,1) when '0' then '1' else substr(phecode,5,1) end as exclude_last
+        from (select distinct phecode from numbered_counts) t""",
     "phewas_cohort": """
         select c_custkey as person_id,
           case when c_custkey*7%11<3 then 1 else 0 end as sv_status,

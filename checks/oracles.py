@@ -146,7 +146,7 @@ STEPS = {
         from marks group by phecode having count(*) filter (n >= 2) >= 20""",
     "scan_rows": """
         select t.phecode, case when m.n >= 2 then 1 else 0 end as y, 1.0 as x0, cast(c.sv_status as double) as x1,
-          c.pc1 as x2, cast(c.age_at_last_event as double) as x3, cast(c.sex_code as double) as x4
+          c.pc1 as x2, cast(c.age_at_last_event as double) as x3, cast(c.sex_code as double) as x4, 0 as one_sex
         from phecode_cases t cross join phewas_cohort c
         left join marks m on m.phecode = t.phecode and m.person_id = c.person_id
         where m.n is null or m.n >= 2""",
@@ -182,23 +182,27 @@ SCAN_STEPS = 9
 WIDTH = 5
 
 
-def _scan_steps() -> dict[str, str]:
+def _scan_steps(at: str = "") -> dict[str, str]:
     """Each step sums a 5 x 5 system per phecode and eliminates it column by column.
 
-    Column 5 of the system is the gradient, column 6 the unit vector of the exposure.
+    Column 5 of the system is the gradient, column 6 the unit vector of the exposure. Among people of one sex x4 is 0
+    and its diagonal 1, so its coefficient stays 0. ``at`` begins the names of the steps and of their tables.
     """
     k = range(WIDTH)
-    steps = {"scan0": "select phecode, " + ", ".join(f"cast(0 as double) as b{i}" for i in k) + " from phecode_cases"}
+    steps = {f"{at}scan0": "select phecode, " + ", ".join(f"cast(0 as double) as b{i}" for i in k) + f" from {at}phecode_cases"}
     for step in range(1, SCAN_STEPS + 1):
         eta = " + ".join(f"b.b{i}*d.x{i}" for i in k)
-        sums = ", ".join(f"sum(p*(1-p)*x{min(i, j)}*x{max(i, j)}) as m{i}{j}" for i in k for j in k)
+        last = WIDTH - 1
+        sums = ", ".join(
+            f"sum(p*(1-p)*x{min(i, j)}*x{max(i, j)}){' + max(one_sex)' if i == j == last else ''} as m{i}{j}" for i in k for j in k
+        )
         gradient = ", ".join(f"sum((y-p)*x{i}) as m{i}5" for i in k)
         unit = ", ".join(f"cast({int(i == 1)} as double) as m{i}6" for i in k)
         keep = ", ".join(f"any_value(b{i}) as b{i}" for i in k)
-        steps[f"sys{step}_0"] = f"""
+        steps[f"{at}sys{step}_0"] = f"""
             select phecode, {keep}, {sums}, {gradient}, {unit}
             from (select d.*, {", ".join(f"b.b{i}" for i in k)}, 1 / (1 + exp(-({eta}))) as p
-                  from scan_rows d join scan{step - 1} b on b.phecode = d.phecode)
+                  from {at}scan_rows d join {at}scan{step - 1} b on b.phecode = d.phecode)
             group by phecode"""
         for pivot in range(WIDTH - 1):
             cells = []
@@ -208,30 +212,68 @@ def _scan_steps() -> dict[str, str]:
                         cells.append(f"m{i}{j} - m{i}{pivot}/m{pivot}{pivot}*m{pivot}{j} as m{i}{j}")
                     else:
                         cells.append(f"m{i}{j}")
-            steps[f"sys{step}_{pivot + 1}"] = (
-                f"select phecode, {', '.join(f'b{i}' for i in k)}, {', '.join(cells)} from sys{step}_{pivot}"
+            steps[f"{at}sys{step}_{pivot + 1}"] = (
+                f"select phecode, {', '.join(f'b{i}' for i in k)}, {', '.join(cells)} from {at}sys{step}_{pivot}"
             )
         solved = []
         for i in reversed(k):
             for rhs, name in ((5, "d"), (6, "v")):
                 known = "".join(f" - m{i}{j}*{name}{j}" for j in range(i + 1, WIDTH))
                 solved.append(f"(m{i}{rhs}{known}) / m{i}{i} as {name}{i}")
-        steps[f"scan{step}"] = f"""
+        steps[f"{at}scan{step}"] = f"""
             select phecode, {", ".join(f"b{i} + d{i} as b{i}" for i in k)}, v1
-            from (select *, {", ".join(solved)} from sys{step}_{WIDTH - 1})"""
-    steps["scan_fit"] = f"""
-        select phecode, b1 as beta, sqrt(v1) as std_err, abs(b1 / sqrt(v1)) as z from scan{SCAN_STEPS}"""
+            from (select *, {", ".join(solved)} from {at}sys{step}_{WIDTH - 1})"""
+    steps[f"{at}scan_fit"] = f"""
+        select phecode, b1 as beta, sqrt(v1) as std_err, abs(b1 / sqrt(v1)) as z from {at}scan{SCAN_STEPS}"""
     # Two-sided normal p by Simpson's rule on [0, z] with 400 intervals.
-    steps["scan_p"] = """
+    steps[f"{at}scan_p"] = f"""
         select phecode, beta, std_err, 1 - 2 * z / 1200 / sqrt(2 * pi()) * list_sum(list_transform(range(0, 401),
           lambda i: (case when i in (0, 400) then 1 when i % 2 = 1 then 4 else 2 end)
                     * exp(-0.5 * (z * i / 400.0) * (z * i / 400.0)))) as p_value
-        from scan_fit"""
+        from {at}scan_fit"""
     return steps
 
 
+def _ruled_tables(at: str, male: int, use_exclusions: bool) -> dict[str, str]:
+    """Marks, cases and rows of the scan where phecodes have their own risk sets; men are those with sex code ``male``."""
+    related = """
+        union all
+        select r.target as phecode, k.person_id, false as is_case
+        from numbered_counts k join (
+          select d.phecode as target, c.phecode from phecode_definitions d
+          join (select distinct phecode from numbered_counts) c
+            on cast(c.phecode as double) between cast(d.exclude_first as double) and cast(d.exclude_last as double)) r
+          on r.phecode = k.phecode"""
+    fits = f"(d.sex = 'Both' or (d.sex = 'Male') = (c.sex_code = {male}))"
+    return {
+        f"{at}marks": f"""
+            select m.phecode, m.person_id, bool_or(m.is_case) as is_case
+            from (select phecode, person_id, sum(n) >= 2 as is_case from numbered_counts group by phecode, person_id
+                  {related if use_exclusions else ''}) m
+            join phewas_cohort c on c.person_id = m.person_id
+            join phecode_definitions d on d.phecode = m.phecode
+            where {fits} group by m.phecode, m.person_id""",
+        f"{at}phecode_cases": f"""
+            select m.phecode, count(*) filter (is_case) as n_cases,
+              (select count(*) from phewas_cohort c where {fits}) - count(*) as n_controls
+            from {at}marks m join phecode_definitions d on d.phecode = m.phecode
+            group by m.phecode, d.sex having count(*) filter (is_case) >= 20""",
+        f"{at}scan_rows": f"""
+            select t.phecode, case when m.is_case then 1 else 0 end as y, 1.0 as x0, cast(c.sv_status as double) as x1,
+              c.pc1 as x2, cast(c.age_at_last_event as double) as x3,
+              case when d.sex = 'Both' then cast(c.sex_code as double) else 0.0 end as x4,
+              case when d.sex = 'Both' then 0 else 1 end as one_sex
+            from {at}phecode_cases t join phecode_definitions d on d.phecode = t.phecode
+            join phewas_cohort c on {fits}
+            left join {at}marks m on m.phecode = t.phecode and m.person_id = c.person_id
+            where m.is_case is null or m.is_case""",
+    }
+
+
 STEPS.update(_or_steps())
 STEPS.update(_scan_steps())
+for _at, _male, _exclusions in (("sexed_", 0, False), ("ruled_", 1, True)):
+    STEPS.update(_ruled_tables(_at, _male, _exclusions) | _scan_steps(_at))
 
 
 def with_steps(sql: str) -> str:
@@ -259,12 +301,25 @@ STATUS = """
     left join (select prs_id, count(*) as n from clean_weights group by prs_id
                union all select 'PGSY', count(*) from clean_weights where prs_id = 'PGSB') w on w.prs_id = ids.id
     left join (select prs_id, count(*) as n from loci group by prs_id) l on l.prs_id = ids.id"""
-SCAN = f"""
+
+
+def scan_sql(at: str = "") -> str:
+    return f"""
     select t.phecode, t.n_cases, t.n_controls, {r6('beta')}, {r6('std_err')}, {r6('exp(beta)', 'odds_ratio')},
       {r6('exp(beta - 1.959963984540054 * std_err)', 'ci_low')},
       {r6('exp(beta + 1.959963984540054 * std_err)', 'ci_high')},
       {r6('p_value')}, {r6('-log10(p_value)', 'neg_log10_p')}, true as converged
-    from scan_p p join phecode_cases t on t.phecode = p.phecode"""
+    from {at}scan_p p join {at}phecode_cases t on t.phecode = p.phecode"""
+
+
+SPARSE_COHORT = """
+        select p.s, p.phenotype_status, coalesce(c.n, 0) as n_calls, coalesce(b.n, 0) as n_blocks,
+          coalesce(b.bases, 0) as n_bases
+        from sampled p
+        left join (select s, count(*) as n from calls group by s) c on c.s = p.s
+        left join (select s, cast(sum(ceil((end_pos - start_pos + 1) / 10000.0)) as bigint) as n,
+                     cast(sum(end_pos - start_pos + 1) as bigint) as bases from reference_blocks group by s) b
+          on b.s = p.s"""
 PERCENT = "case when {n} > 0 then 100.0 * {c} / {n} else 0 end"
 INTERVALS = """
     select prs_id, contig, position - 40 as start_pos, position - 60 + (position % 5) * 40 as end_pos
@@ -288,6 +343,9 @@ ORACLES = {
           count(*) as n_calls, count(a1) as n_called, cast(sum(a1) as bigint) as sum_a1,
           cast(sum(a2) as bigint) as sum_a2, true as verified
         from calls where s in (select s from sampled)""",
+    "cohort_rebuilt_for_new_exclusions": """
+        select l.s, l.phenotype_status, (select count(*) from calls c where c.s = l.s) as n_calls from labelled l
+        where not exists (select 1 from more_flagged_samples f where cast(f.sample_id as varchar) = l.s)""",
     "exclude_from_sparse": """
         select p.s, coalesce(c.n, 0) as n_calls, coalesce(b.n, 0) as n_blocks
         from (select cast(person_id as varchar) as s from person) p
@@ -298,14 +356,8 @@ ORACLES = {
         select s, contig, start_pos, cast(least(start_pos + 9999, end_pos) as int) as end_pos
         from (select s, contig, end_pos, cast(unnest(range(start_pos, end_pos + 1, 10000)) as int) as start_pos
               from reference_blocks)""",
-    "sparse_base_cohort": """
-        select p.s, p.phenotype_status, coalesce(c.n, 0) as n_calls, coalesce(b.n, 0) as n_blocks,
-          coalesce(b.bases, 0) as n_bases
-        from sampled p
-        left join (select s, count(*) as n from calls group by s) c on c.s = p.s
-        left join (select s, cast(sum(ceil((end_pos - start_pos + 1) / 10000.0)) as bigint) as n,
-                     cast(sum(end_pos - start_pos + 1) as bigint) as bases from reference_blocks group by s) b
-          on b.s = p.s""",
+    "sparse_base_cohort": SPARSE_COHORT,
+    "dense_then_sparse": SPARSE_COHORT,
     "clean_weights": f"select prs_id, contig, position, effect_allele, {r6('weight')} from clean_rows",
     "weight_cleaning_report": f"""
         select prs_id, count(*) as n_raw,
@@ -346,6 +398,18 @@ ORACLES = {
     "score_all_models": f"select {SCORE_COLUMNS} from scores",
     "score_shuffled_loci": f"select {SCORE_COLUMNS} from scores",
     "score_blocked": f"select {SCORE_COLUMNS} from scores",
+    "score_pruned": f"""
+        select m.prs_id, c.s, {r6('coalesce(t.total, 0.0)', 'total_score')}, cast(coalesce(t.n, 0) as bigint) as variant_count,
+          t.total / nullif(t.n, 0) as normalized_score
+        from cohort c cross join (select distinct prs_id from loci l join variants v on v.variant_id = l.variant_id
+                                  where v.contig in ('chr2', 'chr5', 'chr11')) m
+        left join (select b.prs_id, b.s, sum(b.contribution) as total, count(b.contribution) as n
+                   from contributions b join variants v on v.variant_id = b.variant_id
+                   where v.contig in ('chr2', 'chr5', 'chr11') group by b.prs_id, b.s) t
+          on t.prs_id = m.prs_id and t.s = c.s""",
+    "score_tiled": f"select {SCORE_COLUMNS} from scores",
+    "calls_from_tiles": "select variant_id, s, a1, a2 from calls",
+    "score_many_loci": f"select {SCORE_COLUMNS} from scores",
     "scoring_status": STATUS,
     "score_export": f"select {EXPORT_COLUMNS} from scores",
     "unusable_scores": """
@@ -433,8 +497,10 @@ ORACLES = {
                                       where s in (select s from sampled) group by prs_id) s on s.prs_id = st.prs_id""",
     "checkpoint_reuse": "select prs_id, count(*) as n from clean_weights group by prs_id",
     "phecode_case_counts": "select phecode, n_cases, n_controls, n_excluded from phecode_cases",
-    "association_scan": SCAN,
-    "association_scan_files": SCAN,
+    "association_scan": scan_sql(),
+    "association_scan_by_sex": scan_sql("sexed_"),
+    "association_scan_exclusions": scan_sql("ruled_"),
+    "association_scan_files": scan_sql(),
     "bonferroni": f"""
         select count(*) as n_tested, {r6('-log10(0.05 / count(*))', 'threshold')},
           count(*) filter (-log10(p_value) > -log10(0.05 / (select count(*) from scan_p))) as n_above

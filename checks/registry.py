@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +12,9 @@ from checks.fixtures import CONCEPTS, SAMPLE_SIZE, SEED, Study
 from riskloom.functions import genotype as gt
 from riskloom.operators import blocks, cohort, distribution, evaluation, intervals, logistic, phenotype, phewas
 from riskloom.operators import genotypes as geno
-from riskloom.operators import scoring, weights
+from riskloom.operators import scoring, tiles, weights
 from riskloom.plans import cohort_build, evaluate_models, score_models, study
-from riskloom.sources import readers, sinks
+from riskloom.sources import layouts, readers, sinks
 from riskloom.sources.stored import checkpoint_or_compute, new_path, store
 
 TARGET = "Ischemic Stroke"
@@ -95,11 +96,11 @@ def parameters(st: Study, path: str) -> cohort_build.CohortParameters:
     )
 
 
-def build_base(st: Study, genotypes) -> str:
-    path = new_path(st.spark, "base")
+def build_base(st: Study, genotypes, path: str | None = None, flagged: DataFrame | None = None, sample: bool = True) -> str:
+    path = path or new_path(st.spark, "base")
     return cohort_build.build_cohort(
-        st.spark, path, parameters(st, path), genotypes, st.table("person"), st.table("cb_search_person"),
-        st.table("flagged_samples"), cases(st),
+        st.spark, path, replace(parameters(st, path), sample=sample), genotypes, st.table("person"), st.table("cb_search_person"),
+        st.table("flagged_samples") if flagged is None else flagged, cases(st),
     )
 
 
@@ -178,9 +179,31 @@ def split_reference_blocks(st: Study) -> DataFrame:
     return blocks.split_reference_blocks(st.table("reference_blocks"))
 
 
+@query
+def cohort_rebuilt_for_new_exclusions(st: Study) -> DataFrame:
+    """A second cohort of the same parameters and folder, but with a longer exclusion list."""
+    base = new_path(st.spark, "excluded")
+    build_base(st, st.genotypes(), base, sample=False)
+    path = build_base(st, st.genotypes(), base, st.table("more_flagged_samples"), sample=False)
+    kept = readers.read_genotypes(st.spark, path)
+    calls = kept.calls.groupBy("s").agg(F.count(F.lit(1)).alias("n_calls"))
+    return cohort_build.read_members(st.spark, path).join(calls, "s", "left").na.fill(0, ["n_calls"])
+
+
+@query
+def dense_then_sparse(st: Study) -> DataFrame:
+    """A sparse cohort of the parameters and folder of a dense one."""
+    base = new_path(st.spark, "both_kinds")
+    build_base(st, st.genotypes(), base)
+    return _sparse_cohort(st, build_base(st, st.sparse_genotypes(), base))
+
+
 @query
 def sparse_base_cohort(st: Study) -> DataFrame:
-    path = build_base(st, st.sparse_genotypes())
+    return _sparse_cohort(st, build_base(st, st.sparse_genotypes()))
+
+
+def _sparse_cohort(st: Study, path: str) -> DataFrame:
     kept = cohort_build.read_sparse_cohort(st.spark, path)
     bases = kept.reference_blocks.groupBy("s").agg(F.sum(F.col("end_pos") - F.col("start_pos") + 1).alias("n_bases"))
     return (
@@ -290,7 +313,7 @@ def call_kinds(st: Study) -> DataFrame:
 
 @query
 def effect_allele_index(st: Study) -> DataFrame:
-    return loci(st).df.drop("weight")
+    return loci(st).df.drop("weight", "contig", "position")
 
 
 @query
@@ -321,6 +344,37 @@ def score_blocked(st: Study) -> DataFrame:
     return scoring.score_blocked(geno.to_blocks(kept), loci(st))
 
 
+@query
+def score_pruned(st: Study) -> DataFrame:
+    """Models with loci on three contigs, scored on a written cohort of everybody eligible."""
+    path = build_base(st, st.genotypes(), sample=False)
+    kept = cohort_build.read_cohort_genotypes(st.spark, path)
+    some = locus_weights(st).where(F.col("contig").isin("chr2", "chr5", "chr11"))
+    return scoring.score_models(kept, scoring.scoring_loci(some, kept.variants), cohort_build.read_members(st.spark, path))
+
+
+@query
+def score_tiled(st: Study) -> DataFrame:
+    return tiles.score_tiled(written_tiles(st), loci(st), members(st))
+
+
+def written_tiles(st: Study) -> tiles.TiledGenotypes:
+    return layouts.write_tiles(tiles.to_tiles(st.genotypes()), new_path(st.spark, "tiles"))
+
+
+@query
+def calls_from_tiles(st: Study) -> DataFrame:
+    """The calls that the written tiles hold."""
+    return tiles.from_tiles(written_tiles(st))
+
+
+@query
+def score_many_loci(st: Study) -> DataFrame:
+    """Loci beyond the broadcast limit meet bucketed calls."""
+    kept = layouts.write_bucketed(st.genotypes(), new_path(st.spark, "bucketed"), 8)
+    return scoring.score_models(kept, loci(st), members(st), row_limit=0)
+
+
 @query
 def scoring_status(st: Study) -> DataFrame:
     return score_models.score_manifest(st.genotypes(), st.manifest(), _with_unmatched(st), members(st))[1]
@@ -527,6 +581,25 @@ def association_scan(st: Study) -> DataFrame:
     return _scan(st.table("phewas_cohort"), st.table("phecode_counts"))
 
 
+def _ruled_scan(st: Study, male_as_one: bool, use_exclusions: bool) -> DataFrame:
+    rules = phewas.RiskRules(st.table("phecode_definitions"), "sex_code", male_as_one, use_exclusions)
+    return phewas.association_scan(
+        st.table("phewas_cohort"), st.table("numbered_counts"), "sv_status", COVARIATES, "sex_code", rules=rules
+    )
+
+
+@query
+def association_scan_by_sex(st: Study) -> DataFrame:
+    """Phecodes of one sex are tested in it; women are coded 1."""
+    return _ruled_scan(st, male_as_one=False, use_exclusions=False)
+
+
+@query
+def association_scan_exclusions(st: Study) -> DataFrame:
+    """Controls have no phecode of the excluded range."""
+    return _ruled_scan(st, male_as_one=True, use_exclusions=True)
+
+
 @query
 def association_scan_files(st: Study) -> DataFrame:
     base = new_path(st.spark, "scan")

@@ -13,11 +13,15 @@ from riskloom.sources.stored import Stored, store
 
 @dataclass(frozen=True)
 class Genotypes:
-    """Dense genotypes: ``variants``, ``samples`` and one ``calls`` row per pair."""
+    """Dense genotypes: ``variants``, ``samples`` and one ``calls`` row per pair.
+
+    Calls may carry their ``contig`` and ``position``, and may be stored in ``buckets`` of their variant.
+    """
 
     samples: DataFrame
     variants: DataFrame
     calls: DataFrame
+    buckets: int | None = None
 
     def with_samples(self, kept: Stored) -> Genotypes:
         """Restrict calls by a measured sample list: broadcast if small, else shuffled."""
@@ -71,21 +75,33 @@ class BlockedGenotypes:
     calls: DataFrame
 
 
-def to_blocks(genotypes: Genotypes, block_size: int = 4096) -> BlockedGenotypes:
-    """Regroup long calls into blocks of at most ``block_size`` samples."""
+def sample_slots(samples: DataFrame, block_size: int) -> Stored:
+    """(s, block, slot): samples numbered in order of their id, ``block_size`` to a block."""
     numbered = running(
-        genotypes.samples.select("s", F.lit(0).alias("_all"), F.lit(1).cast("long").alias("_one")),
+        samples.select("s", F.lit(0).alias("_all"), F.lit(1).cast("long").alias("_one")),
         ["_all"], ["s"], {"_upto": ("sum", "_one")}, "sample_index",
     )
     index = F.col("_upto") - 1
-    members = store(
-        numbered.select(
-            "s",
-            F.floor(index / block_size).cast("int").alias("block"),
-            (index % block_size).cast("int").alias("slot"),
-        ),
-        "sample_blocks",
-    )
+    slots = numbered.select("s", F.floor(index / block_size).cast("int").alias("block"), (index % block_size).cast("int").alias("slot"))
+    return store(slots, "sample_blocks")
+
+
+def variant_places(variants: DataFrame, run_size: int, by_contig: bool = False) -> Stored:
+    """(variant_id, contig, position, run, place): ``run_size`` variants that follow one another make a run.
+
+    Runs are numbered along the genome, or within each contig.
+    """
+    listed = variants.select("variant_id", "contig", "position", F.lit(0).alias("_all"), F.lit(1).cast("long").alias("_one"))
+    by, order = (["contig"], ["position", "variant_id"]) if by_contig else (["_all"], ["contig", "position", "variant_id"])
+    placed = running(listed, by, order, {"_upto": ("sum", "_one")}, "variant_index")
+    index = F.col("_upto") - 1
+    run, place = F.floor(index / run_size), (index % run_size).cast("int")
+    return store(placed.select("variant_id", "contig", "position", run.alias("run"), place.alias("place")), "variant_runs")
+
+
+def to_blocks(genotypes: Genotypes, block_size: int = 4096) -> BlockedGenotypes:
+    """Regroup long calls into blocks of at most ``block_size`` samples."""
+    members = sample_slots(genotypes.samples, block_size)
     calls = (
         genotypes.calls.join(members.join_side(), "s")
         .groupBy("variant_id", "block")

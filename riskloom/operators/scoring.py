@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.genotype import dosage, effect_alternate_index, effect_is_reference
 from riskloom.operators.genotypes import BlockedGenotypes, Genotypes
+from riskloom.operators.pruning import calls_in_ranges, is_located, locus_ranges
 from riskloom.schema import WEIGHTS, require_schema
-from riskloom.sources.stored import BROADCAST_ROWS, Stored, store
+from riskloom.sources.stored import BROADCAST_ROWS, Stored, new_path, save_bucketed, store
 
 # Loci up to which the genotype calls stay where they are: some 50 bytes each, so
 # about 200 MB per executor. Two genome-wide models have fewer.
@@ -25,6 +26,8 @@ def scoring_loci(weights: DataFrame, variants: DataFrame) -> Stored:
     matched = variants.join(weights, ["contig", "position"]).select(
         "prs_id",
         "variant_id",
+        "contig",
+        "position",
         "weight",
         effect_is_reference(F.col("alleles"), F.col("effect_allele")).alias("effect_is_ref"),
         effect_alternate_index(F.col("alleles"), F.col("effect_allele")).alias("alternate_index"),
@@ -32,15 +35,24 @@ def scoring_loci(weights: DataFrame, variants: DataFrame) -> Stored:
     return store(matched, "scoring_loci")
 
 
-def contributions(calls: DataFrame, loci: Stored, row_limit: int = LOCI_ROWS) -> DataFrame:
+def contributions(calls: DataFrame, loci: Stored, row_limit: int = LOCI_ROWS, buckets: int | None = None) -> DataFrame:
     """Dosage and dosage x weight of every call at a model's locus.
 
-    Beyond ``row_limit`` loci both sides are shuffled by variant, where a
-    variant with very many calls is split by adaptive execution.
+    Calls that carry their locus are read only where loci lie. Beyond
+    ``row_limit`` loci, calls stored in ``buckets`` meet loci written in the same
+    buckets, so that the calls stay where they are; other calls and the loci are
+    shuffled by variant, where a variant with very many calls is split by
+    adaptive execution.
     """
+    if is_located(calls):
+        calls = calls_in_ranges(calls, locus_ranges(loci.df)).drop("contig", "position")
     copies = dosage(F.col("a1"), F.col("a2"), F.col("effect_is_ref"), F.col("alternate_index"))
+    side = loci.join_side(row_limit)
+    if loci.rows > row_limit and buckets:
+        wanted = loci.df.select("variant_id", "prs_id", "weight", "effect_is_ref", "alternate_index")
+        side = save_bucketed(wanted, new_path(calls.sparkSession, "bucketed_loci"), buckets).hint("merge")
     return (
-        calls.join(loci.join_side(row_limit), "variant_id")
+        calls.join(side, "variant_id")
         .withColumn("dosage", copies)
         .select(
             "prs_id", "s", "variant_id", "dosage", (F.col("dosage") * F.col("weight")).alias("contribution")
@@ -71,7 +83,7 @@ def score_models(
         members = listed.df
         if listed.rows <= BROADCAST_ROWS:
             calls = calls.join(F.broadcast(listed.df), "s", "left_semi")
-    called = contributions(calls, loci, row_limit).select(
+    called = contributions(calls, loci, row_limit, genotypes.buckets).select(
         "prs_id", "s", "contribution", F.lit(0).alias("is_member")
     )
     return _sum_up(called.unionByName(_empty_rows(members.select("s"), loci)), ["prs_id", "s"])

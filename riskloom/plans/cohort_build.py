@@ -20,16 +20,16 @@ from riskloom.operators.phenotype import label_cohort
 from riskloom.schema import EmptyInputError
 from riskloom.sources.readers import read_genotypes, read_sparse_genotypes
 from riskloom.sources.sinks import verify_counts, write_genotypes, write_sample_ids
-from riskloom.sources.stored import fingerprint, read_if_present, store
+from riskloom.sources.stored import READ_ERRORS, content_digest, drop_record, fingerprint, read_if_present, store, write_record
 
 log = logging.getLogger(__name__)
 
 
 @dataclass(frozen=True)
 class CohortParameters:
-    """What determines a base cohort; part of its path, so a change never reuses old data.
+    """What determines a base cohort beside the people; part of its path, so a change never reuses old data.
 
-    ``source`` names the input genotypes and tables (path or version).
+    ``source`` names the input genotypes (path or version).
     """
 
     source: str
@@ -48,6 +48,10 @@ def cohort_members(
     Flagged people leave before sampling, so the sample has its full size.
     """
     labelled = label_cohort(exclude_flagged(eligible_persons(person, search_person), flagged), cases)
+    return sampled_members(labelled, parameters)
+
+
+def sampled_members(labelled: DataFrame, parameters: CohortParameters) -> DataFrame:
     if not parameters.sample:
         return labelled
     return stratified_sample(labelled, parameters.n_cases, parameters.n_controls, parameters.seed)
@@ -66,11 +70,20 @@ def build_cohort(
     """Write the base cohort and return its path; an intact earlier one is reused.
 
     Reference blocks of sparse genotypes are cut to the usual length.
+
+    The path follows the parameters, the kind of genotypes, and the people with their labels as the lists given
+    make them: with another exclusion or case list, or other eligible people, the cohort is built anew. ``complete``
+    holds the counts and is written last, after the cohort was read back; an earlier cohort is used only while
+    all its parts still have these counts.
     """
-    path = f"{base_path.rstrip('/')}/cohort-{fingerprint(**asdict(parameters))}"
-    if _intact(spark, path):
+    kind = "sparse" if isinstance(genotypes, SparseGenotypes) else "dense"
+    everyone = store(label_cohort(exclude_flagged(eligible_persons(person, search_person), flagged), cases), "labelled").df
+    key = fingerprint(kind=kind, people=content_digest(everyone), **asdict(parameters))
+    path = f"{base_path.rstrip('/')}/cohort-{key}"
+    if is_intact(spark, path, kind):
         return path
-    members = store(cohort_members(person, search_person, flagged, cases, parameters), "cohort_members")
+    drop_record(spark, path)
+    members = store(sampled_members(everyone, parameters), "cohort_members")
     if members.rows == 0:
         raise EmptyInputError("nobody is eligible for the cohort")
     kept = restrict_calls(genotypes, members.df)
@@ -79,23 +92,33 @@ def build_cohort(
     if kept.samples.isEmpty():
         raise EmptyInputError("no cohort member is genotyped")
     expected = write_genotypes(kept, path)
-    found = verify_counts(spark, path, expected).first()
-    if not found["verified"]:
-        log.warning("cohort at %s holds %s, expected %s", path, found.asDict(), expected)
     # Ids of the samples really present, with their labels.
     present = members.df.join(kept.samples, "s", "left_semi")
     write_sample_ids(present, f"{path}/ids")
     present.write.mode("overwrite").parquet(f"{path}/members")
+    found = verify_counts(spark, path, expected).first()
+    if found["verified"]:
+        write_record(spark, path, expected | {"n_members": spark.read.parquet(f"{path}/members").count()})
+    else:
+        log.warning("cohort at %s holds %s, expected %s", path, found.asDict(), expected)
     return path
 
 
-def _intact(spark: SparkSession, path: str) -> bool:
-    """The members are written last; without them the cohort is incomplete."""
-    members = read_if_present(spark, f"{path}/members")
-    if members is None or members.isEmpty():
+def is_intact(spark: SparkSession, path: str, kind: str) -> bool:
+    """Whether the completion record is there and every part still has the recorded number of rows."""
+    parts = {"n_samples": "samples", "n_variants": "variants", "n_calls": "calls", "n_members": "members"}
+    if kind == "sparse":
+        parts["n_blocks"] = "reference_blocks"
+    try:
+        record = read_if_present(spark, f"{path}/complete")
+        recorded = record.first().asDict() if record is not None else {}
+        if set(recorded) != set(parts):
+            return False
+        # Counting without columns reads the files' footers only.
+        tables = {name: read_if_present(spark, f"{path}/{part}") for name, part in parts.items()}
+        return all(t is not None and t.count() == recorded[name] for name, t in tables.items())
+    except READ_ERRORS:
         return False
-    variants = read_if_present(spark, f"{path}/variants")
-    return variants is not None and not variants.isEmpty()
 
 
 def read_cohort_genotypes(spark: SparkSession, path: str) -> Genotypes:

@@ -33,7 +33,7 @@ def read_genotypes(spark: SparkSession, path: str) -> Genotypes:
     variants = require_rows(
         require_schema(spark.read.parquet(f"{path}/variants"), VARIANTS, "variants"), "variants"
     )
-    calls = require_schema(_with_text(spark, f"{path}/calls", "contig"), CALLS, "calls")
+    calls = require_schema(read_contig_table(spark, f"{path}/calls"), CALLS, "calls")
     return Genotypes(samples, variants, calls)
 
 
@@ -44,6 +44,11 @@ def read_sparse_genotypes(spark: SparkSession, path: str) -> SparseGenotypes:
     return SparseGenotypes(dense.samples, dense.variants, dense.calls, blocks)
 
 
+def read_contig_table(spark: SparkSession, path: str) -> DataFrame:
+    """A table partitioned by contig, contigs as text."""
+    return _with_text(spark, path, "contig")
+
+
 def read_weights(spark: SparkSession, path: str) -> DataFrame:
     """A written weight table; wrong types or no rows are an error."""
     return require_rows(require_schema(_with_text(spark, path, "prs_id"), WEIGHTS, "weights"), "weights")

@@ -2,44 +2,52 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.operators.genotypes import Genotypes, SparseGenotypes, dataset_counts
+from riskloom.operators.genotypes import Genotypes, SparseGenotypes, dataset_counts, variant_places
 from riskloom.operators.phenotype import status_column
 from riskloom.schema import EmptyInputError, require_rows, require_schema
 from riskloom.sources.readers import NA, read_genotypes
 from riskloom.sources.stored import store
 
+# Calls that a task writes, about; bases of reference blocks and samples whose blocks share a task.
+ROWS_PER_TASK = 4_000_000
+BLOCK_BASES = 1 << 20
+SAMPLES_PER_BLOCK_TASK = 10_000
+
 
 def write_genotypes(genotypes: Genotypes | SparseGenotypes, path: str) -> dict[str, int]:
-    """Write genotypes with calls ordered by variant, so that files cover narrow ranges.
+    """Write genotypes with calls partitioned by contig and ordered by position, so that files cover narrow ranges.
 
-    Returns the counts a reader must find. The sample is part of the range key: one variant's calls may span files.
-    Calls that carry their contig are also partitioned by it.
+    Returns the counts a reader must find. The runs of variants that share a task come from the variants table, so the
+    calls are read, shuffled and written once, and counted on the way. Where there are so many samples that one
+    variant has more than ``ROWS_PER_TASK`` calls, the samples are dealt out too. A call of an unknown variant has no contig.
     """
-    genotypes.samples.write.mode("overwrite").parquet(f"{path}/samples")
-    genotypes.variants.repartitionByRange("contig", "position").sortWithinPartitions("contig", "position").write.mode(
+    samples, variants = store(genotypes.samples, "samples"), store(genotypes.variants, "variants")
+    samples.df.write.mode("overwrite").parquet(f"{path}/samples")
+    variants.df.repartitionByRange("contig", "position").sortWithinPartitions("contig", "position").write.mode(
         "overwrite"
     ).parquet(f"{path}/variants")
-    # Choosing ranges reads the calls once more, so the input is filtered only once, into this table.
-    kept = store(genotypes.calls, "calls_to_write")
-    locus = [c for c in ("contig", "position") if c in kept.df.columns]
-    order = [*locus, "variant_id", "s"]
-    calls = kept.df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite")
-    if "contig" in locus:
-        calls = calls.partitionBy("contig")
-    calls.parquet(f"{path}/calls")
+    shares = -(-samples.rows // ROWS_PER_TASK) or 1
+    share = F.pmod(F.xxhash64("s"), F.lit(shares))
+
+    runs = variant_places(variants.df, max(1, ROWS_PER_TASK // max(1, samples.rows)))
+    calls = genotypes.calls.drop("contig", "position").join(runs.join_side(), "variant_id", "left")
+    order = ["contig", "position", "variant_id", "s"]
+    dealt = calls.repartition("contig", "run", share).drop("run", "place").sortWithinPartitions(*order)
+    seen = Observation("calls")
+    dealt.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").partitionBy("contig").parquet(f"{path}/calls")
+    counts = {"n_samples": samples.rows, "n_variants": variants.rows, "n_calls": seen.get["rows"]}
     if isinstance(genotypes, SparseGenotypes):
-        order = ["contig", "start_pos", "s"]
-        store(genotypes.reference_blocks, "blocks_to_write").df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(
-            "overwrite"
-        ).parquet(f"{path}/reference_blocks")
-    return {
-        "n_samples": genotypes.samples.count(),
-        "n_variants": genotypes.variants.count(),
-        "n_calls": kept.rows,
-    }
+        blocks, seen = genotypes.reference_blocks, Observation("blocks")
+        shares = -(-samples.rows // SAMPLES_PER_BLOCK_TASK) or 1
+        dealt = blocks.repartition(
+            "contig", F.floor(F.col("start_pos") / BLOCK_BASES), F.pmod(F.xxhash64("s"), F.lit(shares))
+        ).sortWithinPartitions("contig", "start_pos", "s")
+        dealt.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{path}/reference_blocks")
+        counts["n_blocks"] = seen.get["rows"]
+    return counts
 
 
 def verify_counts(spark: SparkSession, path: str, expected: dict[str, int]) -> DataFrame:
@@ -48,6 +56,9 @@ def verify_counts(spark: SparkSession, path: str, expected: dict[str, int]) -> D
     Unreadable or empty genotypes raise; a differing count is reported.
     """
     found = dataset_counts(read_genotypes(spark, path))
+    if "n_blocks" in expected:
+        blocks = spark.read.parquet(f"{path}/reference_blocks").agg(F.count(F.lit(1)))
+        found = found.withColumn("n_blocks", blocks.scalar())
     agree = F.lit(True)
     for name, value in expected.items():
         agree = agree & (F.col(name) == F.lit(value))

@@ -67,12 +67,32 @@ def store(df: DataFrame, label: str, **figures: Column) -> Stored:
     return Stored(spark.read.schema(df.schema).parquet(path), seen.get)
 
 
+def save_bucketed(df: DataFrame, path: str, buckets: int) -> DataFrame:
+    """``df`` written in buckets of its ``variant_id``, each sorted, and read back with them."""
+    name = f"bucketed_{uuid.uuid4().hex}"
+    dealt = df.repartition(buckets, F.col("variant_id"))
+    dealt.write.bucketBy(buckets, "variant_id").sortBy("variant_id").option("path", path).mode("overwrite").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def fingerprint(**parameters) -> str:
     """Short stable digest of the parameters that determine an artefact."""
     text = json.dumps(parameters, sort_keys=True, default=str)
     return hashlib.sha256(text.encode()).hexdigest()[:16]
 
 
+def content_digest(df: DataFrame) -> str:
+    """Digest of a table's rows as a bag: the same in any order and on any cluster, another if any row differs.
+
+    Row counts and two sums of 64-bit row hashes, taken in one pass; a NULL is told apart from every value.
+    """
+    columns = sorted(df.columns)
+    parts = [part for c in columns for part in (F.col(c).isNull(), F.col(c).cast("string"))]
+    hashes = df.select(*[F.xxhash64(F.lit(seed), *parts).cast("decimal(20,0)").alias(f"_{seed}") for seed in (1, 2)])
+    found = hashes.agg(F.count(F.lit(1)), F.sum("_1"), F.sum("_2")).first()
+    return fingerprint(columns=columns, figures=[str(v) for v in found])
+
+
 def checkpoint_or_compute(
     spark: SparkSession, base_path: str, parameters: dict, build: Callable[[], DataFrame]
 ) -> DataFrame:
@@ -80,27 +100,42 @@ def checkpoint_or_compute(
 
     The parameters are part of the path, so a changed configuration never
     reads another configuration's data. The row count is written last: without
-    it, or with data that cannot be read, the artefact is built again.
+    it, or with data that cannot be read or has another count, the artefact is
+    built again.
     """
     path = f"{base_path.rstrip('/')}/{fingerprint(**parameters)}"
     found = _complete(spark, path)
     if found is not None:
         return found
     fresh = build()
+    drop_record(spark, path)
     seen = Observation("artefact")
     rows = F.count(F.lit(1)).alias("rows")
     fresh.observe(seen, rows).write.mode("overwrite").parquet(f"{path}/data")
-    spark.range(1).select(F.lit(seen.get["rows"]).alias("rows")).write.mode("overwrite").parquet(f"{path}/complete")
+    write_record(spark, path, {"rows": seen.get["rows"]})
     return spark.read.schema(fresh.schema).parquet(f"{path}/data")
 
 
+def write_record(spark: SparkSession, path: str, counts: dict[str, int]) -> None:
+    """The counts of what was written below ``path``, as the last thing written there."""
+    columns = [F.lit(v).cast("long").alias(k) for k, v in counts.items()]
+    spark.range(1, numPartitions=1).select(*columns).write.mode("overwrite").parquet(f"{path}/complete")
+
+
+def drop_record(spark: SparkSession, path: str) -> None:
+    """Take an earlier record away before its data are overwritten: a run that stops halfway leaves none."""
+    record = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/complete")
+    record.getFileSystem(spark._jsc.hadoopConfiguration()).delete(record, True)
+
+
 def _complete(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         counted = read_if_present(spark, f"{path}/complete")
-        if counted is None or counted.where("rows > 0").isEmpty():
+        rows = counted.agg(F.max("rows")).first()[0] if counted is not None else None
+        if not rows:
             return None
         found = spark.read.parquet(f"{path}/data")
-        return None if found.isEmpty() else found
+        return found if found.count() == rows else None
     except READ_ERRORS:
         return None
 

@@ -8,7 +8,7 @@ from riskloom.operators.blocks import split_reference_blocks
 from riskloom.operators.genotypes import Genotypes, SparseGenotypes, to_blocks
 from riskloom.plans import cohort_build
 from riskloom.schema import EmptyInputError, SchemaError
-from riskloom.sources import readers, sinks
+from riskloom.sources import readers, sinks, stored
 
 
 def ids(df, column="s"):
@@ -146,3 +146,82 @@ def test_nobody_eligible_is_an_error(spark, tmp_path):
     p = cohort_build.CohortParameters(source="none", concept_ids=(1,))
     with pytest.raises(EmptyInputError):
         cohort_build.build_cohort(spark, str(tmp_path), p, genotypes(spark), person, search, None, cases)
+
+
+def reuse_case(spark, tmp_path):
+    person = spark.createDataFrame([(i,) for i in range(10)], "person_id long")
+    search = person.selectExpr("person_id", "1 as has_ehr_data", "1 as has_whole_genome_variant")
+    p = cohort_build.CohortParameters(source="reuse", concept_ids=(1,), sample=False)
+
+    def build(cases=("1", "2"), flagged=(), source=None):
+        listed = spark.createDataFrame([(s, 1) for s in cases], "s string, phenotype_status int")
+        out = spark.createDataFrame([(s,) for s in flagged], "sample_id string")
+        return cohort_build.build_cohort(spark, str(tmp_path), p, source or genotypes(spark), person, search, out, listed)
+
+    return build
+
+
+def test_other_lists_are_another_cohort(spark, tmp_path):
+    build = reuse_case(spark, tmp_path)
+    first = build()
+    assert build(cases=("2", "1", "1")) == first  # the same people in another order
+    assert build(flagged=("77",)) == first  # excludes nobody
+    fewer, other = build(flagged=("3",)), build(cases=("1",))
+    assert len({first, fewer, other}) == 3
+    assert "3" not in ids(cohort_build.read_members(spark, fewer))
+    dense = genotypes(spark)
+    blocks = spark.createDataFrame([("1", "chr1", 1, 100)], "s string, contig string, start_pos int, end_pos int")
+    sparse = build(source=SparseGenotypes(dense.samples, dense.variants, dense.calls, blocks))
+    assert sparse != first
+    assert cohort_build.read_sparse_cohort(spark, sparse).reference_blocks.count() == 1
+
+
+def test_a_cohort_whose_parts_changed_is_rebuilt(spark, tmp_path):
+    build = reuse_case(spark, tmp_path)
+    path = build()
+    assert cohort_build.is_intact(spark, path, "dense")
+    assert not cohort_build.is_intact(spark, path, "sparse")
+    spark.read.parquet(f"{path}/samples").limit(3).write.mode("overwrite").parquet(f"{tmp_path}/few")
+    spark.read.parquet(f"{tmp_path}/few").write.mode("overwrite").parquet(f"{path}/samples")
+    assert not cohort_build.is_intact(spark, path, "dense")
+    assert build() == path
+    assert cohort_build.is_intact(spark, path, "dense")
+    assert spark.read.parquet(f"{path}/samples").count() == 10
+
+
+def test_a_record_of_other_counts_is_stale(spark, tmp_path):
+    build = reuse_case(spark, tmp_path)
+    path = build()
+    record = spark.read.parquet(f"{path}/complete").first().asDict()
+    assert record == {"n_samples": 10, "n_variants": 2, "n_calls": 20, "n_members": 10}
+    stored.write_record(spark, path, record | {"n_calls": 21})
+    assert not cohort_build.is_intact(spark, path, "dense")
+    stored.drop_record(spark, path)
+    assert not cohort_build.is_intact(spark, path, "dense")
+    build()
+    assert cohort_build.is_intact(spark, path, "dense")
+
+
+def test_artefact_with_another_count_is_rebuilt(spark, tmp_path):
+    built = []
+
+    def make():
+        built.append(1)
+        return spark.range(5).select(F.col("id").alias("x"))
+
+    for _ in range(2):
+        assert stored.checkpoint_or_compute(spark, str(tmp_path), {"a": 1}, make).count() == 5
+    assert len(built) == 1
+    path = f"{tmp_path}/{stored.fingerprint(a=1)}"
+    spark.range(3).select(F.col("id").alias("x")).write.mode("overwrite").parquet(f"{path}/data")
+    assert stored.checkpoint_or_compute(spark, str(tmp_path), {"a": 1}, make).count() == 5
+    assert len(built) == 2
+
+
+def test_content_digest(spark):
+    def digest(rows, schema="a string, b long"):
+        return stored.content_digest(spark.createDataFrame(rows, schema))
+
+    base = digest([("x", 1), ("y", None)])
+    assert base == digest([("y", None), ("x", 1)])
+    assert len({base, digest([("x", 1)]), digest([("x", 1), ("y", None), ("y", None)]), digest([("x", None), ("y", 1)]), digest([("x", 1), (None, None)])}) == 5
