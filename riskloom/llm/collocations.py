@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import U64, Words, arrow_schema, batch_of, limit_frames, map_rows, mix, pack, partition_number, save, small_side, table, unpack
+from riskloom.llm.common import U64, Cells, Words, arrow_schema, batch_of, limit_frames, map_rows, mix, pack, partition_number, save, save_in_buckets, small_side, table, trimmed, unpack
 from riskloom.operators.running import running
 
 AT_LEAST = 10
@@ -44,7 +44,7 @@ FAN_IN = 32
 SECOND = 31
 
 # Sparse cells that a task holds before it sends them, and occurrences for each bucket of sparse tiles.
-HELD_CELLS = 1 << 21
+HELD_CELLS = 1 << 19
 BUCKET_PAIRS = 1 << 22
 # Distinct words that a task holds before it sends their counts, and bytes of text read for them.
 HELD_WORDS = 200_000
@@ -99,7 +99,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
                         counts, read = {}, 0
         yield from rows(counts)
 
-    return texts.mapInArrow(count, "lang string, word binary, c long").groupBy("lang", "word").agg(F.sum("c").alias("c"))
+    return texts.mapInArrow(trimmed(count), "lang string, word binary, c long").groupBy("lang", "word").agg(F.sum("c").alias("c"))
 
 
 def chunks(data: bytes) -> Iterator[bytes]:
@@ -136,7 +136,7 @@ def word_keys(words: DataFrame) -> DataFrame:
                 codes = np.array([_language_code(lang) for lang in frame.column("lang").to_pylist()], U64)
                 yield batch_of({"key": mix(hashes ^ codes).view(np.int64), "id": frame.column("id")}, schema)
 
-    return words.select("lang", "word", "id").mapInArrow(run, "key long, id long")
+    return words.select("lang", "word", "id").mapInArrow(trimmed(run), "key long, id long")
 
 
 def token_batches(texts: DataFrame) -> DataFrame:
@@ -188,39 +188,57 @@ def token_batches(texts: DataFrame) -> DataFrame:
         if found:
             yield row(number, found)
 
-    return save(texts.mapInArrow(build, ddl), "word-batches")
+    return save_in_buckets(texts.mapInArrow(trimmed(build), ddl), "word-batches", "batch")
 
 
 # --- lookup ---
 
 
-def lookup(asked: DataFrame, keys_of: Callable[[dict], np.ndarray], reads: list[str], n_keys: int, known: DataFrame, label: str) -> DataFrame:
-    """(batch, answers): the ids that ``known`` (key, id) has for the sorted distinct keys of each row of ``asked``; else -1.
+def hash_buckets(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Equal ranges of 64-bit hashes."""
+    return ((keys >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64)
 
-    Keys are hashes, so buckets of equal ranges are alike in size; their number follows ``n_keys``, the keys asked for.
-    Answers come as one packed array a bucket: read them by ``answered``.
+
+def lookup_buckets(n_keys: int) -> int:
+    return max(16, 8 * n_keys // BUCKET_BYTES)
+
+
+def lookup(
+    asked: DataFrame, keys_of: Callable[[dict, int], tuple[np.ndarray, np.ndarray]], reads: list[str], n_keys: int,
+    known: DataFrame, bucket_of: Callable[[np.ndarray, int], np.ndarray], label: str,
+) -> DataFrame:
+    """(batch, answers): the ids that ``known`` (key, id) has for the distinct keys of each row of ``asked``; else -1.
+
+    ``keys_of`` gives a row's keys and their buckets, in order of (bucket, key); ``bucket_of`` gives the buckets of any keys. Their number
+    follows ``n_keys``, the keys asked for. Answers come as one packed array a bucket: read them by ``answered``.
     """
     spark = asked.sparkSession
-    bits = max(4, (8 * n_keys // BUCKET_BYTES).bit_length())
+    buckets = lookup_buckets(n_keys)
     parts_ddl, out_ddl = "bucket int, batch long, keys binary", "batch long, bucket int, answer binary"
     parts_schema, out_schema = arrow_schema(spark, parts_ddl), arrow_schema(spark, out_ddl)
+    known_schema = arrow_schema(spark, "bucket int, key long, id long")
 
     def split(frames: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
             for i in range(frame.num_rows):
-                keys = keys_of({c: frame.column(c)[i].as_py() for c in reads})
-                cuts = np.searchsorted(keys >> U64(64 - bits), np.arange((1 << bits) + 1, dtype=U64)).tolist()
-                parts = [(b, keys[x:y].tobytes()) for b, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x]
-                batch = frame.column("batch")[i].as_py()
-                yield batch_of({"bucket": [b for b, _ in parts], "batch": [batch] * len(parts), "keys": [k for _, k in parts]}, parts_schema)
+                keys, bucket = keys_of({c: frame.column(c)[i].as_py() for c in reads}, buckets)
+                starts = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
+                parts = [pack(np.diff(keys[x:y].view(np.int64), prepend=0)) for x, y in zip(starts, [*starts[1:], len(keys)])]
+                batch = [frame.column("batch")[i].as_py()] * len(parts)
+                yield batch_of({"bucket": bucket[starts].tolist(), "batch": batch, "keys": parts}, parts_schema)
+
+    def with_bucket(frames: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in frames:
+            bucket = bucket_of(frame.column("key").to_numpy().view(U64), buckets)
+            yield batch_of({"bucket": bucket, "key": frame.column("key"), "id": frame.column("id")}, known_schema)
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
-        known_keys = right.column("key").to_numpy().astype(np.int64).view(U64)
+        known_keys = right.column("key").to_numpy().astype(np.int64)
         order = np.argsort(known_keys)
         known_keys, ids = known_keys[order], right.column("id").to_numpy()[order]
         out = []
         for keys in left.column("keys"):
-            keys = np.frombuffer(keys.as_py(), U64)
+            keys = np.cumsum(unpack(keys.as_py(), np.int64))
             if len(known_keys):
                 at = np.minimum(np.searchsorted(known_keys, keys), len(known_keys) - 1)
                 out.append(pack(np.where(known_keys[at] == keys, ids[at], -1)))
@@ -228,9 +246,8 @@ def lookup(asked: DataFrame, keys_of: Callable[[dict], np.ndarray], reads: list[
                 out.append(pack(np.full(len(keys), -1, np.int64)))
         return pa.table({"batch": left.column("batch"), "bucket": left.column("bucket"), "answer": pa.array(out, pa.binary())}, schema=out_schema)
 
-    parts = asked.select("batch", *reads).mapInArrow(split, parts_ddl).groupBy("bucket")
-    bucket = F.shiftrightunsigned("key", 64 - bits).cast("int")
-    there = known.select(bucket.alias("bucket"), "key", "id").groupBy("bucket")
+    parts = asked.select("batch", *reads).mapInArrow(trimmed(split), parts_ddl).groupBy("bucket")
+    there = known.mapInArrow(trimmed(with_bucket), "bucket int, key long, id long").groupBy("bucket")
     found = parts.cogroup(there).applyInArrow(answer, out_ddl)
     return save(found.groupBy("batch").agg(F.sort_array(F.collect_list(F.struct("bucket", "answer"))).alias("answers")), label)
 
@@ -240,41 +257,14 @@ def answered(row: dict) -> np.ndarray:
     return np.concatenate(found) if found else np.empty(0, np.int64)
 
 
-# --- tiles ---
-
-CELLS = "bucket long, task long, codes binary, counts binary"
-
-
-def summed_cells(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct codes with the sums of their counts."""
-    joined, each = np.concatenate(codes), np.concatenate(counts)
-    order = np.argsort(joined, kind="stable")
-    joined = joined[order]
-    starts = np.flatnonzero(np.concatenate(([True], joined[1:] != joined[:-1]))) if len(joined) else np.empty(0, np.int64)
-    return joined[starts], (np.add.reduceat(each[order], starts) if len(starts) else each[:0])
-
+def word_questions(row: dict, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    keys = unpack(row["keys"], U64)
+    return keys, hash_buckets(keys, buckets)
 
-class Cells:
-    """Sparse cells that are being summed: sorted codes and counts, in runs that are merged when they have grown."""
 
-    def __init__(self):
-        self.codes, self.counts, self.size, self.merged = [], [], 0, 0
-
-    def add(self, codes: np.ndarray, counts: np.ndarray) -> None:
-        self.codes.append(codes)
-        self.counts.append(counts)
-        self.size += len(codes)
-        if self.size > 2 * self.merged + HELD_CELLS // 2:
-            self.merge()
+# --- tiles ---
 
-    def merge(self) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.codes) > 1:
-            codes, counts = summed_cells(self.codes, self.counts)
-            self.codes, self.counts = [codes], [counts]
-        if not self.codes:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        self.size = self.merged = len(self.codes[0])
-        return self.codes[0], self.counts[0]
+CELLS = "bucket long, task long, codes binary, counts binary"
 
 
 class Tiles:
@@ -283,7 +273,7 @@ class Tiles:
     def __init__(self, buckets: int):
         self.buckets = buckets
         self.dense = [np.zeros(TILE * TILE, np.uint32) for _ in range(DENSE * DENSE)]
-        self.sparse = Cells()
+        self.sparse = Cells(HELD_CELLS // 2)
 
     def add(self, first: np.ndarray, second: np.ndarray) -> Iterator[dict]:
         corner = (first < DENSE * TILE) & (second < DENSE * TILE)
@@ -299,7 +289,7 @@ class Tiles:
 
     def sparse_rows(self) -> Iterator[dict]:
         codes, counts = self.sparse.merge()
-        self.sparse = Cells()
+        self.sparse = Cells(HELD_CELLS // 2)
         bucket = bucket_of(codes, self.buckets)
         order = np.argsort(bucket, kind="stable")
         bucket, codes, counts = bucket[order], codes[order], counts[order]
@@ -316,6 +306,7 @@ class Tiles:
 
 def bucket_of(codes: np.ndarray, buckets: int) -> np.ndarray:
     """The bucket of a cell: that of its tile."""
+    codes = codes.view(np.int64)
     tile = (codes >> SECOND) // TILE << SECOND | (codes & ((1 << SECOND) - 1)) // TILE
     return (mix(tile.view(U64)) % U64(buckets)).astype(np.int64)
 
@@ -329,14 +320,14 @@ def strip_codes(bucket: int) -> np.ndarray:
 
 def _sums(frames: Iterable[pa.RecordBatch], by: tuple[str, ...]) -> Iterator[tuple[tuple, np.ndarray, np.ndarray]]:
     """(group, codes, counts) of rows that come in the groups' order; dense groups have no codes. One group is held at a time."""
-    group, strip, cells = None, None, Cells()
+    group, strip, cells = None, None, Cells(HELD_CELLS // 2)
     for frame in frames:
         for i in range(frame.num_rows):
             key = tuple(frame.column(c)[i].as_py() for c in by)
             if key != group:
                 if group is not None:
                     yield group, None if strip is not None else cells.merge()[0], strip if strip is not None else cells.merge()[1]
-                group, strip, cells = key, None, Cells()
+                group, strip, cells = key, None, Cells(HELD_CELLS // 2)
             codes, counts = frame.column("codes")[i].as_py(), frame.column("counts")[i].as_py()
             if codes is None:
                 strip = unpack(counts, np.int64) + (0 if strip is None else strip)
@@ -381,11 +372,11 @@ def frequent_cells(batches: DataFrame, cells_of: Callable[[dict], tuple[np.ndarr
                 some = codes[i : i + (1 << 16)]
                 yield batch_of({"x": some >> SECOND, "y": some & ((1 << SECOND) - 1), "c": counts[i : i + (1 << 16)]}, out_schema)
 
-    sent = save(batches.mapInArrow(count, CELLS), f"{label}-cells")
+    sent = save(batches.mapInArrow(trimmed(count), CELLS), f"{label}-cells")
     dense = sent.where("bucket < 0").withColumn("some", F.floor(F.col("task") / FAN_IN))
-    dense = dense.repartition("bucket", "some").sortWithinPartitions("bucket", "some").select("bucket", "some", "codes", "counts").mapInArrow(add, CELLS)
+    dense = dense.repartition("bucket", "some").sortWithinPartitions("bucket", "some").select("bucket", "some", "codes", "counts").mapInArrow(trimmed(add), CELLS)
     met = sent.where("bucket >= 0").unionByName(dense).repartition("bucket").sortWithinPartitions("bucket")
-    return met.select("bucket", "codes", "counts").mapInArrow(often, "x long, y long, c long")
+    return met.select("bucket", "codes", "counts").mapInArrow(trimmed(often), "x long, y long, c long")
 
 
 # --- phrases ---
@@ -402,17 +393,26 @@ def word_pairs(row: dict) -> tuple[np.ndarray, np.ndarray]:
     return ids[at], ids[at + 1]
 
 
-def distinct_pairs(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The batch's distinct pairs as ascending hashed keys; for each of its pairs the place among them; where it is; the ids."""
+def distinct_pairs(row: dict, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The codes of a batch's distinct pairs and their buckets, in order of (bucket, code); for each of its pairs the place
+    among them; where the pairs are; the words' ids."""
     ids = unpack(row["ids"], np.int64)
     at = _neighbours(ids)
-    keys, places = np.unique(mix((ids[at] << SECOND | ids[at + 1]).view(U64)), return_inverse=True)
-    return keys, places, at, ids
+    codes, places = np.unique(ids[at] << SECOND | ids[at + 1], return_inverse=True)
+    bucket = bucket_of(codes, buckets)
+    order = np.argsort(bucket, kind="stable")
+    moved = np.empty(len(order), np.int64)
+    moved[order] = np.arange(len(order))
+    return codes[order], bucket[order], moved[places], at, ids
 
 
-def pair_and_word(row: dict) -> tuple[np.ndarray, np.ndarray]:
+def pair_questions(row: dict, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    return distinct_pairs(row, buckets)[:2]
+
+
+def pair_and_word(row: dict, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Frequent pairs followed by a word with which the pair's second word makes a frequent pair."""
-    _, places, at, ids = distinct_pairs(row)
+    _, _, places, at, ids = distinct_pairs(row, buckets)
     pair = np.full(len(ids), -1, np.int64)
     pair[at] = answered(row)[places]
     follows = np.flatnonzero((pair[:-1] >= 0) & (pair[1:] >= 0))
@@ -441,7 +441,7 @@ def collocations(docs: DataFrame, least: int = AT_LEAST, share: tuple[int, int]
     batches = token_batches(texts)
     n_keys, n_words = batches.agg(F.sum("n_keys"), F.sum("n_words")).first()
     n_keys, n_words = n_keys or 0, n_words or 0
-    found = lookup(batches, lambda row: unpack(row["keys"], U64), ["keys"], n_keys, word_keys(words), "word-ids")
+    found = lookup(batches, word_questions, ["keys"], n_keys, word_keys(words), hash_buckets, "word-ids")
 
     def as_ids(row: dict) -> Iterator[dict]:
         ids = answered(row)[unpack(row["places"], np.uint32)]
@@ -449,27 +449,18 @@ def collocations(docs: DataFrame, least: int = AT_LEAST, share: tuple[int, int]
         wanted = (ids >= 0) | (np.concatenate(([0], ids[:-1])) >= 0)
         yield {"batch": row["batch"], "ids": pack(ids[wanted])}
 
-    with_ids = batches.select("batch", "places", "ends").join(small_side(found), "batch", "left")
-    numbered = save(map_rows(with_ids, as_ids, "batch long, ids binary"), "numbered-texts")
+    # Batches stay in their buckets: of both joins only the answers are shuffled, at any size.
+    with_ids = batches.select("batch", "places", "ends").join(found.hint("merge"), "batch", "left")
+    numbered = save_in_buckets(map_rows(with_ids, as_ids, "batch long, ids binary"), "numbered-texts", "batch")
 
     pairs = ranked(frequent_cells(numbered, word_pairs, ["ids"], n_words, least, "pairs"), ["x", "y"], "ranked-pairs")
-    keyed = pairs.mapInArrow(_pair_keys(pairs.sparkSession), "key long, id long")
+    keyed = pairs.select((F.shiftleft(F.col("x"), SECOND).bitwiseOR(F.col("y"))).alias("key"), "id")
     # A batch has no more distinct pairs than words.
-    pair_ids = lookup(numbered, lambda row: distinct_pairs(row)[0], ["ids"], n_words, keyed, "pair-ids")
-    followed = numbered.join(small_side(pair_ids), "batch")
-    triples = save(frequent_cells(followed, pair_and_word, ["ids", "answers"], n_words, least, "triples"), "ranked-triples")
-    return _phrases(words, pairs, triples, share), sizes
-
-
-def _pair_keys(spark: SparkSession) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    schema = arrow_schema(spark, "key long, id long")
-
-    def run(frames: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for frame in frames:
-            codes = frame.column("x").to_numpy() << SECOND | frame.column("y").to_numpy()
-            yield batch_of({"key": mix(codes.view(U64)).view(np.int64), "id": frame.column("id")}, schema)
-
-    return run
+    pair_ids = lookup(numbered, pair_questions, ["ids"], n_words, keyed, bucket_of, "pair-ids")
+    buckets = lookup_buckets(n_words)
+    followed = numbered.join(pair_ids.hint("merge"), "batch")
+    triples = frequent_cells(followed, lambda row: pair_and_word(row, buckets), ["ids", "answers"], n_words, least, "triples")
+    return _phrases(words, pairs, save(triples, "frequent-triples"), share), sizes
 
 
 def _phrases(words: DataFrame, pairs: DataFrame, triples: DataFrame, share: tuple[int, int]) -> DataFrame:

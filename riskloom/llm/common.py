@@ -10,6 +10,8 @@ a task that is run again after the loss of an executor sees the same documents u
 
 from __future__ import annotations
 
+import ctypes
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -53,6 +55,29 @@ def save(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def save_in_buckets(df: DataFrame, label: str, key: str) -> DataFrame:
+    """As ``save``, in as many buckets of ``key`` as there are shuffle partitions, without a shuffle.
+
+    Joined on ``key``, the table stays where it is, and only the other side is shuffled. Each task writes a file for each bucket it has.
+    """
+    spark = df.sparkSession
+    name = f"bucketed_{uuid.uuid4().hex}"
+    df.write.bucketBy(shuffle_partitions(spark), key).option("path", new_path(spark, label)).saveAsTable(name)
+    return spark.table(name)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def written_bytes(saved: DataFrame) -> int:
     """Bytes of the files of a table that ``save`` has just written."""
     spark = saved.sparkSession
@@ -86,6 +111,30 @@ def batch_of(columns: dict[str, list], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 
 
+def give_back() -> None:
+    """Hand memory that a task has freed back to the system: Python workers live on between tasks, and keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(_LIBC, "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def trimmed(run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for ``mapInArrow``, with ``give_back`` at the end of every task."""
+
+    def wrapped(frames: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(frames)
+        give_back()
+
+    return wrapped
+
+
+try:
+    _LIBC = ctypes.CDLL(None)
+except (OSError, TypeError):  # not a POSIX system
+    _LIBC = None
+
+
 # --- hashing ---
 
 
@@ -192,6 +241,38 @@ def merged_intervals(starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndar
     return s[fresh], s[np.concatenate((fresh[1:] - 1, [len(s) - 1]))] + size
 
 
+def summed_cells(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct codes with the sums of their counts."""
+    joined, each = np.concatenate(codes), np.concatenate(counts)
+    order = np.argsort(joined, kind="stable")
+    joined = joined[order]
+    starts = np.flatnonzero(np.concatenate(([True], joined[1:] != joined[:-1]))) if len(joined) else np.empty(0, np.int64)
+    return joined[starts], (np.add.reduceat(each[order], starts) if len(starts) else each[:0])
+
+
+class Cells:
+    """Codes with counts that are being summed, in sorted runs; these are merged when they have doubled, or grown by ``step``."""
+
+    def __init__(self, step: int = 1 << 20):
+        self.codes, self.counts, self.size, self.merged, self.step = [], [], 0, 0, step
+
+    def add(self, codes: np.ndarray, counts: np.ndarray) -> None:
+        self.codes.append(codes)
+        self.counts.append(counts)
+        self.size += len(codes)
+        if self.size > 2 * self.merged + self.step:
+            self.merge()
+
+    def merge(self) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.codes) > 1:
+            codes, counts = summed_cells(self.codes, self.counts)
+            self.codes, self.counts = [codes], [counts]
+        if not self.codes:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        self.size = self.merged = len(self.codes[0])
+        return self.codes[0], self.counts[0]
+
+
 # --- batches ---
 
 
@@ -246,7 +327,7 @@ def batches(
             yield batch_of({k: [v] for k, v in row.items()}, arrow)
             number += 1
 
-    return save(texts_as_bytes(docs).mapInArrow(build, wanted), label)
+    return save(texts_as_bytes(docs).mapInArrow(trimmed(build), wanted), label)
 
 
 def _arrow(schema) -> pa.Schema:
@@ -279,7 +360,7 @@ def map_rows(df: DataFrame, build: Callable[[dict], Iterable[dict]], schema: str
                         columns[n].append(out[n])
                 yield batch_of(columns, arrow)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(trimmed(run), schema)
 
 
 # --- exchange ---
@@ -349,7 +430,7 @@ def exchange(
             schema=answer_schema,
         )
 
-    parts = sent.select("batch", *reads).mapInArrow(split, "bucket int, batch long, keys binary, payload binary")
+    parts = sent.select("batch", *reads).mapInArrow(trimmed(split), "bucket int, batch long, keys binary, payload binary")
     merged = parts.groupBy("bucket").applyInArrow(merge, "batch long, bucket int, answer binary")
     back = merged.groupBy("batch").agg(F.sort_array(F.collect_list(F.struct("bucket", "answer"))).alias("answers"))
     return save(back, label)

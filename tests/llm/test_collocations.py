@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 
 from riskloom.llm import collocations as co
+from riskloom.llm.common import Cells
 
 SCHEMA = "doc_id long, text string, lang string, word string, c long, id long, n long, batch long, key long, bucket int"
 
@@ -94,9 +95,21 @@ def test_nothing(spark, rows):
     assert found(spark, rows) == {}
 
 
+def test_batches_stay_in_their_buckets(spark):
+    from pyspark.sql import functions as F
+
+    from riskloom.llm.common import save, save_in_buckets
+
+    stored = save_in_buckets(spark.range(40).select(F.col("id").alias("batch"), F.lit("x").alias("ids")), "stay", "batch")
+    answers = save(spark.range(40).select(F.col("id").alias("batch"), F.lit("y").alias("answers")), "answers")
+    joined = stored.join(answers.hint("merge"), "batch")
+    assert joined._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert joined.count() == 40
+
+
 def test_cells():
     rng = np.random.default_rng(2)
-    cells, seen = co.Cells(), Counter()
+    cells, seen = Cells(100), Counter()
     for _ in range(50):
         codes, counts = np.unique(rng.integers(0, 400, 90), return_counts=True)
         cells.add(codes, counts)
