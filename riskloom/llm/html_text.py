@@ -1,9 +1,10 @@
 """HTML extraction: flat text blocks, classified by a decision tree.
 
 A page is cut at its block elements into flat blocks of text. A block is described by its number of words, its link
-density, the same two of the blocks before and after it, and where it stands: inside an element that by its
-name, role, class or id holds no article, and inside or outside the page's article element, if it has one. A
-decision tree that is grown on the small labelled table below, when the operator starts, says which blocks are text.
+density, and the same two of the blocks before and after it. Two hints follow: whether it stands in an element that by its
+name, role, class or id holds no article, and whether inside or outside the page's article element, if it has one.
+A decision tree says which blocks are text. It is grown, when the operator starts, on the small table of labelled pages
+below, each taken twice: with its hints, and without any. So pages that name nothing are read by their words and links alone.
 """
 
 from __future__ import annotations
@@ -22,36 +23,64 @@ from riskloom.llm.common import arrow_schema, batch_of, limit_frames, table
 
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "apart", "article")
 
-# Labelled blocks. Link densities are in hundredths; "apart" is 1 inside an element that holds no article; "article"
-# is 1 inside and -1 outside the article of a page that has one, 0 on a page without. The last column is 1 for text.
-LABELLED = (
-    # menus, footers, sidebars, adverts, forms, comments: marked by their element
-    (3, 100, 0, 0, 3, 100, 1, -1, 0), (1, 100, 2, 100, 14, 0, 1, -1, 0), (14, 0, 1, 100, 9, 0, 1, -1, 0), (9, 0, 120, 0, 0, 0, 1, -1, 0),
-    (60, 0, 45, 0, 30, 0, 1, 1, 0), (5, 0, 80, 0, 60, 0, 1, 1, 0), (35, 10, 5, 0, 22, 0, 1, 1, 0), (2, 0, 0, 0, 0, 0, 1, 1, 0),
-    (40, 0, 3, 100, 90, 0, 1, 0, 0), (8, 0, 50, 0, 4, 50, 1, 0, 0), (150, 2, 70, 0, 70, 0, 1, 0, 0), (25, 0, 0, 0, 0, 0, 1, -1, 0),
-    # outside the article of a page that has one
-    (4, 100, 4, 100, 4, 100, 0, -1, 0), (12, 0, 2, 100, 40, 0, 0, -1, 0), (45, 0, 60, 0, 10, 0, 0, -1, 0), (90, 5, 3, 0, 2, 0, 0, -1, 0),
-    (1, 0, 0, 0, 9, 0, 0, -1, 0), (20, 50, 30, 0, 0, 0, 0, -1, 0),
-    # inside the article: headings, paragraphs of any length, links within paragraphs
-    (9, 0, 0, 0, 40, 0, 0, 1, 1), (1, 0, 80, 0, 70, 0, 0, 1, 1), (3, 0, 20, 0, 0, 0, 0, 1, 1), (40, 0, 9, 0, 55, 0, 0, 1, 1),
-    (55, 10, 40, 0, 1, 0, 0, 1, 1), (150, 3, 3, 0, 60, 12, 0, 1, 1), (12, 25, 30, 0, 18, 0, 0, 1, 1), (1, 0, 0, 0, 0, 0, 0, 1, 1),
-    (2, 0, 3, 0, 4, 0, 0, 1, 1), (6, 50, 90, 0, 75, 5, 0, 1, 1), (30, 60, 25, 0, 40, 0, 0, 1, 1), (4, 100, 60, 0, 48, 0, 0, 1, 1),
-    (5, 100, 33, 0, 0, 0, 0, 1, 1), (700, 0, 200, 0, 300, 0, 0, 1, 1), (8, 0, 5, 100, 30, 0, 0, 1, 1),
-    (7, 0, 1, 0, 1, 0, 0, 1, 1), (7, 0, 0, 0, 0, 0, 0, 1, 1), (6, 0, 1, 0, 1, 0, 0, 1, 1), (5, 0, 2, 0, 0, 0, 0, 1, 1), (4, 0, 0, 0, 6, 0, 0, 1, 1),
-    (10, 0, 6, 0, 8, 0, 0, 1, 1), (13, 0, 1, 0, 4, 0, 0, 1, 1), (17, 0, 2, 0, 2, 0, 0, 1, 1), (3, 0, 7, 0, 9, 0, 0, 1, 1), (2, 0, 1, 0, 30, 0, 0, 1, 1),
-    (1, 0, 5, 0, 3, 0, 0, 1, 1), (6, 0, 15, 0, 2, 0, 0, 1, 1), (11, 0, 0, 0, 3, 0, 0, 1, 1), (24, 0, 4, 0, 0, 0, 0, 1, 1), (8, 0, 250, 0, 1, 0, 0, 1, 1),
-    (14, 40, 3, 0, 2, 0, 0, 1, 1), (5, 80, 12, 0, 7, 0, 0, 1, 1), (2, 50, 4, 0, 70, 0, 0, 1, 1), (3, 0, 2, 100, 5, 0, 0, 1, 1), (4, 0, 3, 0, 6, 100, 0, 1, 1),
-    # inside the article: lists of links
-    (4, 100, 5, 100, 3, 100, 0, 1, 0), (3, 100, 4, 100, 6, 100, 0, 1, 0), (6, 100, 2, 95, 5, 100, 0, 1, 0),
-    # pages without an article element
-    (3, 100, 2, 100, 3, 100, 0, 0, 0), (2, 100, 0, 0, 2, 100, 0, 0, 0), (5, 60, 3, 100, 30, 0, 0, 0, 0), (18, 80, 20, 0, 40, 0, 0, 0, 0),
-    (30, 50, 60, 0, 45, 5, 0, 0, 0), (4, 0, 2, 100, 3, 100, 0, 0, 0), (6, 0, 0, 0, 2, 0, 0, 0, 0), (3, 0, 4, 0, 5, 0, 0, 0, 0),
-    (25, 0, 3, 0, 60, 0, 0, 0, 1), (80, 4, 70, 0, 5, 0, 0, 0, 1), (120, 15, 6, 100, 90, 0, 0, 0, 1), (40, 0, 0, 0, 0, 0, 0, 0, 1),
-    (7, 0, 3, 100, 60, 0, 0, 0, 1), (5, 0, 50, 0, 45, 0, 0, 0, 1), (9, 0, 70, 0, 4, 0, 0, 0, 1), (16, 5, 12, 0, 30, 10, 0, 0, 1),
-    (2, 0, 90, 0, 110, 0, 0, 0, 1), (22, 20, 14, 0, 11, 0, 0, 0, 1), (40, 0, 1, 100, 1, 100, 0, 0, 1), (65, 3, 2, 100, 3, 100, 0, 0, 1),
-    (30, 0, 4, 0, 2, 100, 0, 0, 1), (19, 0, 0, 0, 3, 100, 0, 0, 1), (28, 12, 5, 60, 0, 0, 0, 0, 1), (4, 0, 3, 100, 2, 100, 0, 0, 0),
+# Labelled pages as sequences of their blocks: words, words within links, 1 inside an element whose name or class is one
+# that holds no article, 1 inside the page's article element, 1 for text.
+PAGES = (
+    # a report with menu, advert, article, a box and reader comments within it, and a footer
+    (
+        (1, 1, 1, 0, 0), (1, 1, 1, 0, 0), (2, 2, 1, 0, 0), (1, 1, 1, 0, 0), (7, 0, 1, 0, 0), (9, 0, 0, 1, 1), (12, 0, 0, 1, 1), (54, 2, 0, 1, 1),
+        (88, 0, 0, 1, 1), (6, 0, 0, 1, 1), (73, 5, 0, 1, 1), (22, 0, 1, 1, 0), (41, 0, 0, 1, 1), (3, 0, 0, 1, 1), (64, 0, 0, 1, 1), (35, 0, 1, 1, 0),
+        (10, 0, 1, 0, 0),
+    ),
+    # short notes below one heading, some of a word or two
+    (
+        (1, 1, 1, 0, 0), (1, 1, 1, 0, 0), (1, 1, 1, 0, 0), (5, 0, 1, 0, 0), (6, 0, 0, 1, 1), (6, 0, 0, 1, 1), (14, 0, 0, 1, 1), (1, 0, 0, 1, 1), (1, 0, 0, 1, 1),
+        (23, 0, 0, 1, 1), (8, 0, 0, 1, 1), (2, 0, 0, 1, 1), (5, 0, 0, 1, 1), (11, 0, 0, 1, 1), (3, 0, 0, 1, 1), (7, 0, 0, 1, 1), (11, 0, 1, 0, 0),
+    ),
+    # a long article with links, and a list of links within it
+    (
+        (2, 2, 1, 0, 0), (3, 3, 1, 0, 0), (2, 2, 1, 0, 0), (7, 0, 0, 1, 1), (30, 18, 0, 1, 1), (120, 12, 0, 1, 1), (4, 0, 0, 1, 1), (210, 20, 0, 1, 1),
+        (4, 4, 0, 1, 0), (3, 3, 0, 1, 0), (6, 6, 0, 1, 0), (5, 5, 0, 1, 0), (96, 3, 0, 1, 1), (9, 0, 0, 1, 1), (150, 0, 0, 1, 1), (8, 1, 1, 0, 0),
+    ),
+    # a page without an article element: header line, menu, text, footer with links
+    (
+        (4, 0, 1, 0, 0), (1, 1, 1, 0, 0), (2, 2, 1, 0, 0), (1, 1, 1, 0, 0), (1, 1, 1, 0, 0), (8, 0, 0, 0, 1), (45, 0, 0, 0, 1), (60, 4, 0, 0, 1),
+        (5, 0, 0, 0, 1), (38, 0, 0, 0, 1), (16, 0, 0, 0, 1), (70, 6, 0, 0, 1), (2, 2, 1, 0, 0), (1, 1, 1, 0, 0), (6, 0, 1, 0, 0),
+    ),
+    # blocks without any telling name: link, link, text, link
+    ((1, 1, 0, 0, 0), (1, 1, 0, 0, 0), (40, 0, 0, 0, 1), (1, 1, 0, 0, 0)),
+    ((2, 2, 0, 0, 0), (3, 3, 0, 0, 0), (2, 2, 0, 0, 0), (65, 2, 0, 0, 1), (28, 3, 0, 0, 1), (3, 3, 0, 0, 0), (2, 2, 0, 0, 0)),
+    (
+        (1, 1, 0, 0, 0), (3, 3, 0, 0, 0), (1, 1, 0, 0, 0), (5, 0, 0, 0, 1), (34, 0, 0, 0, 1), (80, 5, 0, 0, 1), (13, 0, 0, 0, 1), (48, 0, 0, 0, 1),
+        (1, 1, 0, 0, 0), (2, 2, 0, 0, 0),
+    ),
+    # an article alone on its page, long and short, cut off, or with a single line
+    ((9, 0, 0, 1, 1), (40, 0, 0, 1, 1), (55, 5, 0, 1, 1), (12, 3, 0, 1, 1)),
+    ((2, 0, 0, 1, 1), (4, 0, 0, 1, 1), (3, 0, 0, 1, 1), (4, 0, 0, 1, 1)),
+    ((1, 0, 0, 1, 1),),
+    ((6, 0, 0, 1, 1),),
+    ((1, 0, 0, 1, 1), (1, 0, 0, 1, 1)),
+    ((2, 0, 0, 1, 1), (1, 0, 0, 1, 1)),
+    ((1, 0, 0, 1, 1), (5, 0, 0, 1, 1), (1, 0, 0, 1, 1)),
+    ((1, 0, 0, 1, 1), (1, 0, 0, 1, 1), (2, 0, 0, 1, 1), (1, 0, 0, 1, 1)),
+    ((3, 0, 0, 1, 1), (1, 0, 0, 1, 1), (15, 0, 0, 1, 1), (1, 0, 0, 1, 1), (9, 0, 0, 1, 1), (1, 0, 0, 1, 1)),
+    # menu, one short article, a short footer; an advert before, a notice after
+    ((1, 1, 1, 0, 0), (1, 0, 0, 1, 1), (2, 0, 1, 0, 0)),
+    ((2, 0, 1, 0, 0), (1, 0, 0, 1, 1), (4, 0, 1, 0, 0)),
+    ((2, 0, 1, 1, 0), (1, 0, 0, 1, 1), (1, 0, 1, 1, 0), (1, 0, 1, 1, 0)),
+    ((2, 0, 0, 1, 1), (9, 0, 0, 1, 1), (3, 0, 1, 1, 0)),
+    # unnamed blocks around an article: an advert, a line below
+    ((2, 2, 0, 0, 0), (5, 0, 0, 0, 0), (1, 0, 0, 1, 1), (12, 0, 0, 1, 1), (30, 0, 0, 1, 1), (9, 0, 0, 0, 0)),
+    ((1, 1, 0, 0, 0), (1, 1, 0, 0, 0), (6, 0, 0, 0, 0), (1, 0, 0, 1, 1), (1, 0, 0, 1, 1), (4, 0, 0, 0, 0)),
+    # text and a side box beside it, then words of a form
+    ((1, 0, 0, 1, 1), (2, 0, 1, 1, 0), (1, 0, 0, 1, 1), (3, 0, 1, 1, 0)),
+    ((6, 0, 0, 1, 1), (52, 0, 0, 1, 1), (60, 0, 0, 1, 1), (90, 3, 1, 1, 0), (47, 0, 0, 1, 1), (2, 0, 1, 1, 0), (1, 0, 1, 1, 0), (14, 0, 1, 0, 0)),
 )
 
+# Features from here on are hints of tags and names; share of a page's words beyond which a hint is the page's own.
+HINTS = 6
+WHOLE_PAGE = 0.9
+
 # Elements by their part in a page.
 BLOCKS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -188,6 +217,7 @@ def blocks_of(page: str) -> list[Block]:
 
 
 def features_of(blocks: list[Block]) -> np.ndarray:
+    """The blocks' features. A hint that holds for nearly all words of a page, like a form around everything, says nothing."""
     words = np.array([b.words for b in blocks], float)
     links = 100 * np.array([b.linked for b in blocks], float) / np.maximum(words, 1)
     inside = np.array([b.inside for b in blocks])
@@ -195,9 +225,16 @@ def features_of(blocks: list[Block]) -> np.ndarray:
     before = lambda x: np.concatenate(([0.0], x[:-1]))
     after = lambda x: np.concatenate((x[1:], [0.0]))
     apart = np.array([b.apart for b in blocks], float)
+    if (apart * words).sum() > WHOLE_PAGE * words.sum():
+        apart = np.zeros(len(blocks))
     return np.stack((words, links, before(words), before(links), after(words), after(links), apart, article), 1)
 
 
+def neutral(x: np.ndarray) -> np.ndarray:
+    """Features without the hints of tags and names."""
+    return np.concatenate((x[:, :HINTS], np.zeros((len(x), x.shape[1] - HINTS))), 1)
+
+
 # --- tree ---
 
 
@@ -243,9 +280,23 @@ def grow(x: np.ndarray, y: np.ndarray, depth: int = 8) -> Tree:
     return Tree(float(y.mean()), best[1], best[2], grow(x[low], y[low], depth - 1), grow(x[~low], y[~low], depth - 1))
 
 
-def trained(labelled: tuple = LABELLED) -> Tree:
-    rows = np.array(labelled, float)
-    return grow(rows[:, :-1], rows[:, -1])
+def labelled_blocks(pages: tuple = PAGES) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of the pages' blocks: each page as its tags tell it, and once more without hints.
+
+    A box within an article is told from it by its element only: without hints its blocks are neighbours, but no examples.
+    """
+    x, y = [], []
+    for page in pages:
+        features = features_of([Block("", words, linked, bool(apart), bool(inside)) for words, linked, apart, inside, _ in page])
+        label = np.array([b[-1] for b in page], float)
+        told = np.array([not (apart and inside) for _, _, apart, inside, _ in page])
+        x += [features, neutral(features)[told]]
+        y += [label, label[told]]
+    return np.concatenate(x), np.concatenate(y)
+
+
+def trained(pages: tuple = PAGES) -> Tree:
+    return grow(*labelled_blocks(pages))
 
 
 # --- operator ---
