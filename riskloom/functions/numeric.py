@@ -27,23 +27,3 @@ def finite(x: Column) -> Column:
 def percent(part: Column, whole: Column) -> Column:
     """100 * part / whole, 0 where the whole is 0."""
     return F.when(whole > 0, 100.0 * part / whole).otherwise(F.lit(0.0))
-
-
-def log_gamma(x: Column) -> Column:
-    """ln Gamma(x) for x >= 1: Stirling's series, started at x + 8 to be exact to ~1e-13."""
-    y = x + 8.0
-    rising = x
-    for k in range(1, 8):
-        rising = rising * (x + float(k))
-    inv = 1.0 / y
-    inv2 = inv * inv
-    tail = inv * (
-        F.lit(1.0 / 12)
-        + inv2 * (F.lit(-1.0 / 360) + inv2 * (F.lit(1.0 / 1260) + inv2 * (F.lit(-1.0 / 1680) + inv2 * F.lit(1.0 / 1188))))
-    )
-    return (y - 0.5) * F.ln(y) - y + F.lit(0.5 * math.log(2 * math.pi)) + tail - F.ln(rising)
-
-
-def log_choose(n: Column, k: Column) -> Column:
-    return log_gamma(n + 1.0) - log_gamma(k + 1.0) - log_gamma(n - k + 1.0)
-

@@ -10,8 +10,11 @@ map of it and rounding in z could split or merge ties.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +30,9 @@ TWENTIETHS = 20
 # A score shared by more people than this is joined in several parts.
 ROWS_PER_KEY = 100_000
 MAX_HOT_KEYS = 100_000
+# Scores that meet a density's grid at a time, and models whose sums a task holds.
+DENSITY_ROWS = 2048
+DENSITY_MODELS = 10_000
 
 
 @dataclass(frozen=True)
@@ -295,9 +301,9 @@ def histogram(cohort: ScoredCohort, bins: int = 50) -> DataFrame:
 def kernel_density(cohort: ScoredCohort, points: int = 200, reach: float = 3.0) -> DataFrame:
     """Gaussian kernel density of z on an even grid, with Scott's bandwidth.
 
-    The grid spans ``reach`` bandwidths beyond the scores. Each profile row
-    meets the grid inside its own task; partial sums leave one row per model
-    and grid point. Degenerate models have no density.
+    The grid spans ``reach`` bandwidths beyond the scores. A task adds its
+    profile rows up in one array of ``points`` sums a model; these arrays, not the
+    profile, meet in the last sum. Degenerate models have no density.
     """
     bandwidth = F.pow(F.col("n").cast("double"), F.lit(-0.2))
     start = z_score(F.col("min")) - reach * bandwidth
@@ -311,14 +317,43 @@ def kernel_density(cohort: ScoredCohort, points: int = 200, reach: float = 3.0)
     )
     side = F.broadcast(models) if cohort.models.rows <= MAX_HOT_KEYS else models
     met = cohort.profile.df.join(side, "prs_id").select(
-        "prs_id", "n", "n_total", "bandwidth", "start", "step",
-        z_score(F.col("score")).alias("z"),
-        F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"),
+        "prs_id", F.col("n").cast("double").alias("n"), z_score(F.col("score")).alias("z"), "n_total", "bandwidth", "start", "step"
     )
-    grid = F.col("start") + F.col("point") * F.col("step")
-    u = (grid - F.col("z")) / F.col("bandwidth")
+    shape = ("n_total", "bandwidth", "start", "step")
+
+    def add(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[str, tuple[dict, np.ndarray]] = {}
+        for frame in frames:
+            coded = frame.column("prs_id").dictionary_encode()
+            own = coded.indices.to_numpy()
+            n, z = frame.column("n").to_numpy(), frame.column("z").to_numpy()
+            cuts = np.flatnonzero(np.diff(own, prepend=-1, append=-1)).tolist()
+            for a, b in zip(cuts, cuts[1:]):
+                name = coded.dictionary[own[a]].as_py()
+                if name not in sums:
+                    sums[name] = ({c: frame.column(c)[a].as_py() for c in shape}, np.zeros(points))
+                model, total = sums[name]
+                grid = model["start"] + np.arange(points) * model["step"]
+                for at in range(a, b, DENSITY_ROWS):
+                    u = (grid[None, :] - z[at : min(b, at + DENSITY_ROWS), None]) / model["bandwidth"]
+                    total += n[at : min(b, at + DENSITY_ROWS)] @ np.exp(-0.5 * u * u)
+            if len(sums) > DENSITY_MODELS:
+                yield _densities(sums, shape)
+                sums = {}
+        yield _densities(sums, shape)
+
+    partial = met.mapInArrow(add, "prs_id string, n_total long, bandwidth double, start double, step double, sums array<double>")
     norm = F.first("n_total") * F.first("bandwidth") * math.sqrt(2 * math.pi)
-    return met.groupBy("prs_id", "point").agg(
-        F.first(grid).alias("z"),
-        (F.sum(F.col("n") * F.exp(-0.5 * u * u)) / norm).alias("density"),
+    return (
+        partial.select("prs_id", *shape, F.posexplode("sums").alias("point", "_sum"))
+        .groupBy("prs_id", "point")
+        .agg(F.first(F.col("start") + F.col("point") * F.col("step")).alias("z"), (F.sum("_sum") / norm).alias("density"))
     )
+
+
+def _densities(sums: dict, shape: tuple[str, ...]) -> pa.RecordBatch:
+    columns = {"prs_id": pa.array(list(sums), pa.string())}
+    for c in shape:
+        columns[c] = pa.array([m[c] for m, _ in sums.values()], pa.int64() if c == "n_total" else pa.float64())
+    columns["sums"] = pa.array([t.tolist() for _, t in sums.values()], pa.list_(pa.float64()))
+    return pa.RecordBatch.from_pydict(columns)

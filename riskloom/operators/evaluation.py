@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.numeric import log_choose, percent
+from riskloom.functions.hypergeometric import run_sum, tail_runs
+from riskloom.functions.numeric import percent
 from riskloom.operators.distribution import ScoredCohort, quantile_bin, z_score
 from riskloom.operators.logistic import odds_ratio_per_sd
 
 # Fewer people than this have no meaningful 5 % tails.
 MIN_FOR_TAILS = 40
-# Tables with the same margins are listed in runs of this length.
+# Tables with the same margins are summed in runs of this length; runs that a table sends at a time.
 SUPPORT_RUN = 100_000
+RUNS_AT_ONCE = 10_000
 
 
 def _two_classes() -> Column:
@@ -152,39 +157,50 @@ def fisher_exact(tables: DataFrame, key: str = "prs_id") -> DataFrame:
     """Odds ratio and two-sided exact p of 2x2 tables.
 
     With a zero cell the odds ratio is taken after adding 0.5 to every cell;
-    p always belongs to the integer table. Each possible table with the same
-    margins is one row with its own closed-form log probability, so a wide
-    support is summed in parallel and nothing depends on a neighbour.
+    p always belongs to the integer table. The tables with the same margins
+    that are no likelier form two tails; these are cut into runs, which are
+    dealt over the tasks and each summed from one closed form. So the support may
+    be as wide as it likes.
     """
     a, b = F.col("high_cases").cast("double"), F.col("high_controls").cast("double")
     c, d = F.col("low_cases").cast("double"), F.col("low_controls").cast("double")
     shift = F.when((a == 0) | (b == 0) | (c == 0) | (d == 0), 0.5).otherwise(0.0)
     odds_ratio = ((a + shift) * (d + shift)) / ((b + shift) * (c + shift))
-
-    row, col, total = F.col("_row"), F.col("_col"), F.col("_total")
-
-    def log_p(x: Column) -> Column:
-        return log_choose(col, x) + log_choose(total - col, row - x) - log_choose(total, row)
-
     margins = tables.select(
-        key, odds_ratio.alias("odds_ratio"), a.alias("_seen"),
-        (a + b).alias("_row"), (a + c).alias("_col"), (a + b + c + d).alias("_total"),
-    )
-    least = F.greatest(F.lit(0.0), row + col - total).cast("long")
-    most = F.least(row, col).cast("long")
-    runs = margins.select(
-        "*",
-        log_p(F.col("_seen")).alias("_log_seen"),
-        most.alias("_most"),
-        F.explode(F.sequence(least, most, F.lit(SUPPORT_RUN))).alias("_from"),
-    )
-    run_end = F.least(F.col("_from") + (SUPPORT_RUN - 1), F.col("_most"))
-    support = runs.withColumn("_x", F.explode(F.sequence("_from", run_end)))
-    lp = log_p(F.col("_x").cast("double"))
-    return support.groupBy(key).agg(
-        F.first("odds_ratio").alias("odds_ratio"),
-        F.least(F.lit(1.0), F.sum(F.when(lp <= F.col("_log_seen") + 1e-7, F.exp(lp)).otherwise(0.0))).alias("p_value"),
+        F.col(key).cast("string").alias("key"), odds_ratio.alias("odds_ratio"),
+        *[F.col(n).cast("long").alias(n) for n in ("high_cases", "high_controls", "low_cases", "low_controls")],
     )
+    size = SUPPORT_RUN
+
+    def runs(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in frames:
+            for r in frame.to_pylist():
+                row, col = r["high_cases"] + r["high_controls"], r["high_cases"] + r["low_cases"]
+                total = row + r["low_cases"] + r["low_controls"]
+                found = tail_runs(r["high_cases"], row, col, total, size)
+                for start in range(0, len(found), RUNS_AT_ONCE):
+                    some = found[start : start + RUNS_AT_ONCE]
+                    n = len(some)
+                    yield pa.RecordBatch.from_pydict(
+                        {
+                            "key": [r["key"]] * n, "odds_ratio": [r["odds_ratio"]] * n, "first": [f for f, _ in some],
+                            "last": [e for _, e in some], "row": [row] * n, "col": [col] * n, "total": [total] * n,
+                        }, schema=_RUNS,
+                    )
+
+    def sums(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in frames:
+            rows = frame.to_pylist()
+            p = [run_sum(r["first"], r["last"], r["row"], r["col"], r["total"]) for r in rows]
+            yield pa.RecordBatch.from_pydict({"key": frame.column("key"), "odds_ratio": frame.column("odds_ratio"), "p": pa.array(p, pa.float64())})
+
+    ddl = "key string, odds_ratio double, first long, last long, row long, col long, total long"
+    dealt = margins.mapInArrow(runs, ddl).repartition("key", "first")
+    summed = dealt.mapInArrow(sums, "key string, odds_ratio double, p double").groupBy("key")
+    return summed.agg(F.first("odds_ratio").alias("odds_ratio"), F.least(F.lit(1.0), F.sum("p")).alias("p_value")).withColumnRenamed("key", key)
+
+
+_RUNS = pa.schema([("key", pa.string()), ("odds_ratio", pa.float64()), *[(n, pa.int64()) for n in ("first", "last", "row", "col", "total")]])
 
 
 def tail_odds(cohort: ScoredCohort) -> DataFrame:

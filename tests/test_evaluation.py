@@ -9,6 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from riskloom.functions import hypergeometric
 from riskloom.operators import distribution, evaluation, logistic
 from riskloom.schema import EmptyInputError
 
@@ -131,7 +132,11 @@ def test_auc_of_the_negated_score(spark, frame):
 
 def test_histogram_and_density(scored, frame):
     bars = distribution.histogram(scored).toPandas()
-    curve = distribution.kernel_density(scored).toPandas()
+    density = distribution.kernel_density(scored)
+    # The grid meets sums, not the profile's rows.
+    plan = density._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("MapInArrow") and plan.count("Generate ") == 1
+    curve = density.toPandas()
     assert set(curve.prs_id) == {"continuous", "tied", "one_class", "small"}
     for model in frame.prs_id.unique():
         mine = of_model(frame, model)
@@ -195,6 +200,33 @@ def test_fisher_exact(spark, monkeypatch):
     assert got[0]["p_value"] == pytest.approx(0.0349650, abs=1e-7)
 
 
+def normalised_p(a, b, c, d):
+    """The exact p by neighbours' ratios over the whole support in extended precision, normalised by their sum."""
+    r, k, t = a + b, a + c, a + b + c + d
+    x = np.arange(max(0, r + k - t), min(r, k), dtype=np.longdouble)
+    logs = np.concatenate(([0], np.cumsum(np.log((k - x) * (r - x)) - np.log((x + 1) * (t - r - k + x + 1)))))
+    logs -= logs.max()
+    tail = logs <= logs[a - max(0, r + k - t)] + 1e-7
+    return float(np.exp(logs[tail]).sum() / np.exp(logs).sum())
+
+
+@pytest.mark.parametrize("run", [100_000, 997])
+def test_fisher_exact_of_a_wide_support(spark, monkeypatch, run):
+    monkeypatch.setattr(evaluation, "SUPPORT_RUN", run)
+    tables = [(5_001_000, 4_999_000, 4_998_000, 5_002_000), (30, 9_999_970, 70, 9_999_930), (2_000_000, 1_000_000, 1_000_000, 500_000)]
+    df = spark.createDataFrame([(i, *t) for i, t in enumerate(tables)], "prs_id long, high_cases long, high_controls long, low_cases long, low_controls long")
+    got = {int(r["prs_id"]): r["p_value"] for r in evaluation.fisher_exact(df).collect()}
+    for i, t in enumerate(tables):
+        assert got[i] == pytest.approx(normalised_p(*t), rel=1e-9)
+
+
+def test_hypergeometric_terms():
+    for r, k, t in [(10, 4, 30), (1, 1, 2), (5, 29, 30), (29, 29, 30), (15, 15, 30)]:
+        x = list(range(max(0, r + k - t), min(r, k) + 1))
+        exact = [math.log(Fraction(math.comb(k, v) * math.comb(t - k, r - v), math.comb(t, r))) for v in x]
+        assert hypergeometric.log_hypergeometric(np.array(x), r, k, t) == pytest.approx(exact, abs=1e-12)
+
+
 def penalised_slope(z, y):
     """Plain gradient descent on the stated objective."""
     w = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
