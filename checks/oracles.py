@@ -325,6 +325,12 @@ INTERVALS = """
     select prs_id, contig, position - 40 as start_pos, position - 60 + (position % 5) * 40 as end_pos
     from clean_weights"""
 
+IN_INTERVALS = f"""
+        select variant_id, contig, position from variants v
+        where exists (select 1 from ({INTERVALS}) i
+                      where i.start_pos <= i.end_pos and i.contig = v.contig
+                        and v.position between i.start_pos and i.end_pos)"""
+
 ORACLES = {
     "cases_by_concept": "select s, cast(1 as bigint) as phenotype_status from cases",
     "eligible_persons": "select s from eligible",
@@ -377,11 +383,8 @@ ORACLES = {
         select variant_id, contig, position from variants v
         where exists (select 1 from clean_weights w
                       where w.prs_id = 'PGSA' and w.contig = v.contig and w.position = v.position)""",
-    "interval_semi_join": f"""
-        select variant_id, contig, position from variants v
-        where exists (select 1 from ({INTERVALS}) i
-                      where i.start_pos <= i.end_pos and i.contig = v.contig
-                        and v.position between i.start_pos and i.end_pos)""",
+    "interval_semi_join": IN_INTERVALS,
+    "interval_walk": IN_INTERVALS,
     "call_kinds": """
         select a1 is null as missing, coalesce(a1 = 0 and a2 = 0, false) as hom_ref,
           coalesce(a1 <> a2, false) as het, coalesce(a1 = a2 and a1 > 0, false) as hom_var,
@@ -495,6 +498,14 @@ ORACLES = {
         select st.prs_id, st.n_weights, st.n_loci, st.status, s.n_analysed
         from ({STATUS}) st left join (select prs_id, count(*) as n_analysed from scores
                                       where s in (select s from sampled) group by prs_id) s on s.prs_id = st.prs_id""",
+    "study_from_manifest": f"""
+        select ids.id as prs_id, coalesce(w.n, 0) as n_weights, coalesce(l.n, 0) as n_loci,
+          case when ids.id in ('PGSX', 'PGSZ') then 'unreadable' else 'scored' end as status,
+          s.n_analysed, s.auc, s.or_per_sd, s.or_top_bottom, s.p_top_bottom
+        from (select unnest(['PGSA', 'PGSB', 'PGSC', 'PGSX', 'PGSZ']) as id) ids
+        left join (select prs_id, count(*) as n from clean_weights group by prs_id) w on w.prs_id = ids.id
+        left join (select prs_id, count(*) as n from loci group by prs_id) l on l.prs_id = ids.id
+        left join ({SUMMARY}) s on s.prs_id = ids.id""",
     "checkpoint_reuse": "select prs_id, count(*) as n from clean_weights group by prs_id",
     "phecode_case_counts": "select phecode, n_cases, n_controls, n_excluded from phecode_cases",
     "association_scan": scan_sql(),

@@ -283,13 +283,22 @@ def point_semi_join(st: Study) -> DataFrame:
     return intervals.point_semi_join(st.variants(), model).drop("alleles")
 
 
-@query
-def interval_semi_join(st: Study) -> DataFrame:
+def wide_intervals(st: Study) -> DataFrame:
     position = F.col("position")
-    wide = locus_weights(st).select(
+    return locus_weights(st).select(
         "contig", (position - 40).alias("start_pos"), (position - 60 + (position % 5) * 40).alias("end_pos")
     )
-    return intervals.interval_semi_join(st.variants(), wide).drop("alleles")
+
+
+@query
+def interval_semi_join(st: Study) -> DataFrame:
+    return intervals.interval_semi_join(st.variants(), wide_intervals(st)).drop("alleles")
+
+
+@query
+def interval_walk(st: Study) -> DataFrame:
+    """The way taken for intervals too many for an index."""
+    return intervals.interval_semi_join(st.variants(), wide_intervals(st), row_limit=0).drop("alleles")
 
 
 # --- scoring ---
@@ -550,6 +559,27 @@ def whole_study(st: Study) -> DataFrame:
     return summary.select("prs_id", "n_weights", "n_loci", "status", "n_analysed")
 
 
+def _damaged_file(st: Study) -> str:
+    """A file that calls itself gzip and is not."""
+    path = f"{new_path(st.spark, 'damaged')}/damaged.txt.gz"
+    there = st.spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = there.getFileSystem(st.spark._jsc.hadoopConfiguration()).create(there)
+    out.write(bytearray(b"hm_chr\thm_pos\teffect_allele\teffect_weight\n1\t2\tA\t0.5\n"))
+    out.close()
+    return path
+
+
+@query
+def study_from_manifest(st: Study) -> DataFrame:
+    """The whole study of everybody eligible from scoring files, of which one is absent and one damaged."""
+    base = new_path(st.spark, "study_files")
+    more = st.spark.createDataFrame([("PGSZ", _damaged_file(st), TARGET)], "id string, url string, phenotype string")
+    return study.run_study(
+        st.spark, base, replace(parameters(st, base), sample=False), TARGET, st.genotypes(), st.table("condition_occurrence"),
+        st.table("person"), st.table("cb_search_person"), st.table("flagged_samples"), _written_manifest(st).unionByName(more),
+    )
+
+
 @query
 def checkpoint_reuse(st: Study) -> DataFrame:
     """The second call finds what the first one wrote and never builds."""

@@ -43,15 +43,20 @@ def stratified_sample(
     People are taken in order of md5('seed:s'). Counting the 4,096 three-digit
     prefixes of that hash shows which of them lie wholly inside the sample, so
     only the chosen people and those sharing the last prefix are ever sorted.
+    Who is listed twice is one person, with the greatest status; any status but
+    1 is a control's.
     """
-    wanted = F.when(F.col("phenotype_status") == 1, n_cases).otherwise(n_controls)
-    keyed = labelled.withColumn("_key", F.md5(F.concat(F.lit(f"{seed}:"), "s"))).withColumn(
-        "_prefix", F.substring("_key", 1, 3)
-    )
-    stratum = ["phenotype_status", "_prefix"]
+    others = [c for c in labelled.columns if c not in ("s", "phenotype_status")]
+    once = labelled.groupBy("s").agg(F.max(F.struct("phenotype_status", *others)).alias("_row")).select("s", "_row.*")
+    is_case = F.coalesce(F.col("phenotype_status") == 1, F.lit(False))
+    people = once.select(*labelled.columns, is_case.alias("_is_case"), F.md5(F.concat(F.lit(f"{seed}:"), "s")).alias("_key"))
+    # Both readers below, the counts and the choice, see the labels as they were written here.
+    keyed = store(people.withColumn("_prefix", F.substring("_key", 1, 3)), "sampling_order").df
+    wanted = F.when(F.col("_is_case"), n_cases).otherwise(n_controls)
+    stratum = ["_is_case", "_prefix"]
     sizes = keyed.groupBy(*stratum).agg(F.count(F.lit(1)).alias("_size"))
     # At most 4,096 rows per stratum, here and in the broadcast.
-    earlier = Window.partitionBy("phenotype_status").orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("_is_case").orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
     reached = sizes.select(*stratum, F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before")).where(
         F.col("_before") < wanted
     )
@@ -61,7 +66,6 @@ def stratified_sample(
         .withColumn("_place", place)
         .where(F.col("_before") + F.col("_place") <= wanted)
         .select(*labelled.columns)
-        .dropDuplicates(["s"])
     )
 
 

@@ -16,14 +16,17 @@ from riskloom.sources.stored import BROADCAST_ROWS, Stored, new_path, save_bucke
 LOCI_ROWS = 4_000_000
 
 
-def scoring_loci(weights: DataFrame, variants: DataFrame) -> Stored:
+def scoring_loci(weights: DataFrame | Stored, variants: DataFrame) -> Stored:
     """Weights matched to variants on the locus; alleles need not agree.
 
+    The weights are counted, and broadcast only if they are few enough; beyond that both sides shuffle on the locus.
+
     Whether the effect allele is the reference or which alternate it is gets
     decided here, once per variant and model, so each call compares integers.
     """
-    require_schema(weights, {"prs_id": None, **WEIGHTS}, "weights")
-    matched = variants.join(weights, ["contig", "position"]).select(
+    known = weights if isinstance(weights, Stored) else store(weights, "weights")
+    require_schema(known.df, {"prs_id": None, **WEIGHTS}, "weights")
+    matched = variants.join(known.join_side(), ["contig", "position"]).select(
         "prs_id",
         "variant_id",
         "contig",

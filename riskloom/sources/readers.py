@@ -6,12 +6,15 @@ cast: a reordered or widened file still lands in the right types.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.operators.genotypes import Genotypes, SparseGenotypes
+from riskloom.operators.weights import HEADINGS, resolve_headings
 from riskloom.schema import (
     CALLS,
     REFERENCE_BLOCKS,
@@ -155,9 +158,62 @@ def read_scores(spark: SparkSession, path: str, prs_id: str | None = None) -> Da
     )
 
 
-def read_scoring_file(spark: SparkSession, path: str) -> DataFrame:
-    """A raw scoring file: tab-separated text with ``#`` comments, gzip or not."""
-    return spark.read.csv(path, header=True, sep="\t", comment="#")
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """The data files at a path: the file itself, or a folder's files that are not hidden; none if there is nothing."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    found = [f.getPath() for f in fs.listStatus(root) if f.isFile()]
+    return sorted(_same_form(p.toUri().toString()) for p in found if not p.getName().startswith(("_", ".")))
+
+
+def _same_form(uri: str) -> str:
+    """Local paths come with one slash or three."""
+    return re.sub("^file:/+", "file:/", uri)
+
+
+def read_scoring_files(spark: SparkSession, files: dict[str, list[str]]) -> tuple[DataFrame | None, list[tuple[str, str]]]:
+    """(raw weights of all models in text columns, models whose files lack a heading with the reason).
+
+    The files are tab-separated text with ``#`` comments, gzip or not, each with headings of its own. One scan reads them
+    all: a table with a row for each file says at which place of a line the fields stand.
+    """
+    lines = spark.read.text(sorted({f for parts in files.values() for f in parts})).select(
+        "value",
+        F.regexp_replace("_metadata.file_path", "^file:/+", "file:/").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("line"),
+    ).where(~F.col("value").startswith("#") & (F.trim("value") != ""))
+    # A row for each file; its headings stand in its first block.
+    headings = {r["file"]: r["value"] for r in lines.where("start = 0").groupBy("file").agg(F.min_by("value", "line").alias("value")).collect()}
+    places, without = [], []
+    for model, parts in files.items():
+        try:
+            own = [(f, headings[f], _field_places(headings[f])) for f in parts if f in headings]
+            if not own:
+                raise SchemaError("empty scoring file")
+            places += [(model, f, text, *[at[c] for c in _FIELDS]) for f, text, at in own]
+        except SchemaError as e:
+            without.append((model, str(e)))
+    if not places:
+        return None, without
+    ddl = "prs_id string, file string, heading string, " + ", ".join(f"`at_{c}` int" for c in _FIELDS)
+    # No more rows than files.
+    met = lines.join(F.broadcast(spark.createDataFrame(places, ddl)), "file").where(F.col("value") != F.col("heading"))
+    values = F.split("value", "\t")
+    fields = [F.regexp_replace(F.get(values, F.col(f"at_{c}")), '^"(.*)"$', "$1").alias(HEADINGS[c][0]) for c in _FIELDS]
+    return met.select("prs_id", *fields), without
+
+
+_FIELDS = list(HEADINGS)
+
+
+def _field_places(heading: str) -> dict[str, int | None]:
+    """Field -> place in a line of the file; None for an optional field without a heading."""
+    columns = [c.strip().strip('"') for c in heading.lstrip("\ufeff").split("\t")]
+    found = resolve_headings(columns)
+    return {c: columns.index(found[c]) if c in found else None for c in _FIELDS}
 
 
 def read_intervals(spark: SparkSession, path: str) -> DataFrame:

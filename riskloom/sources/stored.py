@@ -10,7 +10,9 @@ import hashlib
 import json
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
@@ -37,7 +39,34 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    if (mine := _in_scope.get()) is not None:
+        mine.append(path)
+    return path
+
+
+_in_scope: ContextVar[list[str] | None] = ContextVar("tables of the innermost scope", default=None)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside are deleted at the end: for a run whose results are written elsewhere.
+
+    Nothing that still reads them, like a DataFrame made inside, may be used afterwards.
+    """
+    mine: list[str] = []
+    token = _in_scope.set(mine)
+    try:
+        yield
+    finally:
+        _in_scope.reset(token)
+        for path in mine:
+            delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
 
 
 class Stored:
@@ -124,8 +153,7 @@ def write_record(spark: SparkSession, path: str, counts: dict[str, int]) -> None
 
 def drop_record(spark: SparkSession, path: str) -> None:
     """Take an earlier record away before its data are overwritten: a run that stops halfway leaves none."""
-    record = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/complete")
-    record.getFileSystem(spark._jsc.hadoopConfiguration()).delete(record, True)
+    delete(spark, f"{path}/complete")
 
 
 def _complete(spark: SparkSession, path: str) -> DataFrame | None:

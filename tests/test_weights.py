@@ -1,4 +1,5 @@
 import gzip
+import os
 import random
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from riskloom.operators import intervals, weights
 from riskloom.plans import score_models
 from riskloom.schema import EmptyInputError, SchemaError
-from riskloom.sources import readers
+from riskloom.sources import readers, stored
 
 
 def test_headings_have_an_order_of_preference():
@@ -105,7 +106,55 @@ def test_weight_table_types_are_asserted(spark, tmp_path):
         readers.read_weights(spark, str(tmp_path / "empty"))
 
 
-def test_interval_semi_join_equals_brute_force(spark):
+def test_files_of_many_forms_in_one_scan(spark, tmp_path):
+    head = "##format\n#author=x\n\n"
+    (tmp_path / "a.txt").write_text(head + "hm_chr\thm_pos\teffect_allele\teffect_weight\tnote\n1\t10\tA\t0.5\tx\n2\t20\tC\tNA\ty\n")
+    with gzip.open(tmp_path / "b.txt.gz", "wt") as f:
+        f.write('# c\nbeta\tA1\t"chromosome"\tposition\tA2\n-0.25\tG\tchrX\t30.0\tT\n"1.5"\t"T"\t"3"\t"7"\t\n')
+    folder = tmp_path / "c"
+    folder.mkdir()
+    (folder / "part-0").write_text("chr\tpos\tallele\tOR\n4\t1\tA\t1\n")
+    (folder / "part-1").write_text("OR\tchr\tpos\tallele\n2\t4\t2\tC\n")
+    (folder / "_SUCCESS").write_text("")
+    (tmp_path / "d.txt.gz").write_bytes(b"not gzip")
+    (tmp_path / "e.txt").write_text("chr\tpos\n1\t2\n")
+    (tmp_path / "f.txt").write_text("# nothing\n")
+    with gzip.open(tmp_path / "g.txt.gz", "wb") as f:
+        f.write(b"chr\tpos\tallele\tOR\n" + b"4\t1\tA\t1\n" * 100_000)
+    whole = (tmp_path / "g.txt.gz").read_bytes()
+    (tmp_path / "g.txt.gz").write_bytes(whole[: len(whole) // 2])  # cut off
+    rows = [(m, str(tmp_path / u), "x") for m, u in [
+        ("A", "a.txt"), ("B", "b.txt.gz"), ("C", "c"), ("D", "d.txt.gz"), ("E", "e.txt"), ("F", "f.txt"), ("G", "g.txt.gz"), ("H", "absent"), ("I", "a.txt"),
+    ]]
+    manifest = spark.createDataFrame(rows, "id string, url string, phenotype string")
+    table, failed = score_models.load_weights(spark, manifest)
+    got = {(r["prs_id"], r["contig"], r["position"], r["effect_allele"], r["weight"], r["other_allele"]) for r in table.collect()}
+    assert got == {
+        ("A", "chr1", 10, "A", 0.5, None), ("I", "chr1", 10, "A", 0.5, None), ("B", "chrX", 30, "G", -0.25, "T"),
+        ("B", "chr3", 7, "T", 1.5, None), ("C", "chr4", 1, "A", 1.0, None), ("C", "chr4", 2, "C", 2.0, None),
+    }
+    assert {r["prs_id"] for r in failed.collect()} == {"D", "E", "F", "G", "H"}
+
+
+def test_temporary_tables_are_deleted(spark, tmp_path):
+    def stored_names():
+        folder = stored.new_path(spark, "x").rsplit("/", 1)[0].removeprefix("file://")
+        return set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+    outside = stored.store(spark.range(3), "outside")
+    before = stored_names()
+    with stored.temporary_tables(spark):
+        inside = stored.store(spark.range(5), "inside")
+        assert inside.df.count() == 5 and len(stored_names()) == len(before) + 1
+    assert stored_names() == before and outside.df.count() == 3
+    with pytest.raises(ZeroDivisionError), stored.temporary_tables(spark):
+        stored.store(spark.range(5), "inside")
+        1 / 0
+    assert stored_names() == before
+
+
+@pytest.mark.parametrize("row_limit", [0, 1000])
+def test_interval_semi_join_equals_brute_force(spark, row_limit):
     rng = random.Random(3)
     # Long, nested, piled-up, inverted and single-base intervals; several variants at one position.
     spans = [("chr1", s, s + rng.choice([0, 0, 3, 40, 400, -5])) for s in (rng.randint(1, 5000) for _ in range(300))]
@@ -116,7 +165,9 @@ def test_interval_semi_join_equals_brute_force(spark):
     got = intervals.interval_semi_join(
         spark.createDataFrame(variants, "variant_id int, contig string, position int"),
         spark.createDataFrame(spans, "contig string, start_pos int, end_pos int"),
+        row_limit,
     )
+    assert ("Exchange" in got._jdf.queryExecution().executedPlan().toString()) == (row_limit == 0)
     expected = {
         v for v, c, p in variants
         if any(c == k and e is not None and 1 <= s <= e and s <= p <= e for k, s, e in spans)
