@@ -13,9 +13,9 @@ from __future__ import annotations
 
 import json
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import accumulate, chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -23,14 +23,16 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import arrow_schema, batch_of, gather, partition_number, save, table, texts_as_bytes
+from riskloom.llm.common import arrow_schema, batch_of, gather, partition_number, save, table, texts_as_bytes, trimmed
 
 WINDOW = 4096
 OPEN_WINDOWS = 16
 FAN_IN = 32
 END_ID = 2
 # Entries of a worker's caches of words and of pieces of words.
-CACHE_ENTRIES = 700_000
+CACHE_ENTRIES = 400_000
+# Longer words and pieces are not cached, and longer pieces not merged here.
+LONGEST = 64
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary, home long"
@@ -114,7 +116,7 @@ class Merges:
         return out
 
 
-class WordTokens(dict):
+class WordTokens:
     """Ids of words without white space, as little-endian 32-bit numbers.
 
     The tokenizer drops white space and never joins over it, so a text's ids are those of its words. Words of plain
@@ -126,58 +128,85 @@ class WordTokens(dict):
     PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+| ")
     # Composed characters that lower-case one by one and cannot hold a special token.
     PLAIN = regex.compile(r"[!-;=-~¡-¬®-ÿ]+")
-    LONGEST = 64
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.merges = Merges(json.loads(self.tokenizer.to_str())["model"])
-        self.pieces: dict[str, bytes] = {" ": b""}
+        self.words = Generations()
+        self.pieces = Generations()
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, words: list[bytes]) -> None:
-        plain = []
+    def merged(self, pieces: list[str]) -> dict[str, bytes]:
+        """The ids of new pieces."""
+        short = [p for p in pieces if len(p) <= LONGEST]
+        out = dict(zip(short, self.merges.encode([p.encode() for p in short])))
+        out.update((p, self.whole(p)) for p in pieces if len(p) > LONGEST)
+        return out
+
+    def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """The ids of new words: of letters only, a piece each; of plain characters, cut into pieces; or as the tokenizer has them."""
+        letters = [w for w in words if w.isalpha()]
+        lowered = [w.decode().lower() for w in letters]
+        mixed, out = [], {}
         for w in words:
-            if (w.isascii() and b"<" not in w and w.isalpha()) or self.PLAIN.fullmatch(w.decode()):
-                plain.append(w)
-            else:
-                self[w] = self.whole(w.decode())
-        parts = self.PIECE.findall(b" ".join(plain).decode().lower())
-        fresh = set(parts).difference(self.pieces)
-        if len(self.pieces) + len(fresh) > CACHE_ENTRIES:
-            self.pieces = {" ": b""}
-            fresh = set(parts) - {" "}
-        short = [p for p in fresh if len(p) <= self.LONGEST]
-        self.pieces.update(zip(short, self.merges.encode([p.encode() for p in short])))
-        self.pieces.update((p, self.whole(p)) for p in fresh if len(p) > self.LONGEST)
-        found, done = [], 0
-        for p in parts:
-            if p == " ":
-                self[plain[done]] = b"".join(found)
-                found, done = [], done + 1
-            else:
-                found.append(self.pieces[p])
-        if plain:
-            self[plain[done]] = b"".join(found)
+            if not w.isalpha():
+                if self.PLAIN.fullmatch(w.decode()):
+                    mixed.append(w)
+                else:
+                    out[w] = self.whole(w.decode())
+        parts = self.PIECE.findall(b" ".join(mixed).decode().lower())
+        self.pieces.meet({*lowered, *parts} - {" "}, self.merged)
+        known = self.pieces.young
+        out.update(zip(letters, map(known.__getitem__, lowered)))
+        found = list(map(known.get, parts, repeat(b"")))
+        cuts = [i for i, p in enumerate(parts) if p == " "]
+        out.update(zip(mixed, (b"".join(found[a:b]) for a, b in zip([0, *cuts], [*cuts, len(parts)]))))
+        self.pieces.rest()
+        return out
 
     def ids_of(self, texts: list[bytes]) -> list[np.ndarray]:
         """All ids of each text and the end id."""
         words = [t.split() for t in texts]  # at ASCII white space
-        found = [list(map(self.get, w)) for w in words]
-        missing = [i for i, f in enumerate(found) if None in f]
-        new = {w for i in missing for w, f in zip(words[i], found[i]) if f is None}
-        if len(self) + len(new) > CACHE_ENTRIES:
-            self.clear()
-            new = {w for i in missing for w in words[i]}
-        self.learn(list(new))
-        for i in missing:
-            found[i] = list(map(self.__getitem__, words[i]))
+        flat = list(chain.from_iterable(words))
+        self.words.meet(set(flat), self.learn)
+        found = list(map(self.words.young.__getitem__, flat))
+        self.words.rest()
         end = np.array([END_ID], "<u4").tobytes()
-        return [np.frombuffer(b"".join(f) + end, "<u4") for f in found]
+        stops = list(accumulate(map(len, words)))
+        return [np.frombuffer(b"".join(found[a:b]) + end, "<u4") for a, b in zip([0, *stops], stops)]
+
+
+class Generations:
+    """A bounded cache: when the young entries are too many they become the old ones, and the old ones go.
+
+    Whatever is met again while it is old becomes young, so frequent entries stay. Long keys are not kept.
+    """
+
+    def __init__(self):
+        self.young: dict = {}
+        self.old: dict = {}
+        self.long: list = []
+
+    def meet(self, keys: set, learn: Callable[[list], dict]) -> None:
+        """Have all keys among the young, by learning those that are not known."""
+        unknown = keys - self.young.keys()
+        again = unknown & self.old.keys()
+        self.young.update((k, self.old[k]) for k in again)
+        unknown -= again
+        self.long = [k for k in unknown if len(k) > LONGEST]
+        self.young.update(learn(list(unknown)))
+
+    def rest(self) -> None:
+        """Forget what is too much; to be called when the entries met were read."""
+        for k in self.long:
+            del self.young[k]
+        self.long = []
+        if len(self.young) > CACHE_ENTRIES:
+            self.old, self.young = self.young, {}
 
 
 @lru_cache(maxsize=2)
@@ -266,7 +295,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, open_windows: in
             rows.extend(_rows(pieces, None, home))
         yield _frame(rows, schema)
 
-    placed = save(texts_as_bytes(docs).mapInArrow(first, PIECES), "packed")
+    placed = save(texts_as_bytes(docs).mapInArrow(trimmed(first), PIECES), "packed")
     finished = [placed.where("sequence_id is not null").select(*OUT)]
     homes = (placed.agg(F.max("home")).first()[0] or 0) + 1
     level = 1
