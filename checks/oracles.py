@@ -337,6 +337,7 @@ ORACLES = {
     "exclude_flagged_from_tsv": "select s from cohort",
     "label_cohort": "select s, phenotype_status as Ischemic_Stroke_status from labelled",
     "status_frequency": "select phenotype_status, count(*) as n from labelled group by phenotype_status",
+    "split_by_status": "select s, case when phenotype_status = 1 then 'case' else 'control' end as side from labelled",
     "stratified_sample": "select s, phenotype_status from sampled",
     "restrict_calls": "select c.s, c.variant_id, c.a1, c.a2 from calls c where c.s in (select s from sampled)",
     "restrict_to_id_list": "select c.s, c.variant_id, c.a1, c.a2 from calls c where c.s in (select s from cases)",
@@ -488,7 +489,7 @@ ORACLES = {
     "fisher_tails": f"""
         select o.prs_id, {r6('o.odds_ratio', 'odds_ratio')}, {r6('f.p_value', 'p_value')}
         from tail_or o join fisher f on f.prs_id = o.prs_id""",
-    "odds_ratio_per_sd": f"select prs_id, {r6('exp(b1)', 'or_per_sd')} from fit{OR_STEPS}",
+    "odds_ratio_per_sd": f"select prs_id, {r6('exp(b1)', 'or_per_sd')}, true as converged from fit{OR_STEPS}",
     "model_summary": SUMMARY,
     "summary_text": f"""
         select prs_id, n_analysed, printf('%.4f', auc) as auc, printf('%.3f', or_per_sd) as or_per_sd,

@@ -137,6 +137,12 @@ def status_frequency(st: Study) -> DataFrame:
     return phenotype.status_frequency(labelled(st))
 
 
+@query
+def split_by_status(st: Study) -> DataFrame:
+    known, others = phenotype.split_by_status(labelled(st))
+    return known.select("s", F.lit("case").alias("side")).unionByName(others.select("s", F.lit("control").alias("side")))
+
+
 @query
 def stratified_sample(st: Study) -> DataFrame:
     return sampled(st)
@@ -574,9 +580,10 @@ def study_from_manifest(st: Study) -> DataFrame:
     """The whole study of everybody eligible from scoring files, of which one is absent and one damaged."""
     base = new_path(st.spark, "study_files")
     more = st.spark.createDataFrame([("PGSZ", _damaged_file(st), TARGET)], "id string, url string, phenotype string")
+    sinks.write_csv(_written_manifest(st).unionByName(more), f"{base}/manifest")
     return study.run_study(
         st.spark, base, replace(parameters(st, base), sample=False), TARGET, st.genotypes(), st.table("condition_occurrence"),
-        st.table("person"), st.table("cb_search_person"), st.table("flagged_samples"), _written_manifest(st).unionByName(more),
+        st.table("person"), st.table("cb_search_person"), st.table("flagged_samples"), readers.read_manifest(st.spark, f"{base}/manifest"),
     )
 
 

@@ -214,7 +214,7 @@ def model_summary(cohort: ScoredCohort) -> DataFrame:
     return (
         cohort.models.df.select("prs_id", F.col("n").alias("n_analysed"))
         .join(roc_auc(cohort), "prs_id", "left")
-        .join(odds_ratio_per_sd(cohort), "prs_id", "left")
+        .join(odds_ratio_per_sd(cohort).drop("converged"), "prs_id", "left")
         .join(tails, "prs_id", "left")
     )
 

@@ -22,8 +22,9 @@ def odds_ratio_per_sd(cohort: ScoredCohort) -> DataFrame:
     All models are fitted together. A Newton step needs five sums per model,
     taken over the profile (one row per distinct score). The state between
     steps is one row per model. No row for one class or a zero deviation; a
-    degenerate model with some deviation has z = 0 throughout, hence 1. A model
-    that still moves after the last step has NULL and does not stop the others.
+    degenerate model with some deviation has z = 0 throughout, hence 1. Models
+    that have settled take no further steps. One that still moves after the last
+    step has NULL and is marked as not ``converged``.
     """
     fittable = (F.col("n_cases") > 0) & (F.col("n_cases") < F.col("n")) & (F.col("std") > 0)
     half = F.col("n") / 2.0
@@ -34,15 +35,20 @@ def odds_ratio_per_sd(cohort: ScoredCohort) -> DataFrame:
         F.lit(0.0).alias("intercept"),
         F.lit(0.0).alias("slope"),
     )
-    state = start
+    state, done = start, None
+    is_settled = F.coalesce(F.col("_change") < TOLERANCE, F.lit(False))
     for _ in range(MAX_ROUNDS):
         for _ in range(STEPS_PER_ROUND):
             state = _newton_step(cohort, state)
-        written = store(state, "logistic_state", change=F.max("_change"))
-        state, change = written.df, written.figures["change"]
-        if change is None or change < TOLERANCE:
+        written = store(state, "logistic_state", moving=F.count_if(~is_settled))
+        settled = written.df.where(is_settled)
+        done = settled if done is None else done.unionByName(settled)
+        state = written.df.where(~is_settled)
+        if not written.figures["moving"]:
             break
-    return state.select("prs_id", F.when(F.col("_change") < TOLERANCE, F.exp("slope")).alias("or_per_sd"))
+    else:
+        done = done.unionByName(state)
+    return done.select("prs_id", F.when(is_settled, F.exp("slope")).alias("or_per_sd"), is_settled.alias("converged"))
 
 
 # One Newton step in three projections; later columns use earlier ones of the same list.
