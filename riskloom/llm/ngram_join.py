@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.common import (
     PLACE_IN_BATCH, U64, Words, answers, arrow_schema, batches, exchange, map_rows, pack, rolling, save, small_side, table, text_key,
-    texts_of, unpack,
+    texts_of, unpack, unused,
 )
 from riskloom.llm.components import components
 
@@ -141,12 +141,15 @@ def one_of_each(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
         F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), (F.col("node") == F.col("kept.node")).alias("stays")
     )
     keys = save(rows.groupBy("_id", "_key").agg(F.max("stays").alias("_stays"), F.count("*").alias("_copies")).where("not _stays or _copies > 1"), "dropped")
-    same = (F.col("doc_id").eqNullSafe(F.col("_id"))) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_key"))
-    out = docs.join(small_side(keys), same, "left_anti")
-    copied = keys.where("_stays")
-    if not copied.isEmpty():
-        once = docs.join(copied, same, "left_semi").withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-        out = out.unionByName(once.dropDuplicates(["doc_id", "_hash"]).drop("_hash"))
+    # Both sides have names of their own, whatever columns the documents have.
+    own, key = docs.alias("own"), keys.alias("key")
+    text_hash = F.xxhash64(F.coalesce("own.text", F.lit("")))
+    same = F.col("own.doc_id").eqNullSafe(F.col("key._id")) & (text_hash == F.col("key._key"))
+    out = own.join(small_side(keys).alias("key"), same, "left_anti")
+    if not keys.where("_stays").isEmpty():
+        hashed = unused(docs, "hash")
+        once = own.join(key.where("_stays"), same, "left_semi").withColumn(hashed, text_hash)
+        out = out.unionByName(once.dropDuplicates(["doc_id", hashed]).drop(hashed))
     return out
 
 
@@ -313,3 +316,26 @@ def _undecided(rest: DataFrame, like: Likeness) -> DataFrame:
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join(table(spark, sf_dir, "documents"), 3, 90, 100)
+
+
+def op5_sql() -> str:
+    """All pairs that share a shingle, and their reach: for tables of test size."""
+    return r"""
+    WITH RECURSIVE docs AS (
+      SELECT row_number() OVER () AS node, doc_id,
+        list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws
+      FROM documents),
+    sets AS (
+      SELECT node, unnest(list_distinct(CASE WHEN len(ws) >= 3 THEN list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])
+                               WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END)) AS g
+      FROM docs),
+    sizes AS (SELECT node, count(*) AS n FROM sets GROUP BY node),
+    coded AS (SELECT node, hash(g) AS g FROM sets),
+    pairs AS (SELECT a.node AS a, b.node AS b, count(*) AS c FROM coded a JOIN coded b ON a.g = b.g AND a.node < b.node GROUP BY ALL),
+    links AS (SELECT a, b FROM pairs JOIN sizes x ON x.node = a JOIN sizes y ON y.node = b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+    edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reach AS (SELECT DISTINCT a AS node, a AS other FROM edges UNION SELECT r.node, e.b FROM reach r JOIN edges e ON e.a = r.other)
+    SELECT d.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, least(d.doc_id, min(o.doc_id)) AS component_id
+    FROM docs d LEFT JOIN sizes s ON s.node = d.node LEFT JOIN reach r ON r.node = d.node LEFT JOIN docs o ON o.node = r.other
+    GROUP BY d.node, d.doc_id
+    """

@@ -28,4 +28,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_substring_dedup": substring_dedup.op6_sql(), "op9_url_rules": url_rules.op9_sql(), "op12_collocations": collocations.op12_sql()}
+    return {
+        "op5_ngram_join": ngram_join.op5_sql(),
+        "op6_substring_dedup": substring_dedup.op6_sql(),
+        "op7_suffix_dedup": suffix_dedup.op7_sql(),
+        "op9_url_rules": url_rules.op9_sql(),
+        "op12_collocations": collocations.op12_sql(),
+    }

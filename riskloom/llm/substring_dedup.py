@@ -164,7 +164,7 @@ def op6_sql(window: int = WINDOW) -> str:
     """Exact grouping of all windows, without a sketch."""
     return f"""
 with d as (
-  select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), w -> w <> '') as words from documents
+  select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as words from documents
 ), w as (
   select doc_id, p, md5(array_to_string(words[p:p + {window - 1}], ' ')) as h
   from (select doc_id, words, unnest(range(1, len(words) - {window - 2})) as p from d where len(words) >= {window})
@@ -173,5 +173,5 @@ gone as (
   select doc_id, unnest(range(p, p + {window})) as i from w join least using (h) where doc_id > first_id
 ), lost as (select doc_id, list(distinct i) as lost from gone group by doc_id)
 select doc_id, cast(len(words) as bigint) as n_words, cast(coalesce(len(lost), 0) as bigint) as n_removed,
-  sha256(array_to_string(list_transform(list_filter(range(1, len(words) + 1), i -> not coalesce(list_contains(lost, i), false)), i -> words[i]), ' ')) as kept_sha256
+  sha256(array_to_string(list_transform(list_filter(range(1, len(words) + 1), lambda i: not coalesce(list_contains(lost, i), false)), lambda i: words[i]), ' ')) as kept_sha256
 from d left join lost using (doc_id)"""

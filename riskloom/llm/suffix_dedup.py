@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.common import (
     BYTE_CODES, U64, answers, arrow_schema, batch_of, batches, exchange, map_rows, merged_intervals, pack,
-    partition_number, rolling, save, shuffle_partitions, sliding_min, small_side, table, text_key,
+    partition_number, quoted, rolling, save, shuffle_partitions, sliding_min, small_side, table, text_key,
     texts_of, unpack,
 )
 
@@ -319,20 +319,43 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 yield {"_id": doc_id, "_key": text_key(text), "_text": rest if rest.strip() else None}
 
     new = save(map_rows(held.join(small_side(lost), "batch"), changed, "_id long, _key long, _text string"), "changed-texts")
-    new = new.withColumn("_changed", F.lit(True)).dropDuplicates(["_id", "_key"])
-    same = (F.col("doc_id").eqNullSafe(F.col("_id"))) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_key"))
-    out = docs.join(new, same, "left").where("_changed is null or _text is not null")
-    text = F.when(F.col("_changed"), F.col("_text")).otherwise(F.col("text"))
+    new = new.withColumn("_changed", F.lit(True)).dropDuplicates(["_id", "_key"]).alias("new")
+    # Both sides have names of their own, whatever columns the documents have.
+    own = docs.alias("own")
+    same = F.col("own.doc_id").eqNullSafe(F.col("new._id")) & (F.xxhash64(F.coalesce("own.text", F.lit(""))) == F.col("new._key"))
+    out = own.join(new, same, "left").where("new._changed is null or new._text is not null")
+    text = F.when(F.col("new._changed"), F.col("new._text")).otherwise(F.col("own.text"))
     columns = []
     for c in docs.columns:
         if c == "text":
             columns.append(text.alias("text"))
         elif c == "n_chars":
-            columns.append(F.when(F.col("_changed"), F.length("_text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType).alias("n_chars"))
+            n_chars = F.when(F.col("new._changed"), F.length("new._text")).otherwise(F.col("own.n_chars"))
+            columns.append(n_chars.cast(docs.schema["n_chars"].dataType).alias("n_chars"))
         else:
-            columns.append(F.col(c))
+            columns.append(F.col(f"own.{quoted(c)}"))
     return out.select(*columns)
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(table(spark, sf_dir, "documents"))
+
+
+def op7_sql() -> str:
+    """Every string of 400 bytes by its digest: for tables of test size."""
+    return """
+    WITH docs AS (SELECT row_number() OVER () AS row, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    starts AS (SELECT row, hash(substr(h, 2 * i + 1, 800)) AS m, i FROM (SELECT row, h, unnest(range(0, length(h) // 2 - 399)) AS i FROM docs WHERE length(h) >= 800)),
+    again AS (SELECT m FROM starts GROUP BY m HAVING count(*) > 1),
+    hit AS (SELECT row, i FROM starts JOIN again USING (m)),
+    marked AS (SELECT row, i, CASE WHEN i > lag(i) OVER w + 400 OR lag(i) OVER w IS NULL THEN 1 ELSE 0 END AS fresh FROM hit WINDOW w AS (PARTITION BY row ORDER BY i)),
+    numbered AS (SELECT row, i, sum(fresh) OVER (PARTITION BY row ORDER BY i) AS span FROM marked),
+    spans AS (SELECT row, span, min(i) AS a, max(i) + 400 AS b FROM numbered GROUP BY row, span),
+    gaps AS (SELECT s.row, s.span, substr(d.h, 2 * s.b + 1, 2 * (coalesce(lead(s.a) OVER (PARTITION BY s.row ORDER BY s.span), length(d.h) // 2) - s.b)) AS part,
+               CASE WHEN s.span = 1 THEN substr(d.h, 1, 2 * s.a) ELSE '' END AS head
+             FROM spans s JOIN docs d ON d.row = s.row),
+    kept AS (SELECT row, string_agg(head || part, '' ORDER BY span) AS rest, count(*) AS n FROM gaps GROUP BY row)
+    SELECT d.doc_id, length(d.h) // 2 AS n_bytes, CASE WHEN k.row IS NULL THEN 0 ELSE (length(d.h) - length(k.rest)) // 2 END AS n_removed,
+      coalesce(k.n, 0) AS n_spans, sha256(unhex(coalesce(k.rest, d.h))) AS kept_sha256
+    FROM docs d LEFT JOIN kept k ON k.row = d.row
+    """
