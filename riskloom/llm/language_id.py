@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import U64, arrow_schema, batch_of, limit_frames, mix, pack, rolling, table, unpack
+from riskloom.llm.common import U64, arrow_schema, batch_of, limit_frames, mix, pack, rolling, table, trimmed, unpack
 
 FIT_ROWS = 1500
 BUCKETS = 1 << 16
@@ -31,6 +31,9 @@ SMOOTHING = 0.5
 SCRIPT_SHARE = 0.01
 # Entries of a worker's cache of word scores.
 CACHE_ENTRIES = 400_000
+# Texts that are labelled, and new words that are scored, at a time.
+TEXTS_AT_ONCE = 300
+WORDS_AT_ONCE = 8192
 
 # First code points of script ranges; letters outside all of them are "other".
 SCRIPTS = (
@@ -107,6 +110,11 @@ class Model:
         self.scores = np.zeros((0, len(languages)), np.float32)
         self.letters = np.zeros(0, np.int64)
 
+    def forget(self) -> None:
+        """Drop the cached words: the model outlives a task in the worker that has read it."""
+        self.cache.clear()
+        self.scores, self.letters = self.scores[:0].copy(), self.letters[:0].copy()
+
     def rows(self, words: list[str]) -> np.ndarray:
         """Row of each word in ``scores`` and ``letters``."""
         get = self.cache.get
@@ -114,13 +122,13 @@ class Model:
         if None in found:
             new = list({w for w, f in zip(words, found) if f is None})
             if len(self.cache) + len(new) > CACHE_ENTRIES:
-                self.cache.clear()
-                self.scores, self.letters = self.scores[:0], self.letters[:0]
+                self.forget()
                 new = list(set(words))
             base = len(self.letters)
-            scores, letters = self.score(new)
+            parts = [self.score(new[i : i + WORDS_AT_ONCE]) for i in range(0, len(new), WORDS_AT_ONCE)]
             self.cache.update(zip(new, range(base, base + len(new))))
-            self.scores, self.letters = np.concatenate((self.scores, scores)), np.concatenate((self.letters, letters))
+            self.scores = np.concatenate((self.scores, *[scores for scores, _ in parts]))
+            self.letters = np.concatenate((self.letters, *[letters for _, letters in parts]))
             found = list(map(self.cache.__getitem__, words))
         return np.array(found, np.int64)
 
@@ -234,7 +242,7 @@ def fit(training: DataFrame, rows_per_language: int = FIT_ROWS) -> Model:
         return pa.Table.from_batches([batch_of({"lang": [group.column("lang")[0].as_py()], "counts": [pack(total[0])], "scripts": [pack(total[1])]}, schema)])
 
     names = "lang string, counts binary, scripts binary"
-    summed = sample.mapInArrow(count, names).groupBy("lang").applyInArrow(add, names).collect()  # languages x buckets numbers
+    summed = sample.mapInArrow(trimmed(count), names).groupBy("lang").applyInArrow(add, names).collect()  # languages x buckets numbers
     counts, scripts = np.zeros((len(languages), BUCKETS)), np.zeros((len(languages), len(SCRIPT_NAMES)))
     for r in summed:
         counts[languages.index(r["lang"])] = unpack(r["counts"], np.int64)
@@ -242,14 +250,20 @@ def fit(training: DataFrame, rows_per_language: int = FIT_ROWS) -> Model:
     return Model(languages, counts, scripts)
 
 
-def identify(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
-    """All columns of ``docs``, and ``llm_lang``, ``llm_score``, ``llm_spans`` (first and last word, language)."""
+def identify(docs: DataFrame, model: Model, text_column: str = "text", prefix: str = "llm_") -> DataFrame:
+    """All columns of ``docs``, and ``llm_lang``, ``llm_score``, ``llm_spans`` (first and last word, language).
+
+    Null and empty texts, and texts without letters, are ``und`` with score 0 and no spans; repeated rows are each labelled; an empty table
+    gives no rows. Columns of any other name pass through; where ``docs`` has one of these three names, give another ``prefix``.
+    """
     spark = docs.sparkSession
     limit_frames(spark)
     shared = spark.sparkContext.broadcast(model)  # languages x buckets numbers, whatever the corpus
-    ddl = "llm_lang string, llm_score double, llm_spans array<struct<first: int, last: int, lang: string>>"
+    ddl = f"{prefix}lang string, {prefix}score double, {prefix}spans array<struct<first: int, last: int, lang: string>>"
     added = arrow_schema(spark, ddl)
     schema = spark.createDataFrame([], ddl).schema
+    if {f.name for f in schema} & set(docs.columns):
+        raise ValueError(f"the table has columns that begin with {prefix} already")
     for f in reversed(docs.schema.fields):
         schema.fields.insert(0, f)
         schema.names.insert(0, f.name)
@@ -257,20 +271,22 @@ def identify(docs: DataFrame, model: Model, text_column: str = "text") -> DataFr
 
     def run(frames: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
-            step = max(1, min(frame.num_rows, 3000))
+            step = TEXTS_AT_ONCE
             for start in range(0, frame.num_rows, step):
                 part = frame.slice(start, step)
                 found = predict(shared.value, [t or "" for t in part.column(at).to_pylist()])
                 new = batch_of(
                     {
-                        "llm_lang": [f[0] for f in found], "llm_score": [f[1] for f in found],
-                        "llm_spans": [[{"first": a, "last": b, "lang": lang} for a, b, lang in f[2]] for f in found],
+                        f"{prefix}lang": [f[0] for f in found], f"{prefix}score": [f[1] for f in found],
+                        f"{prefix}spans": [[{"first": a, "last": b, "lang": lang} for a, b, lang in f[2]] for f in found],
                     },
                     added,
                 )
-                yield pa.RecordBatch.from_arrays([*part.columns, *new.columns], names=[*part.schema.names, *added.names])
+                yield pa.RecordBatch.from_arrays([*part.columns, *new.columns], names=schema.names)
+        shared.value.forget()
 
-    return docs.mapInArrow(run, schema)
+    # Columns go to Python by their places, whatever they are called.
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]).mapInArrow(trimmed(run), schema)
 
 
 def held_out(modulus: int, remainder: int):
