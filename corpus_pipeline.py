@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import language_id, latent_leaks, ngram_join, packing, suffix_dedup
-from riskloom.llm.common import save, table
+from riskloom.llm.common import quoted, save, table
 
 # Near duplicates: five-word shingles, similarity of 0.8 or more.
 SHINGLE_WORDS = 5
@@ -18,31 +18,44 @@ SIMILARITY = (8, 10)
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with letters, mixed ones too; the model learns from the labelled rows. Without any, all texts with letters stay."""
+    """Texts with letters, mixed ones too; the model learns from the labelled rows. Without any, all texts with letters stay.
+
+    Null and empty texts go, repeated rows and null ids stay; an empty table stays empty; columns of any names pass through.
+    """
     model = language_id.fit(docs.select("text", "lang"))
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    found = language_id.identify(docs, model)
-    return found.where(F.col("llm_lang") != "und").select(*docs.columns)
+    prefix = "llm_"
+    while any(f"{prefix}{name}" in docs.columns for name in ("lang", "score", "spans")):
+        prefix = "_" + prefix
+    found = language_id.identify(docs, model, prefix=prefix)
+    return found.where(F.col(f"{prefix}lang") != "und").select(*[F.col(quoted(c)) for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of alike ones, that with the least doc_id."""
+    """One document of each group of alike ones, that with the least doc_id.
+
+    Rows without words stay, null texts among them; of rows that share doc_id and text one stays; an empty table stays
+    empty; columns of any names pass through.
+    """
     return ngram_join.one_of_each(docs, SHINGLE_WORDS, *SIMILARITY)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without strings of 400 bytes that stand elsewhere too; n_chars follows; texts without a word left go."""
+    """Texts without strings of 400 bytes that stand elsewhere too; n_chars follows; texts without a word left go.
+
+    Null and short texts stay; repeated rows lose the same bytes; an empty table stays empty; columns of any names pass through.
+    """
     return suffix_dedup.without_repeats(docs)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item. Null and empty texts and repeated clean rows stay; columns of any names pass through."""
     return latent_leaks.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of 4096 tokens."""
+    """Pieces of documents in sequences of 4096 tokens. A null or empty text has its end id only; other columns are not read."""
     return packing.pack(docs, packing.default_tokenizer())
 
 
