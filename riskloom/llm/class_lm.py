@@ -19,17 +19,19 @@ with their counts; occurrences of the others meet their counts in a join, whose
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import arrow_schema, batch_of, gather, mix, pack, partition_number, save, shuffle_partitions, table, texts_as_bytes, unpack
+from riskloom.llm.common import Cells, arrow_schema, batch_of, gather, mix, pack, partition_number, save, table, texts_as_bytes, trimmed, unpack
 
 HOT = 1 << 18
 CLASSED = 8192
@@ -42,8 +44,12 @@ SWEEPS = 12
 PRIOR = 20.0
 # Units whose bigram counts are one row.
 BLOCK = 64
-# Distinct words or bigrams that a task holds before it hands them on.
-HELD = 400_000
+# Distinct words, and bigrams or neighbour counts, that a task holds before it hands them on; rows it sends at a time.
+HELD_WORDS = 150_000
+HELD_CELLS = 1 << 20
+ROWS_AT_ONCE = 10_000
+# Training tokens for each bucket of neighbour counts.
+BUCKET_TOKENS = 1 << 20
 
 # A key that no word can have, as words hold no white space.
 END = b" "
@@ -76,18 +82,23 @@ def word_counts(training: DataFrame) -> DataFrame:
     """(word, c) of all training tokens, the end of a text among them; written."""
     schema = arrow_schema(training.sparkSession, "word binary, c long")
 
+    def rows(seen: Counter) -> Iterator[pa.RecordBatch]:
+        found = iter(seen.items())
+        while part := list(islice(found, ROWS_AT_ONCE)):
+            yield batch_of({"word": [w for w, _ in part], "c": [c for _, c in part]}, schema)
+
     def count(frames: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         for _, texts in gather(frames):
             for t in texts:
                 seen.update(words_of(t))
             seen[END] += len(texts)
-            if len(seen) > HELD:
-                yield batch_of({"word": list(seen), "c": list(seen.values())}, schema)
+            if len(seen) > HELD_WORDS:
+                yield from rows(seen)
                 seen = Counter()
-        yield batch_of({"word": list(seen), "c": list(seen.values())}, schema)
+        yield from rows(seen)
 
-    return save(training.mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c")), "word-counts")
+    return save(training.mapInArrow(trimmed(count), "word binary, c long").groupBy("word").agg(F.sum("c").alias("c")), "word-counts")
 
 
 @dataclass
@@ -148,7 +159,7 @@ def bigram_blocks(training: DataFrame, words: Lexicon) -> DataFrame:
 
     def count(frames: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = {w: i for i, w in enumerate(shared.value)}
-        codes, n = np.empty(0, np.int64), np.empty(0, np.int64)
+        cells = Cells()
         for _, texts in gather(frames):
             flat, ends = [], []
             for t in texts:
@@ -156,24 +167,21 @@ def bigram_blocks(training: DataFrame, words: Lexicon) -> DataFrame:
                 ends.append(len(flat))
             unit = np.insert(units_of(flat, index)[1], ends, END_UNIT)
             unit = np.concatenate(([END_UNIT], unit))
-            new, counts = np.unique(unit[:-1] * UNITS + unit[1:], return_counts=True)
-            joined, which = np.unique(np.concatenate((codes, new)), return_inverse=True)
-            n = np.bincount(which, np.concatenate((n, counts)), len(joined)).astype(np.int64)
-            codes = joined
-            if len(codes) > 5 * HELD:
-                yield rows(codes, n)
-                codes, n = codes[:0], n[:0]
-        yield rows(codes, n)
+            cells.add(*np.unique(unit[:-1] * UNITS + unit[1:], return_counts=True))
+            if cells.merged > HELD_CELLS:
+                yield rows(*cells.merge())
+                cells = Cells()
+        yield rows(*cells.merge())
 
     def merge(group: pa.Table) -> pa.Table:
-        keys = np.concatenate([unpack(k, np.int64) for k in group.column("keys").to_pylist()])
-        n = np.concatenate([unpack(k, np.int64) for k in group.column("n").to_pylist()])
-        unique, which = np.unique(keys, return_inverse=True)
-        total = np.bincount(which, n, len(unique)).astype(np.int64)
-        return pa.Table.from_batches([batch_of({"block": [group.column("block")[0].as_py()], "keys": [pack(unique)], "n": [pack(total)]}, schema)])
+        cells = Cells()
+        for keys, n in zip(group.column("keys"), group.column("n")):
+            cells.add(unpack(keys.as_py(), np.int64), unpack(n.as_py(), np.int64))
+        keys, n = cells.merge()
+        return pa.Table.from_batches([batch_of({"block": [group.column("block")[0].as_py()], "keys": [pack(keys)], "n": [pack(n)]}, schema)])
 
     names = "block int, keys binary, n binary"
-    return save(training.mapInArrow(count, names).groupBy("block").applyInArrow(merge, names), "bigrams")
+    return save(training.mapInArrow(trimmed(count), names).groupBy("block").applyInArrow(merge, names), "bigrams")
 
 
 # --- exchange clustering ---
@@ -253,7 +261,7 @@ def cluster(blocks: DataFrame, sweeps: int = SWEEPS) -> tuple[np.ndarray, np.nda
                 for b, keys, n in zip(*(frame.column(c).to_pylist() for c in ("block", "keys", "n"))):
                     yield batch_of(build(b, unpack(keys, np.int64), unpack(n, np.int64)), schema)
 
-        return blocks.mapInArrow(run, ddl).collect()
+        return blocks.mapInArrow(trimmed(run), ddl).collect()
 
     def totals(b: int, keys: np.ndarray, n: np.ndarray) -> dict:
         unit, side = keys // (2 * UNITS), keys // UNITS % 2
@@ -306,29 +314,43 @@ def cluster(blocks: DataFrame, sweeps: int = SWEEPS) -> tuple[np.ndarray, np.nda
 # --- the other words ---
 
 
-def word_classes(training: DataFrame, counts: DataFrame, words: Lexicon, classes: np.ndarray, pairs: np.ndarray) -> DataFrame:
+# A word's neighbour counts are keyed by 55 bits of its hash and 8 for what is counted: the class after it, the class before it,
+# itself after it, and the class its group has now.
+WIDTH = CLASSES + 1
+BEFORE, TWICE, NOW = WIDTH, 2 * WIDTH, 2 * WIDTH + 1
+HASH_BITS, CODE_BITS = 55, 8
+
+
+def word_hash(word: bytes) -> int:
+    return xxhash.xxh64_intdigest(word, 42) >> (64 - HASH_BITS)
+
+
+def word_classes(training: DataFrame, counts: DataFrame, words: Lexicon, classes: np.ndarray, pairs: np.ndarray, tokens: int) -> DataFrame:
     """``counts`` with ``cls``, the class of a word that is no unit and was seen ``TOLD`` times, else null; written.
 
-    A task sends its words' counts of the classes beside them: after the word, before it, and last the word itself after it.
+    A task sums what it sees beside its words as sorted codes, and sends them packed to buckets of hashes, whose number follows
+    ``tokens``. Words that share a hash would share a class.
     """
     spark = training.sparkSession
-    ddl = "word binary, codes binary, n binary"
-    schema, out_schema = arrow_schema(spark, ddl), arrow_schema(spark, "word binary, cls int")
-    width = CLASSES + 1
-    codes_of_word = 2 * width + 1
+    ddl, out_ddl = "bucket int, codes binary, n binary", "word_key long, cls int"
+    schema, out_schema = arrow_schema(spark, ddl), arrow_schema(spark, out_ddl)
+    bits = max(4, (tokens // BUCKET_TOKENS).bit_length())
     shared = spark.sparkContext.broadcast(words.words[:CLASSED])
 
-    def rows(index: dict[bytes, int], codes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        cuts = np.searchsorted(codes, np.arange(len(index) + 1) * codes_of_word).tolist()
-        local, n = (codes % codes_of_word).astype(np.int16), n.astype(np.int64)
+    def rows(codes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        bucket = codes >> (HASH_BITS + CODE_BITS - bits)
+        starts = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
+        parts = list(zip(starts, [*starts[1:], len(codes)]))
         return batch_of(
-            {"word": list(index), "codes": [local[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], "n": [n[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]}, schema
-        )
+            {
+                "bucket": bucket[starts].tolist(), "codes": [pack(np.diff(codes[a:b], prepend=0)) for a, b in parts],
+                "n": [pack(n[a:b].astype(np.uint32)) for a, b in parts],
+            }, schema,
+        )
 
     def count(frames: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = {w: i for i, w in enumerate(shared.value)}
-        index: dict[bytes, int] = {}
-        codes, n = np.empty(0, np.int64), np.empty(0, np.int64)
+        cells = Cells()
         for _, texts in gather(frames):
             flat = [END]
             for t in texts:
@@ -339,43 +361,41 @@ def word_classes(training: DataFrame, counts: DataFrame, words: Lexicon, classes
             unit[ends] = END_UNIT
             cls = classes[unit]
             at = np.flatnonzero((place < 0) & ~ends)
-            own = np.fromiter((index.setdefault(flat[i], len(index)) for i in at.tolist()), np.int64, len(at)) * codes_of_word
+            own = np.fromiter((word_hash(flat[i]) for i in at.tolist()), np.int64, len(at))
             number = np.full(len(flat), -1)
             number[at] = own
             twice = own[number[at + 1] == own]
-            new, m = np.unique(np.concatenate((own + cls[at + 1], own + width + cls[at - 1], twice + 2 * width)), return_counts=True)
-            joined, which = np.unique(np.concatenate((codes, new)), return_inverse=True)
-            n = np.bincount(which, np.concatenate((n, m)), len(joined)).astype(np.int64)
-            codes = joined
-            if len(codes) > 2 * HELD:
-                yield rows(index, codes, n)
-                index, codes, n = {}, codes[:0], n[:0]
-        yield rows(index, codes, n)
+            own <<= CODE_BITS
+            seen = np.concatenate((own | cls[at + 1], own | (BEFORE + cls[at - 1]), twice << CODE_BITS | TWICE, own | (NOW + cls[at])))
+            cells.add(*np.unique(seen, return_counts=True))
+            if cells.merged > HELD_CELLS:
+                yield rows(*cells.merge())
+                cells = Cells()
+        yield rows(*cells.merge())
 
     def assign(group: pa.Table) -> pa.Table:
-        index: dict[bytes, int] = {}
-        own = np.array([index.setdefault(w, len(index)) for w in group.column("word").to_pylist()], np.int64)
-        codes = [np.frombuffer(c, np.int16) for c in group.column("codes").to_pylist()]
-        n = np.frombuffer(b"".join(group.column("n").to_pylist()), np.int64)
-        own, code = np.repeat(own, [len(c) for c in codes]), np.concatenate(codes).astype(np.int64)
-        seen = np.bincount(own[code < width], n[code < width], len(index))
+        cells = Cells()
+        for codes, n in zip(group.column("codes"), group.column("n")):
+            cells.add(np.cumsum(unpack(codes.as_py(), np.int64)), unpack(n.as_py(), np.uint32).astype(np.int64))
+        codes, n = cells.merge()
+        keys, own = np.unique(codes >> CODE_BITS, return_inverse=True)
+        code = codes & ((1 << CODE_BITS) - 1)
+        now = code >= NOW
+        at, seen = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        at[own[now]], seen[own[now]] = code[now] - NOW, n[now]
         kept = np.flatnonzero(seen >= TOLD)
-        names = list(index)
-        names = [names[i] for i in kept.tolist()]
-        number = np.full(len(index), -1)
-        number[kept] = np.arange(len(kept))
-        use = number[own] >= 0
-        target = np.empty(0, np.int64)
-        if len(kept):
-            sums = np.bincount(number[own[use]] * codes_of_word + code[use], n[use], len(kept) * codes_of_word).reshape(len(kept), codes_of_word)
-            at = classes[[ending_unit(w) for w in names]]
-            target, _ = best_moves(pairs, sums[:, :width], sums[:, width : 2 * width], sums[:, -1], at)
-        return pa.Table.from_batches([batch_of({"word": names, "cls": target.tolist()}, out_schema)])
-
-    parts = training.mapInArrow(count, ddl)
-    bucket = F.pmod(F.xxhash64("word"), F.lit(8 * shuffle_partitions(spark)))
-    found = parts.groupBy(bucket.alias("bucket")).applyInArrow(assign, "word binary, cls int")
-    return save(counts.join(found, "word", "left"), "word-classes")
+        target = []
+        for some in np.array_split(kept, -(-len(kept) // ROWS_AT_ONCE) or 1):
+            number = np.full(len(keys), -1)
+            number[some] = np.arange(len(some))
+            use = (number[own] >= 0) & ~now
+            sums = np.bincount(number[own[use]] * NOW + code[use], n[use], len(some) * NOW).reshape(len(some), NOW)
+            target.append(best_moves(pairs, sums[:, :BEFORE], sums[:, BEFORE:TWICE], sums[:, TWICE], at[some])[0])
+        return pa.Table.from_batches([batch_of({"word_key": keys[kept], "cls": np.concatenate(target)}, out_schema)])
+
+    found = training.mapInArrow(trimmed(count), ddl).groupBy("bucket").applyInArrow(assign, out_ddl)
+    keyed = counts.withColumn("word_key", F.shiftrightunsigned(F.xxhash64("word"), 64 - HASH_BITS))
+    return save(keyed.join(found, "word_key", "left").drop("word_key"), "word-classes")
 
 
 # --- model ---
@@ -415,7 +435,7 @@ def class_sizes(counts: DataFrame, words: Lexicon, classes: np.ndarray) -> tuple
         rows = np.arange(CLASSES + 1).tolist()
         yield batch_of({"c": rows} | {n: sums[:, i].tolist() for i, n in enumerate(("tokens", "types", "once", "twice"))}, schema)
 
-    parts = counts.select("word", "c", F.coalesce("cls", F.lit(-1)).alias("cls")).mapInArrow(total, "c int, tokens long, types long, once long, twice long")
+    parts = counts.select("word", "c", F.coalesce("cls", F.lit(-1)).alias("cls")).mapInArrow(trimmed(total), "c int, tokens long, types long, once long, twice long")
     out = np.zeros((4, CLASSES + 1), np.int64)
     for r in parts.groupBy("c").agg(*[F.sum(n).alias(n) for n in ("tokens", "types", "once", "twice")]).collect():
         out[:, r["c"]] = r["tokens"], r["types"], r["once"], r["twice"]
@@ -424,11 +444,17 @@ def class_sizes(counts: DataFrame, words: Lexicon, classes: np.ndarray) -> tuple
 
 def train(training: DataFrame, sweeps: int = SWEEPS) -> tuple[ClassModel, DataFrame]:
     """(model, word counts and classes) from (doc_id, data) rows."""
+    model, counts = fit_classes(training, sweeps)
+    return with_transitions(model, in_classes(training, model, counts)), counts
+
+
+def fit_classes(training: DataFrame, sweeps: int = SWEEPS) -> tuple[ClassModel, DataFrame]:
+    """As ``train``, but without transitions: these are counted in texts whose words have their classes."""
     counts = word_counts(training)
     total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.sum(F.when(F.col("word") == F.lit(END), F.col("c"))).alias("ends")).first()
     words = lexicon(counts, HOT)
     classes, pairs, _ = cluster(bigram_blocks(training, words), sweeps)
-    counts = word_classes(training, counts, words, classes, pairs)
+    counts = word_classes(training, counts, words, classes, pairs, total["n"] or 0)
     told = {bytes(r["word"]): r["cls"] for r in counts.where((F.col("c") >= words.least) & F.col("cls").isNotNull()).select("word", "cls").collect()}  # at most ``HOT``
     own = np.array([told.get(w, classes[i if i < CLASSED else ending_unit(w)]) for i, w in enumerate(words.words)], np.int64)
     tokens, types, once, twice = class_sizes(counts, words, classes)
@@ -439,13 +465,17 @@ def train(training: DataFrame, sweeps: int = SWEEPS) -> tuple[ClassModel, DataFr
     with np.errstate(divide="ignore"):
         unseen = np.where(tokens > 0, np.log10(discounts * types / np.maximum(tokens, 1)), 0.0)
     model = ClassModel(words, classes, own, np.zeros_like(pairs), tokens, discounts, unseen, total["n"] or 0, total["v"], total["ends"] or 0)
-    # transitions are counted anew, as words have left their groups
-    pairs = class_bigrams(in_classes(training, model, counts))
-    share = (tokens + 1) / (tokens.sum() + CLASSES + 1)
-    model.transitions = np.log10((pairs + PRIOR * share) / (pairs.sum(axis=1, keepdims=True) + PRIOR))
     return model, counts
 
 
+def with_transitions(model: ClassModel, texts: DataFrame) -> ClassModel:
+    """The model with the transitions of the training rows of ``in_classes``: counted anew, as words have left their groups."""
+    pairs = class_bigrams(texts)
+    share = (model.sizes + 1) / (model.sizes.sum() + CLASSES + 1)
+    model.transitions = np.log10((pairs + PRIOR * share) / (pairs.sum(axis=1, keepdims=True) + PRIOR))
+    return model
+
+
 # --- scoring ---
 
 _LINES = "word binary, row long, doc_id long, held_out boolean, tf long, class int, n_tokens long, known long, base double, score double, classes binary, places binary"
@@ -470,7 +500,7 @@ def in_classes(source: DataFrame, model: ClassModel, counts: DataFrame) -> DataF
         end_base = base_of(m.end_count)
         row = partition_number() << 40
         for ids, texts in gather(frames):
-            out: dict[str, list] = {f.name: [] for f in schema}
+            lines, rare = [], []  # a line for each text, and for each of its words beyond the lexicon
             for doc_id, text in zip(ids, texts):
                 words = words_of(text)
                 place = np.fromiter(map(index.get, words, repeat(-1)), np.int64, len(words))
@@ -478,23 +508,29 @@ def in_classes(source: DataFrame, model: ClassModel, counts: DataFrame) -> DataF
                 classes = np.empty(len(words) + 2, np.uint8)
                 classes[0] = classes[-1] = CLASSES
                 classes[1:-1] = cls[place] if len(cls) else 0
-                rare: dict[bytes, list[int]] = {}
+                beyond: dict[bytes, list[int]] = {}
                 for i in np.flatnonzero(place < 0).tolist():
-                    rare.setdefault(words[i], []).append(i + 1)
-                    classes[i + 1] = m.classes[ending_unit(words[i])]
-                held = tested_id(doc_id)
-                line = (
-                    END + row.to_bytes(8, "big"), row, doc_id, held, 0, 0, len(words) + 1, len(hot) + (m.end_count > 0),
-                    float(base[hot].sum() + end_base), float(emission[hot].sum()), pack(classes), None,
+                    beyond.setdefault(words[i], []).append(i + 1)
+                for w, at in beyond.items():
+                    group = int(m.classes[ending_unit(w)])
+                    classes[at] = group
+                    rare.append((w, row, len(at), group, array("i", at).tobytes()))
+                lines.append(
+                    (END + row.to_bytes(8, "big"), row, doc_id, tested_id(doc_id), len(words) + 1, len(hot) + (m.end_count > 0),
+                     float(base[hot].sum() + end_base), float(emission[hot].sum()), pack(classes))
                 )
-                for column, value in zip(out.values(), line):
-                    column.append(value)
-                for w, at in rare.items():
-                    line = (w, row, None, None, len(at), int(classes[at[0]]), 0, 0, 0.0, 0.0, None, np.array(at, np.int32).tobytes())
-                    for column, value in zip(out.values(), line):
-                        column.append(value)
                 row += 1
-            yield batch_of(out, schema)
+            n, none = len(lines), [None] * len(rare)
+            word, number, doc, held, size, known, based, score, packed = (list(c) for c in zip(*lines))
+            other, of_row, tf, group, at = (list(c) for c in zip(*rare)) if rare else ([], [], [], [], [])
+            nothing = [0] * len(rare)
+            yield batch_of(
+                {
+                    "word": word + other, "row": number + of_row, "doc_id": doc + none, "held_out": held + none, "tf": [0] * n + tf,
+                    "class": [0] * n + group, "n_tokens": size + nothing, "known": known + nothing, "base": based + nothing,
+                    "score": score + nothing, "classes": packed + none, "places": [None] * n + at,
+                }, schema,
+            )
 
     def placed(frames: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
@@ -508,7 +544,7 @@ def in_classes(source: DataFrame, model: ClassModel, counts: DataFrame) -> DataF
             yield pa.RecordBatch.from_arrays([*kept, pa.array(classes, pa.binary())], schema=out_schema)
 
     rare = counts.where(F.col("c") < model.words.least).withColumnRenamed("word", "known_word")
-    met = source.mapInArrow(lines, _LINES).join(rare, F.col("word") == F.col("known_word"), "left")
+    met = source.mapInArrow(trimmed(lines), _LINES).join(rare, F.col("word") == F.col("known_word"), "left")
     number = lambda values: F.element_at(F.array(*[F.lit(float(x)) for x in values]), F.coalesce("cls", "class") + 1)
     emitted = F.when(F.col("c").isNull(), number(model.unseen)).otherwise(F.log10((F.col("c") - number(model.discounts)) / number(np.maximum(model.sizes, 1))))
     base = F.log10((F.coalesce("c", F.lit(0)) + 0.5) / scale)
@@ -520,7 +556,7 @@ def in_classes(source: DataFrame, model: ClassModel, counts: DataFrame) -> DataF
         F.first("classes", ignorenulls=True).alias("classes"),
         F.collect_list(F.when(F.col("cls").isNotNull(), F.struct("cls", "places"))).alias("told"),
     )
-    return sums.drop("row").mapInArrow(placed, _TEXTS)
+    return sums.drop("row").mapInArrow(trimmed(placed), _TEXTS)
 
 
 def class_bigrams(texts: DataFrame) -> np.ndarray:
@@ -537,7 +573,7 @@ def class_bigrams(texts: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(sums[there])], names=["pair", "n"])
 
     out = np.zeros(width * width)
-    for r in texts.select("classes").mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+    for r in texts.select("classes").mapInArrow(trimmed(count), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
         out[r["pair"]] = r["n"]
     return out.reshape(width, width)
 
@@ -548,7 +584,12 @@ def score(docs: DataFrame, model: ClassModel, counts: DataFrame) -> DataFrame:
     A null or empty text is its end alone. Rows that repeat a doc_id are scored each for itself; a row without one is
     not held out. Without training texts every token is unseen.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model.transitions)
+    return with_class_score(in_classes(texts_as_bytes(docs), model, counts), model)
+
+
+def with_class_score(texts: DataFrame, model: ClassModel) -> DataFrame:
+    """The rows of ``in_classes`` with the transitions of their classes in the score."""
+    shared = texts.sparkSession.sparkContext.broadcast(model.transitions)
     ddl = _TEXTS.removesuffix(", classes binary")
     at = ddl.split(", ").index("score double")
 
@@ -560,11 +601,13 @@ def score(docs: DataFrame, model: ClassModel, counts: DataFrame) -> DataFrame:
                 total.append(emitted + float(shared.value[own[:-1], own[1:]].sum()))
             yield frame.set_column(at, "score", pa.array(total, pa.float64())).drop_columns(["classes"])
 
-    scored = in_classes(texts_as_bytes(docs), model, counts).mapInArrow(add, ddl)
+    scored = texts.mapInArrow(trimmed(add), ddl)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model, counts = train(in_training(docs))
-    return score(docs, model, counts)
+    model, counts = fit_classes(in_training(docs))
+    # All texts meet their words' counts and classes once: the training ones among them tell the transitions.
+    texts = save(in_classes(texts_as_bytes(docs), model, counts), "texts-in-classes")
+    return with_class_score(texts, with_transitions(model, texts.where("not held_out")))
