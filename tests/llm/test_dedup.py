@@ -95,6 +95,15 @@ def test_bytes_of_hot_leads(spark, monkeypatch):
     assert sorted((tuple(r) for r in got), key=repr) == brute_bytes(pairs, 24)
 
 
+def test_bytes_of_many_leads_in_a_range(spark):
+    # Each passage stands in three texts, and a range holds far more contexts than a task compares at a time.
+    rnd = random.Random(11)
+    some = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
+    pairs = [(3 * i + j, some(30) + passage + some(30)) for i, passage in enumerate(some(40) for _ in range(6000)) for j in range(3)]
+    got = suffix_dedup.digest(docs_of(spark, with_clashes(pairs)).repartition(4), 40).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute_bytes(pairs, 40)
+
+
 def test_bytes_empty(spark):
     assert suffix_dedup.digest(docs_of(spark, [])).count() == 0
 
