@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskloom.operators.genotypes import Genotypes
 from riskloom.operators.tiles import TiledGenotypes
@@ -37,6 +38,8 @@ def read_tiles(spark: SparkSession, path: str) -> TiledGenotypes:
         raise EmptyInputError(f"no complete tiles at {path}")
     sizes = sizes.first()
     tiles = read_contig_table(spark, f"{path}/tiles")
+    if "cells" not in tiles.columns:  # written when all tiles were matrices
+        tiles = tiles.withColumn("cells", F.lit(None).cast("binary"))
     members, variants = spark.read.parquet(f"{path}/members"), spark.read.parquet(f"{path}/variants")
     return TiledGenotypes(members, variants, tiles, sizes["block_samples"], sizes["run_variants"])
 

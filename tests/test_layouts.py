@@ -126,6 +126,22 @@ def test_tiles_report_the_listed_samples(spark, study, expected, tmp_path):
     assert as_dict(tiles.score_tiled(tiled, loci, listed)) == as_dict(scoring.score_models(genotypes, loci, listed))
 
 
+def test_few_calls_make_small_tiles(spark, study, expected, tmp_path):
+    # 30 variants by 400 samples with 23 people's calls spread among them: no tile holds half of its cells
+    genotypes, weights = study
+    strangers = spark.range(377).select(F.concat(F.lit("p"), F.col("id") + 1000).alias("s"))
+    wide = Genotypes(genotypes.samples.union(strangers), genotypes.variants, genotypes.calls.union(genotypes.calls))
+    tiled = layouts.write_tiles(tiles.to_tiles(wide, 400, 30), str(tmp_path))
+    sizes = tiled.tiles.select(F.length("cells").alias("n"), (F.length("cells") + F.length("a1") + F.length("a2")).alias("bytes")).collect()
+    assert sum(r["n"] for r in sizes) == 4 * genotypes.calls.count()
+    assert all(r["bytes"] < 30 * 400 for r in sizes)
+    loci = scoring.scoring_loci(weights, genotypes.variants)
+    got = as_dict(tiles.score_tiled(tiled, loci))
+    assert {k: v for k, v in got.items() if int(k[1][1:]) < 1000} == expected
+    assert {v for k, v in got.items() if int(k[1][1:]) >= 1000} == {(0.0, 0, None)}
+    assert sorted(map(tuple, tiles.from_tiles(tiled).collect()), key=repr) == sorted(map(tuple, genotypes.calls.collect()), key=repr)
+
+
 def test_tiles_are_dealt_and_read_once(spark, study, tmp_path):
     genotypes, weights = study
     cut = tiles.to_tiles(genotypes, 7, 8)
