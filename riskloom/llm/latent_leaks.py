@@ -2,9 +2,9 @@
 
 The features are the words of the benchmark, weighted by their inverse document frequency over all documents. Words outside of it
 weigh as much as the items' own do on average, so that no weight grows with the number of documents alone. A
-randomised SVD, by subspace iteration whose products are summed over the tasks' rows, finds the latent space of the TF-IDF vectors of
-the benchmark's items and of passages from a bounded sample of documents. Items count together as much as the
-sample, so that the space keeps their differences. Items of which the space holds too little, as there are more of them than
+randomised SVD, by subspace iteration, finds the latent space of the TF-IDF vectors of the benchmark's items and of all passages of
+all documents: these enter by the products of every two words' columns, summed over all rows in one pass and kept in slices.
+Items count together as much as the passages, so that the space keeps their differences. Items of which the space holds too little, as there are more of them than
 dimensions, add their own vectors to it until every item keeps ``KEPT`` of its length.
 
 Every document is read as overlapping passages of several lengths. A passage with too little of its weight on words of
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import (
-    U64, Words, arrow_schema, batch_of, gather, pack, save, table, texts_as_bytes, unpack,
+    U64, Words, arrow_schema, batch_of, gather, pack, save, table, texts_as_bytes, trimmed, unpack,
 )
 
 BLOCK_ITEMS = 1000
@@ -35,9 +35,12 @@ RANK = 256
 KEPT = 0.95
 EXTRA = 16
 ROUNDS = 3
-# Documents, about, whose passages take part in the fit; and words of such a passage.
-FIT_DOCS = 3000
+# Words of a passage that takes part in the fit.
 FIT_WORDS = 40
+# Products of two words' columns that a task sums at a time, and that a slice of the sums holds, about; and pairs made at a time.
+BAND_CELLS = 1 << 24
+SLICE_CELLS = 1 << 16
+PAIRS_AT_ONCE = 1 << 20
 COSINE = 0.4
 # Least share of a passage's squared length on the benchmark's words: a cosine's square is not above it.
 MASS = COSINE * COSINE
@@ -135,12 +138,12 @@ class Space:
 
 
 def fit(source: DataFrame, items: Items) -> Space:
-    """``source``: (doc_id, data). Document frequencies cover all rows; the SVD's passages come from about ``FIT_DOCS`` rows."""
+    """``source``: (doc_id, data). Document frequencies and the SVD's passages cover all rows."""
     spark = source.sparkSession
     shared = spark.sparkContext.broadcast(items)
     total = source.count()
-    part = int(min(1.0, FIT_DOCS / max(total, 1)) * (1 << 32))
-    schema = arrow_schema(spark, "term int, df long, passages binary, sizes binary")
+    ddl = "term int, df long, passages binary, sizes binary"
+    schema = arrow_schema(spark, ddl)
 
     def read(frames: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
@@ -148,26 +151,26 @@ def fit(source: DataFrame, items: Items) -> Space:
         for _, texts in gather(frames):
             words = words_of(texts)
             slots = own.slots(words.hashes)
-            known = slots >= 0
+            known = np.flatnonzero(slots >= 0)
             code = np.unique(words.doc[known] * len(own.terms) + slots[known])
             df += np.bincount(code % len(own.terms), minlength=len(own.terms))
-            held: list[np.ndarray] = []
-            for start, n in zip(words.starts.tolist(), words.counts.tolist()):
-                # the row's own words decide, not its place
-                if n and int(words.hashes[start : start + n].sum()) >> 32 < part:
-                    held += [slots[a : min(a + FIT_WORDS, start + n)] for a in range(start, start + n, FIT_WORDS)]
-            if held:
-                yield batch_of({"term": [-1], "df": [0], "passages": [pack(np.concatenate(held).astype(np.int32))], "sizes": [pack(np.array([len(h) for h in held], np.int32))]}, schema)
+            # a document's passages follow one another; of each, the number of known words, and these
+            passages = -(-words.counts // FIT_WORDS)
+            doc = words.doc[known]
+            passage = (np.cumsum(passages) - passages)[doc] + (known - words.starts[doc]) // FIT_WORDS
+            sizes = np.bincount(passage, minlength=int(passages.sum()))
+            if len(sizes):
+                yield batch_of({"term": [-1], "df": [0], "passages": [pack(slots[known].astype(_kind(len(own.terms))))], "sizes": [pack(sizes.astype(np.uint8))]}, schema)
         there = np.flatnonzero(df)
         yield batch_of({"term": there.tolist(), "df": df[there].tolist(), "passages": [None] * len(there), "sizes": [None] * len(there)}, schema)
 
-    seen = save(source.mapInArrow(read, "term int, df long, passages binary, sizes binary"), "terms")
+    seen = save(source.mapInArrow(trimmed(read), ddl), "terms")
     df = np.zeros(len(items.terms))
     for r in seen.where("term >= 0").groupBy("term").agg(F.sum("df").alias("df")).collect():  # a row for each word of the block
         df[r["term"]] = r["df"]
     weights, foreign = term_weights(df, total, [items.slots(w) for w in items.words])
-    sample = seen.where("term < 0").select("passages", "sizes")
-    return Space(items, weights, foreign, _near(_svd(sample, items, weights), items, weights))
+    passages = seen.where("term < 0").select("passages", "sizes")
+    return Space(items, weights, foreign, _near(_svd(passages, items, weights), items, weights))
 
 
 def term_weights(df: np.ndarray, total: int, slots: list[np.ndarray]) -> tuple[np.ndarray, float]:
@@ -179,32 +182,124 @@ def term_weights(df: np.ndarray, total: int, slots: list[np.ndarray]) -> tuple[n
     return weights, float(np.sqrt((weights[np.concatenate(slots)] ** 2).mean()))
 
 
-def _svd(sample: DataFrame, items: Items, weights: np.ndarray) -> np.ndarray:
+def _kind(n_terms: int) -> type:
+    return np.uint16 if n_terms <= 1 << 16 else np.int32
+
+
+def _row_starts(n: int) -> np.ndarray:
+    """Where each row begins in the upper triangle, with its diagonal, of an n x n matrix; and its end."""
+    rows = np.arange(n + 1)
+    return rows * n - rows * (rows - 1) // 2
+
+
+def _cut_rows(starts: np.ndarray, cells: int) -> list[tuple[int, int]]:
+    """Runs of rows of about ``cells`` cells."""
+    wanted = np.searchsorted(starts, np.arange(0, starts[-1], cells))
+    cuts = np.unique(np.concatenate((wanted, [len(starts) - 1]))).tolist()
+    return list(zip(cuts, cuts[1:]))
+
+
+def _add_products(band: np.ndarray, rows: tuple[int, int], starts: np.ndarray, sizes: np.ndarray, slots: np.ndarray, weights: np.ndarray) -> None:
+    """Add the products of every two terms' columns of the passages' normed rows; of those in ``rows``, the upper triangle."""
+    n_terms = len(weights)
+    code, times = np.unique(np.repeat(np.arange(len(sizes)), sizes) * n_terms + slots, return_counts=True)
+    passage, term = code // n_terms, code % n_terms
+    value = times * weights[term]
+    value /= np.sqrt(np.bincount(passage, value * value, len(sizes)))[passage]
+    held = np.bincount(passage, minlength=len(sizes))
+    ends = np.cumsum(held)[passage]
+    first = np.flatnonzero((term >= rows[0]) & (term < rows[1]))
+    each = ends[first] - first  # terms ascend within a passage
+    cell = starts[term[first]] - starts[rows[0]] - term[first]
+    upto = np.cumsum(each)
+    cuts = np.searchsorted(upto, np.arange(PAIRS_AT_ONCE, upto[-1], PAIRS_AT_ONCE)).tolist() if len(upto) else []
+    for x, y in zip([0, *cuts], [*cuts, len(first)]):
+        n = each[x:y]
+        other = np.arange(n.sum()) + np.repeat(first[x:y] - np.cumsum(n) + n, n)
+        np.add.at(band, np.repeat(cell[x:y], n) + term[other], np.repeat(value[first[x:y]], n) * value[other])
+
+
+def _products(passages: DataFrame, weights: np.ndarray) -> DataFrame:
+    """(first, data): the upper triangle of transpose(A) A for the passages' rows A, in slices of whole rows, written.
+
+    The terms stand in order of their weight, so that the cells of frequent ones lie together.
+    """
+    spark = passages.sparkSession
+    n_terms = len(weights)
+    starts = _row_starts(n_terms)
+    order = np.argsort(weights, kind="stable")
+    shared = spark.sparkContext.broadcast((weights[order], np.argsort(order), starts))
+    ddl = "first int, data binary"
+    schema = arrow_schema(spark, ddl)
+    # a task that has met some text sends every slice once: few tasks, whatever the input
+    few = passages.coalesce(2 * spark.sparkContext.defaultParallelism)
+    parts = None
+    for rows in _cut_rows(starts, BAND_CELLS):
+
+        def sums(frames: Iterable[pa.RecordBatch], rows=rows) -> Iterator[pa.RecordBatch]:
+            weights, place, starts = shared.value
+            base = starts[rows[0]]
+            band = np.zeros(starts[rows[1]] - base)
+            for frame in frames:
+                for slots, sizes in zip(frame.column("passages").to_pylist(), frame.column("sizes").to_pylist()):
+                    _add_products(band, rows, starts, unpack(sizes, np.uint8), place[unpack(slots, _kind(len(weights)))], weights)
+            for a, b in _cut_rows(starts[rows[0] : rows[1] + 1] - base, SLICE_CELLS):
+                part = band[starts[rows[0] + a] - base : starts[rows[0] + b] - base]
+                if part.any():
+                    yield batch_of({"first": [rows[0] + a], "data": [pack(part)]}, schema)
+
+        found = few.mapInArrow(trimmed(sums), ddl)
+        parts = found if parts is None else parts.unionByName(found)
+
+    def add(frames: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, total = None, None
+        for frame in frames:
+            for here, data in zip(frame.column("first").to_pylist(), frame.column("data").to_pylist()):
+                if first is not None and here != first:
+                    yield batch_of({"first": [first], "data": [pack(total)]}, schema)
+                    total = None
+                part = unpack(data, np.float64)
+                first, total = here, part.copy() if total is None else total + part
+        if first is not None:
+            yield batch_of({"first": [first], "data": [pack(total)]}, schema)
+
+    return save(parts.repartition("first").sortWithinPartitions("first").mapInArrow(trimmed(add), ddl), "term-products")
+
+
+def _svd(passages: DataFrame, items: Items, weights: np.ndarray) -> np.ndarray:
     """Orthonormal basis, terms x rank: randomised subspace iteration; the driver holds as many numbers."""
-    spark = sample.sparkSession
+    spark = passages.sparkSession
     n_terms, n_items = len(weights), len(items.ids)
     width = min(n_terms, RANK + EXTRA)
     rng = np.random.default_rng(7)
     q = np.linalg.qr(rng.standard_normal((n_terms, width)))[0]
     slots = [items.slots(w) for w in items.words]
-    n_passages = _passages(sample)
+    n_passages = _passages(passages)
     own = _vector_rows(slots, weights, np.full(n_items, np.sqrt(max(1.0, n_passages / max(1, n_items)))))
     schema = arrow_schema(spark, "slice int, data binary")
     step = 512
     ddl = "slice int, data binary"
+    products, order = _products(passages, weights), np.argsort(weights, kind="stable")
 
     def times(q: np.ndarray) -> np.ndarray:
-        shared = spark.sparkContext.broadcast((q, weights))
+        shared = spark.sparkContext.broadcast(q[order])
 
-        def products(frames: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            basis, w = shared.value
+        def multiplied(frames: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            basis = shared.value
+            n = len(basis)
+            starts = _row_starts(n)
             out = np.zeros_like(basis)
             for frame in frames:
-                for passages, sizes in zip(frame.column("passages").to_pylist(), frame.column("sizes").to_pylist()):
-                    cuts = np.cumsum(unpack(sizes, np.int32))[:-1]
-                    parts = np.split(unpack(passages, np.int32), cuts)
-                    out += _product(_vector_rows(parts, w, np.ones(len(parts))), len(parts), basis)
-            slices = range(0, len(out), step)
+                for first, data in zip(frame.column("first").to_pylist(), frame.column("data").to_pylist()):
+                    cells = unpack(data, np.float64)
+                    last = int(np.searchsorted(starts, starts[first] + len(cells)))
+                    block = np.zeros((last - first, n - first))
+                    for r in range(first, last):
+                        block[r - first, r - first :] = cells[starts[r] - starts[first] : starts[r + 1] - starts[first]]
+                    out[first:last] += block @ basis[first:]
+                    block[np.arange(last - first), np.arange(last - first)] = 0.0  # the other triangle has no diagonal
+                    out[first:] += block.T @ basis[first:last]
+            slices = range(0, n, step)
             yield batch_of({"slice": [a // step for a in slices], "data": [pack(out[a : a + step]) for a in slices]}, schema)
 
         def add(group: pa.Table) -> pa.Table:
@@ -212,8 +307,8 @@ def _svd(sample: DataFrame, items: Items, weights: np.ndarray) -> np.ndarray:
             return pa.Table.from_batches([batch_of({"slice": [group.column("slice")[0].as_py()], "data": [pack(total)]}, schema)])
 
         out = _product(own, n_items, q)
-        for r in sample.mapInArrow(products, ddl).groupBy("slice").applyInArrow(add, ddl).collect():
-            out[r["slice"] * step : (r["slice"] + 1) * step] += unpack(r["data"], np.float64).reshape(-1, q.shape[1])
+        for r in products.mapInArrow(multiplied, ddl).groupBy("slice").applyInArrow(add, ddl).collect():
+            out[order[r["slice"] * step : (r["slice"] + 1) * step]] += unpack(r["data"], np.float64).reshape(-1, q.shape[1])
         return out
 
     for _ in range(ROUNDS):
@@ -254,12 +349,12 @@ def _near(basis: np.ndarray, items: Items, weights: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(latent.T / length.astype(np.float32))
 
 
-def _passages(sample: DataFrame) -> int:
+def _passages(passages: DataFrame) -> int:
     def count(frames: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = sum(len(unpack(s, np.int32)) for frame in frames for s in frame.column("sizes").to_pylist())
+        n = sum(len(unpack(s, np.uint8)) for frame in frames for s in frame.column("sizes").to_pylist())
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
 
-    return sample.mapInArrow(count, "n long").agg(F.sum("n")).first()[0] or 0
+    return passages.mapInArrow(count, "n long").agg(F.sum("n")).first()[0] or 0
 
 
 # --- search ---

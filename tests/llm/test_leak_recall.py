@@ -102,3 +102,33 @@ def test_no_passage_is_left_out_for_repeated_words(many_items, search, monkeypat
     everything = set(search.candidates(words, slots))
     assert {x[:4] for x in found} == {x[:4] for x in everything}
     assert found
+
+
+def test_the_space_is_fitted_on_all_documents(spark, monkeypatch):
+    rnd = random.Random(3)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rnd.choice(words) for _ in range(rnd.randint(0, 90))) for _ in range(4000)]
+    items = latent_leaks.Items.of([(i, " ".join(words[5 * i : 5 * i + 5])) for i in range(8)])
+    seen = {}
+    monkeypatch.setattr(latent_leaks, "_svd", lambda passages, items, weights: seen.update(rows=passages.collect(), df=passages, weights=weights) or np.eye(len(weights)))
+    source = spark.createDataFrame([(i, t.encode()) for i, t in enumerate(texts)], "doc_id long, data binary").repartition(5)
+    latent_leaks.fit(source, items)
+    each = [t.split()[a : a + latent_leaks.FIT_WORDS] for t in texts for a in range(0, len(t.split()), latent_leaks.FIT_WORDS)]
+    assert sum(len(latent_leaks.unpack(r["sizes"], np.uint8)) for r in seen["rows"]) == len(each)
+    # the products, in several bands and slices, are those of all passages' rows
+    monkeypatch.setattr(latent_leaks, "BAND_CELLS", 300)
+    monkeypatch.setattr(latent_leaks, "SLICE_CELLS", 70)
+    n = len(items.terms)
+    rows = np.zeros((len(each), n))
+    for row, passage in zip(rows, each):
+        slots = items.slots(latent_leaks.words_of([" ".join(passage).encode()]).hashes)
+        row += np.bincount(slots[slots >= 0], minlength=n) * seen["weights"]
+    rows = rows[:, np.argsort(seen["weights"], kind="stable")]
+    rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
+    got, starts = np.zeros((n, n)), latent_leaks._row_starts(n)
+    for r in latent_leaks._products(seen["df"], seen["weights"]).collect():
+        cells, at = latent_leaks.unpack(r["data"], np.float64), r["first"]
+        while len(cells):
+            got[at, at:], cells, at = cells[: n - at], cells[n - at :], at + 1
+    assert starts[-1] == n * (n + 1) // 2
+    np.testing.assert_allclose(got, np.triu(rows.T @ rows), rtol=1e-9, atol=1e-12)
