@@ -5,13 +5,13 @@ probability of its character n-grams (1 to 4 letters, with word ends) and of the
 to ``BUCKETS``; the mean is weighted by the square root of the word's length. The best sequence of languages, where each change
 costs ``SWITCH``, labels every word; spans are runs of one label.
 
-Counts come from at most about ``FIT_ROWS`` distinct training texts of each language, chosen by a hash, read whole. The sample's
-bound is a parameter of the fit; prediction covers all rows.
+Counts come from all distinct training texts of each language, read whole; prediction covers all rows.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.common import U64, arrow_schema, batch_of, limit_frames, mix, pack, rolling, table, trimmed, unpack
 
-FIT_ROWS = 1500
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3, 4)
 SWITCH = 6.0
@@ -34,6 +33,8 @@ CACHE_ENTRIES = 400_000
 # Texts that are labelled, and new words that are scored, at a time.
 TEXTS_AT_ONCE = 300
 WORDS_AT_ONCE = 8192
+# Distinct words of all languages that a task of the fit counts before it splits them into n-grams.
+FIT_WORDS = 100_000
 
 # First code points of script ranges; letters outside all of them are "other".
 SCRIPTS = (
@@ -209,8 +210,11 @@ def predict(model: Model, texts: list[str]) -> list[tuple[str, float, list[tuple
     return out
 
 
-def fit(training: DataFrame, rows_per_language: int = FIT_ROWS) -> Model:
-    """Counts from a bounded sample of the distinct (text, lang); rows without either are left out."""
+def fit(training: DataFrame, rows_per_language: int | None = None) -> Model:
+    """Counts from the distinct (text, lang); rows without either are left out.
+
+    All texts count, unless a caller gives a number of texts of each language, about, which are then chosen by a hash.
+    """
     spark = training.sparkSession
     limit_frames(spark)
     known = training.where("text is not null and lang is not null").select("lang", "text")
@@ -219,22 +223,34 @@ def fit(training: DataFrame, rows_per_language: int = FIT_ROWS) -> Model:
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros((0, BUCKETS)), np.zeros((0, len(SCRIPT_NAMES))))
-    # the share of each language's texts, by the text's hash: the same texts whatever the partitions, and copies once
-    share = F.element_at(F.create_map(*[x for lang in languages for x in (F.lit(lang), F.lit(min(1.0, rows_per_language / sizes[lang])))]), F.col("lang"))
-    sample = known.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share * 1_000_000).distinct()
+    if rows_per_language is not None:
+        # the share of each language's texts, by the text's hash: the same texts whatever the partitions, and copies once
+        share = F.element_at(F.create_map(*[x for lang in languages for x in (F.lit(lang), F.lit(min(1.0, rows_per_language / sizes[lang])))]), F.col("lang"))
+        known = known.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share * 1_000_000)
     schema = arrow_schema(spark, "lang string, counts binary, scripts binary")
 
     def count(frames: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, list[np.ndarray]] = {}
+        met: dict[str, Counter] = {}
+
+        def settle() -> None:
+            for lang, found in met.items():
+                own = sums.setdefault(lang, [np.zeros(BUCKETS, np.int64), np.zeros(len(SCRIPT_NAMES), np.int64)])
+                words, times = list(found), np.fromiter(found.values(), np.int64, len(found))
+                for at in range(0, len(words), WORDS_AT_ONCE):
+                    grams, n = grams_of(words[at : at + WORDS_AT_ONCE]), times[at : at + WORDS_AT_ONCE]
+                    own[0] += np.bincount(grams.buckets, n[grams.word], BUCKETS).astype(np.int64)
+                    own[1] += n @ grams.scripts
+            met.clear()
+
         for frame in frames:
             for lang, text in zip(frame.column("lang").to_pylist(), frame.column("text").to_pylist()):
                 words = words_of(text)
-                if not words:
-                    continue
-                grams = grams_of(words)
-                own = sums.setdefault(lang, [np.zeros(BUCKETS, np.int64), np.zeros(len(SCRIPT_NAMES), np.int64)])
-                own[0] += np.bincount(grams.buckets, minlength=BUCKETS)
-                own[1] += grams.scripts.sum(axis=0)
+                if words:
+                    met.setdefault(lang, Counter()).update(words)
+            if sum(map(len, met.values())) > FIT_WORDS:
+                settle()
+        settle()
         yield batch_of({"lang": list(sums), "counts": [pack(v[0]) for v in sums.values()], "scripts": [pack(v[1]) for v in sums.values()]}, schema)
 
     def add(group: pa.Table) -> pa.Table:
@@ -242,7 +258,7 @@ def fit(training: DataFrame, rows_per_language: int = FIT_ROWS) -> Model:
         return pa.Table.from_batches([batch_of({"lang": [group.column("lang")[0].as_py()], "counts": [pack(total[0])], "scripts": [pack(total[1])]}, schema)])
 
     names = "lang string, counts binary, scripts binary"
-    summed = sample.mapInArrow(trimmed(count), names).groupBy("lang").applyInArrow(add, names).collect()  # languages x buckets numbers
+    summed = known.distinct().mapInArrow(trimmed(count), names).groupBy("lang").applyInArrow(add, names).collect()  # languages x buckets numbers
     counts, scripts = np.zeros((len(languages), BUCKETS)), np.zeros((len(languages), len(SCRIPT_NAMES)))
     for r in summed:
         counts[languages.index(r["lang"])] = unpack(r["counts"], np.int64)

@@ -71,3 +71,16 @@ def test_a_language_of_copies_is_learned(spark):
     model, once = lid.fit(training, 5), lid.fit(training.distinct(), 5)
     assert model.uses.any(axis=1).all() and np.array_equal(model.log_p, once.log_p)
     assert lid.predict(model, ["кот на столе"])[0][0] == "ru"
+
+
+def test_all_training_texts_count(spark):
+    rnd = np.random.default_rng(4)
+    letters = {"aa": list("abcdefg"), "bb": list("абвгдеж")}
+    rows = [(" ".join("".join(rnd.choice(own, 4)) for _ in range(3)), lang) for lang, own in letters.items() for _ in range(2500)]
+    model = lid.fit(spark.createDataFrame(rows + rows[:400], "text string, lang string").repartition(6))
+    counts, scripts = np.zeros((2, lid.BUCKETS)), np.zeros((2, len(lid.SCRIPT_NAMES)))
+    for text, lang in set(rows):
+        grams = lid.grams_of(lid.words_of(text))
+        counts[sorted(letters).index(lang)] += np.bincount(grams.buckets, minlength=lid.BUCKETS)
+        scripts[sorted(letters).index(lang)] += grams.scripts.sum(axis=0)
+    assert np.array_equal(model.log_p, lid.Model(sorted(letters), counts, scripts).log_p)
