@@ -1,16 +1,18 @@
 """Documents to packed sequences: language ID, near duplicates, repeated passages, benchmark leaks, packing.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written and read again as the next one's
-documents. All but the last return the columns of ``docs``.
+documents; the tables it made on the way are deleted then. All but the last return the columns of ``docs``.
 """
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import language_id, latent_leaks, ngram_join, packing, suffix_dedup
-from riskloom.llm.common import quoted, save, table
+from riskloom.llm.common import quoted, save_alone, table
 
 # Near duplicates: five-word shingles, similarity of 0.8 or more.
 SHINGLE_WORDS = 5
@@ -74,5 +76,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = save(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = save_alone(spark, name.replace(" ", "-"), partial(stage, spark, docs, sf_dir))
     return docs

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import (
-    PLACE_IN_BATCH, U64, Words, answers, arrow_schema, batches, exchange, map_rows, pack, rolling, save, small_side, table, text_key,
+    PLACE_IN_BATCH, U64, Words, answers, arrow_schema, batches, exchange, map_rows, pack, rolling, save, save_alone, small_side, table, text_key,
     texts_of, unpack, unused,
 )
 from riskloom.llm.components import components
@@ -102,19 +102,23 @@ def members(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     ``node`` numbers the rows, ``component`` is the least node of a distinct set reachable by links (null for an empty
     set), ``text_key`` is xxhash64 of the text.
     """
-    like = Likeness(num, den)
-    held, nodes, groups = _distinct_sets(docs, k, like)
-    sets = _sets_in_order(held, groups, k, like)
-    entries = save(
-        sets.select("node", "n", F.explode("early").alias("e")).select("node", "n", "e.token", "e.position", "e.largest"), "index"
-    )
-    links = _links(sets, entries, like)
-    labels = groups.join(components(links), groups.rep == F.col("node"), "left").select(
-        "sid", "first_id", F.coalesce("component", "rep").alias("component")
-    )
-    least = labels.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    of_set = save(labels.join(least, "component").select("sid", "component", "component_id"), "components")
-    return save(nodes.join(of_set, "sid", "left").drop("sid"), "members")
+
+    def build() -> DataFrame:
+        like = Likeness(num, den)
+        held, nodes, groups = _distinct_sets(docs, k, like)
+        sets = _sets_in_order(held, groups, k, like)
+        entries = save(
+            sets.select("node", "n", F.explode("early").alias("e")).select("node", "n", "e.token", "e.position", "e.largest"), "index"
+        )
+        links = _links(sets, entries, like)
+        labels = groups.join(components(links), groups.rep == F.col("node"), "left").select(
+            "sid", "first_id", F.coalesce("component", "rep").alias("component")
+        )
+        least = labels.groupBy("component").agg(F.min("first_id").alias("component_id"))
+        of_set = save(labels.join(least, "component").select("sid", "component", "component_id"), "components")
+        return nodes.join(of_set, "sid", "left").drop("sid")
+
+    return save_alone(docs.sparkSession, "members", build)
 
 
 def join(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
@@ -134,13 +138,17 @@ def one_of_each(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
 
     Rows without words are all kept. Of rows that share doc_id and text one is kept, if any is.
     """
-    found = members(docs, k, num, den)
-    order = F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "node")
-    kept = found.where("component is not null").groupBy("component").agg(F.min(order).alias("kept"))
-    rows = found.join(kept, "component").select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), (F.col("node") == F.col("kept.node")).alias("stays")
-    )
-    keys = save(rows.groupBy("_id", "_key").agg(F.max("stays").alias("_stays"), F.count("*").alias("_copies")).where("not _stays or _copies > 1"), "dropped")
+
+    def dropped() -> DataFrame:
+        found = members(docs, k, num, den)
+        order = F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "node")
+        kept = found.where("component is not null").groupBy("component").agg(F.min(order).alias("kept"))
+        rows = found.join(kept, "component").select(
+            F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), (F.col("node") == F.col("kept.node")).alias("stays")
+        )
+        return rows.groupBy("_id", "_key").agg(F.max("stays").alias("_stays"), F.count("*").alias("_copies")).where("not _stays or _copies > 1")
+
+    keys = save_alone(docs.sparkSession, "dropped", dropped)
     # Both sides have names of their own, whatever columns the documents have.
     own, key = docs.alias("own"), keys.alias("key")
     text_hash = F.xxhash64(F.coalesce("own.text", F.lit("")))
