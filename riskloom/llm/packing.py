@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import arrow_schema, batch_of, gather, partition_number, save, table, texts_as_bytes, trimmed
+from riskloom.llm.common import arrow_schema, batch_of, gather, kept_between_tasks, partition_number, save, table, texts_as_bytes, trimmed
 
 WINDOW = 4096
 OPEN_WINDOWS = 16
@@ -214,6 +214,10 @@ def word_tokens(path: str) -> WordTokens:
     return WordTokens(path)
 
 
+# Words stay known from one packing task to the next, but not while a worker does other work.
+kept_between_tasks(word_tokens.cache_clear)
+
+
 # --- placing ---
 
 
@@ -295,7 +299,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, open_windows: in
             rows.extend(_rows(pieces, None, home))
         yield _frame(rows, schema)
 
-    placed = save(texts_as_bytes(docs).mapInArrow(trimmed(first), PIECES), "packed")
+    placed = save(texts_as_bytes(docs).mapInArrow(trimmed(first, keep=True), PIECES), "packed")
     finished = [placed.where("sequence_id is not null").select(*OUT)]
     homes = (placed.agg(F.max("home")).first()[0] or 0) + 1
     level = 1
