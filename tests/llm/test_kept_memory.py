@@ -19,6 +19,7 @@ def test_other_tasks_forget_the_tokenizer():
             yield pa.RecordBatch.from_pydict({"n": [packing.word_tokens.cache_info().currsize]})
 
     first = lambda run: next(iter(run([frame]))).column("n")[0].as_py()
+    packing.word_tokens.cache_clear()  # other tests have used it
     packing.word_tokens(path).ids_of([b"kept before"])
     assert first(common.trimmed(words_known, keep=True)) == 4
     assert first(common.trimmed(other)) == 0
