@@ -17,6 +17,8 @@ from riskloom.llm.common import quoted, save_alone, table
 # Near duplicates: five-word shingles, similarity of 0.8 or more.
 SHINGLE_WORDS = 5
 SIMILARITY = (8, 10)
+# Words of a repeated passage, if they end within the 400 bytes that count else.
+PASSAGE_WORDS = 50
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,11 +46,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without strings of 400 bytes that stand elsewhere too; n_chars follows; texts without a word left go.
+    """Texts without strings of 50 words, or 400 bytes if shorter, that stand elsewhere too; n_chars follows; texts without a word left go.
 
     Null and short texts stay; repeated rows lose the same bytes; an empty table stays empty; columns of any names pass through.
     """
-    return suffix_dedup.without_repeats(docs)
+    return suffix_dedup.without_repeats(docs, words=PASSAGE_WORDS)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

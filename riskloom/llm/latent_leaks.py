@@ -279,7 +279,10 @@ def _svd(passages: DataFrame, items: Items, weights: np.ndarray) -> np.ndarray:
     schema = arrow_schema(spark, "slice int, data binary")
     step = 512
     ddl = "slice int, data binary"
-    products, order = _products(passages, weights), np.argsort(weights, kind="stable")
+    order = np.argsort(weights, kind="stable")
+    # a task sends a row of sums for each term, whatever it has read: so few that together they send no more numbers than they read
+    few = min(2 * spark.sparkContext.defaultParallelism, -(-n_terms // (2 * width)))
+    products = _products(passages, weights).coalesce(max(1, few))
 
     def times(q: np.ndarray) -> np.ndarray:
         shared = spark.sparkContext.broadcast(q[order])

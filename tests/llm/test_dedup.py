@@ -2,11 +2,13 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from riskloom.llm import common, substring_dedup, suffix_dedup
 
 
@@ -144,3 +146,58 @@ def test_exchange(spark):
             keys, pay = common.unpack(row["keys"], np.uint64).tolist(), common.unpack(row["payload"], np.int64).tolist()
             wanted = [total[k] for k in keys] if how == "sum" else [int(least[k] < p) for k, p in zip(keys, pay)]
             assert common.answers(row, how).tolist() == wanted
+
+
+def brute_strings(pairs, length, words):
+    """Bytes covered by a string of ``length`` bytes, or of ``words`` words if these end earlier, that starts elsewhere too."""
+    texts = [(i, (t or "").encode()) for i, t in pairs]
+
+    def strings(t):
+        stops = [m.end() for m in re.finditer(rb"[^\x20\x09-\x0d]+", t)]
+        for p in range(len(t)):
+            ahead = [s for s in stops if s > p][:words]
+            end = min(p + length, ahead[-1] if len(ahead) == words else p + length)
+            if end <= len(t):
+                yield p, end
+
+    seen = Counter(t[p:e] for _, t in texts for p, e in strings(t))
+    out = []
+    for i, t in texts:
+        gone = np.zeros(len(t), bool)
+        for p, e in strings(t):
+            gone[p:e] |= seen[t[p:e]] > 1
+        kept = bytes(b for b, g in zip(t, gone) if not g)
+        out.append((i, len(t), int(gone.sum()), len(common.runs_of(gone)[0]), hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("group", [20_000, 2])
+def test_strings_of_words(spark, group, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "GROUP", group)
+    pairs = corpus(21, 60, 120)
+    got = suffix_dedup.digest(docs_of(spark, with_clashes(pairs)).repartition(4), 40, 9).collect()
+    wanted = brute_strings(pairs, 40, 9)
+    assert sorted((tuple(r) for r in got), key=repr) == wanted
+    assert sum(r[2] for r in wanted) > sum(r[2] for r in brute_bytes(pairs, 40))
+
+
+def test_strings_of_words_across_slices(monkeypatch):
+    rnd = random.Random(3)
+    text = " ".join("abcde"[: rnd.randint(1, 5)] for _ in range(900)).encode()
+    whole = suffix_dedup.Runs([text, b"short", b""], 40, 8, 9)
+    monkeypatch.setattr(suffix_dedup, "SLICE", 64)
+    cut = suffix_dedup.Runs([text, b"short", b""], 40, 8, 9)
+    each = lambda runs: [(d, p, a) for d, f, l, a in zip(runs.doc, runs.first, runs.last, runs.anchor) for p in range(f, l + 1)]
+    assert each(whole) == each(cut) and {d for d, _, _ in each(whole)} == {0}
+
+
+def test_pipeline_drops_short_words_passages(spark):
+    # 60 words of less than 400 bytes
+    rnd = random.Random(5)
+    some = lambda n: " ".join("".join(rnd.choice("abcdefgh") for _ in range(4)) for _ in range(n))
+    passage, own = some(60), [some(40) for _ in range(4)]
+    texts = [f"{own[0]} {passage} {own[1]}", f"{own[2]} {passage}", own[3]]
+    assert len(passage) < suffix_dedup.LENGTH
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"].split() for r in corpus_pipeline.drop_repeated_passages(spark, docs, "").collect()}
+    assert got == {0: own[0].split() + own[1].split(), 1: own[2].split(), 2: own[3].split()}
