@@ -134,8 +134,9 @@ def units_of(words: list[bytes], index: dict[bytes, int]) -> tuple[np.ndarray, n
     """(place in the lexicon or -1, unit) of each word."""
     place = np.fromiter(map(index.get, words, repeat(-1)), np.int64, len(words))
     unit = place.copy()
-    for i in np.flatnonzero((place < 0) | (place >= CLASSED)).tolist():
-        unit[i] = ending_unit(words[i])
+    others = np.flatnonzero((place < 0) | (place >= CLASSED))
+    endings = [words[i][-3:] for i in others.tolist()]
+    unit[others] = CLASSED + np.fromiter(map(zlib.crc32, endings), np.int64, len(endings)) % ENDINGS
     return place, unit
 
 
@@ -321,8 +322,9 @@ BEFORE, TWICE, NOW = WIDTH, 2 * WIDTH, 2 * WIDTH + 1
 HASH_BITS, CODE_BITS = 55, 8
 
 
-def word_hash(word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word, 42) >> (64 - HASH_BITS)
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    found = np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(42)), np.uint64, len(words))
+    return (found >> np.uint64(64 - HASH_BITS)).astype(np.int64)
 
 
 def word_classes(training: DataFrame, counts: DataFrame, words: Lexicon, classes: np.ndarray, pairs: np.ndarray, tokens: int) -> DataFrame:
@@ -352,16 +354,16 @@ def word_classes(training: DataFrame, counts: DataFrame, words: Lexicon, classes
         units = {w: i for i, w in enumerate(shared.value)}
         cells = Cells()
         for _, texts in gather(frames):
-            flat = [END]
+            flat, ends = [END], [0]
             for t in texts:
                 flat += words_of(t)
+                ends.append(len(flat))
                 flat.append(END)
             place, unit = units_of(flat, units)
-            ends = np.array([w == END for w in flat])
-            unit[ends] = END_UNIT
+            place[ends] = unit[ends] = END_UNIT
             cls = classes[unit]
-            at = np.flatnonzero((place < 0) & ~ends)
-            own = np.fromiter((word_hash(flat[i]) for i in at.tolist()), np.int64, len(at))
+            at = np.flatnonzero(place < 0)
+            own = word_hashes([flat[i] for i in at.tolist()])
             number = np.full(len(flat), -1)
             number[at] = own
             twice = own[number[at + 1] == own]

@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from riskloom.llm import class_lm as lm
@@ -251,3 +252,11 @@ def test_no_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).count() == 0
+
+
+def test_hashes_of_words_are_sparks(spark):
+    words = [b"one", b"\xc3\xa9t\xc3\xa9", b"a", b"x" * 90]
+    hashed = F.shiftrightunsigned(F.xxhash64("word"), 64 - class_lm.HASH_BITS)
+    wanted = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "i int, word binary").select("i", hashed.alias("h")).collect()
+    assert class_lm.word_hashes(words).tolist() == [r["h"] for r in sorted(wanted)]
+    assert class_lm.units_of([b"b", *words], {b"b": 3})[1].tolist() == [3, *map(class_lm.ending_unit, words)]
