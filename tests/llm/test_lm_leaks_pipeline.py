@@ -256,7 +256,7 @@ def test_no_documents(spark):
 
 def test_hashes_of_words_are_sparks(spark):
     words = [b"one", b"\xc3\xa9t\xc3\xa9", b"a", b"x" * 90]
-    hashed = F.shiftrightunsigned(F.xxhash64("word"), 64 - class_lm.HASH_BITS)
+    hashed = F.shiftrightunsigned(F.xxhash64("word"), 64 - lm.HASH_BITS)
     wanted = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "i int, word binary").select("i", hashed.alias("h")).collect()
-    assert class_lm.word_hashes(words).tolist() == [r["h"] for r in sorted(wanted)]
-    assert class_lm.units_of([b"b", *words], {b"b": 3})[1].tolist() == [3, *map(class_lm.ending_unit, words)]
+    assert lm.word_hashes(words).tolist() == [r["h"] for r in sorted(wanted)]
+    assert lm.units_of([b"b", *words], {b"b": 3})[1].tolist() == [3, *map(lm.ending_unit, words)]
