@@ -15,7 +15,6 @@ import json
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
-from itertools import accumulate, chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +22,9 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import arrow_schema, batch_of, gather, kept_between_tasks, partition_number, save, table, texts_as_bytes, trimmed
+from riskloom.llm.common import (
+    U64, arrow_schema, batch_of, gather, kept_between_tasks, mix, partition_number, save, table, texts_as_bytes, trimmed,
+)
 
 WINDOW = 4096
 OPEN_WINDOWS = 16
@@ -33,6 +34,12 @@ END_ID = 2
 CACHE_ENTRIES = 400_000
 # Longer words and pieces are not cached, and longer pieces not merged here.
 LONGEST = 64
+# Bytes of words that are looked up together.
+GROUP_BYTES = 1 << 19
+# ASCII white space, and what a byte counts in a string's hash at each of its places.
+WHITE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
+WEIGHTS = mix(np.arange(1, LONGEST + 1, dtype=np.uint64)) | U64(1)
+NO_IDS = np.zeros(0, "<u4")
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary, home long"
@@ -59,8 +66,8 @@ def byte_letters() -> dict[int, str]:
 class Merges:
     """The merges of a byte-level vocabulary with a word end, applied to many pieces at a time.
 
-    Pieces of one length form a matrix. In every step each row joins its leftmost pair of the lowest rank, so all rows
-    that still have a pair stay equally long.
+    The pieces' symbols lie one after the other. In every step each piece joins its leftmost pair of the lowest rank;
+    a piece without such a pair is done.
     """
 
     NONE = np.int32(2**31 - 1)
@@ -75,45 +82,53 @@ class Merges:
         self.joined = np.array([vocabulary[x + y] for x, y in pairs], np.int64)
         order = np.argsort(keys)
         self.keys, self.ranks = keys[order], order.astype(np.int32)
+        # ranks of two bytes, and of two of which the second ends the word
+        self.first = np.stack([self.rank(self.inner[:, None], x[None, :]) for x in (self.inner, self.final)])
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left << 32 | right
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.ranks[at], self.NONE)
 
-    def encode(self, pieces: list[bytes]) -> list[bytes]:
-        out: list = [b""] * len(pieces)
-        lengths = np.array([len(p) for p in pieces])
-        for n in np.unique(lengths).tolist():
-            members = np.flatnonzero(lengths == n)
-            data = np.frombuffer(b"".join([pieces[i] for i in members.tolist()]), np.uint8).reshape(-1, n)
-            symbols = self.inner[data]
-            symbols[:, -1] = self.final[data[:, -1]]
-            ranks = self.rank(symbols[:, :-1], symbols[:, 1:])
-            while len(members):
-                if symbols.shape[1] == 1:
-                    done = np.ones(len(members), bool)
-                else:
-                    at = ranks.argmin(axis=1)
-                    best = ranks[np.arange(len(at)), at]
-                    done = best == self.NONE
-                ended, width = symbols[done].astype("<u4").tobytes(), 4 * symbols.shape[1]
-                for k, i in enumerate(members[done].tolist()):
-                    out[i] = ended[k * width : (k + 1) * width]
-                if done.all():
+    def encode(self, data: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each piece of ``lens`` bytes has, and the ids of all."""
+        counts, (members, lens) = np.zeros(len(lens), np.int64), (np.arange(len(lens)), lens.astype(np.int64))
+        begin = np.cumsum(lens) - lens
+        last = begin + lens - 1
+        symbols = self.inner[data]
+        symbols[last] = self.final[data[last]]
+        ends = np.zeros(len(data), np.int8)
+        ends[last] = 1
+        ranks = np.full(len(data), self.NONE)
+        ranks[:-1] = self.first[ends[1:], data[:-1], data[1:]]
+        ranks[last] = self.NONE
+        ended = []
+        while len(members):
+            best = np.minimum.reduceat(ranks.astype(np.int64) << 32 | np.arange(len(ranks)), begin)
+            done = best >> 32 == self.NONE
+            if done.any():
+                gone = np.repeat(done, lens)
+                counts[members[done]] = lens[done]
+                ended.append((members[done], symbols[gone]))
+                best = (best - np.cumsum(lens * done))[~done]  # places move up
+                members, lens, symbols, ranks = members[~done], lens[~done], symbols[~gone], ranks[~gone]
+                if not len(members):
                     break
-                members, symbols, ranks, at, best = (x[~done] for x in (members, symbols, ranks, at, best))
-                rows, columns = np.arange(len(at)), np.arange(symbols.shape[1] - 1)[None, :]
-                symbols = np.take_along_axis(symbols, columns + (columns > at[:, None]), 1)
-                symbols[rows, at] = self.joined[best]
-                columns = columns[:, :-1]
-                ranks = np.take_along_axis(ranks, columns + (columns >= at[:, None]), 1)
-                before, after = at > 0, at < symbols.shape[1] - 1
-                r, c = rows[before], at[before]
-                ranks[r, c - 1] = self.rank(symbols[r, c - 1], symbols[r, c])
-                r, c = rows[after], at[after]
-                ranks[r, c] = self.rank(symbols[r, c], symbols[r, c + 1])
-        return out
+            at, rank = best & 0xFFFFFFFF, best >> 32
+            symbols[at] = self.joined[rank]
+            kept = np.ones(len(symbols), bool)
+            kept[at + 1] = False
+            symbols, ranks, lens = symbols[kept], ranks[kept], lens - 1
+            at -= np.arange(len(at))  # each piece before has lost one
+            begin = np.cumsum(lens) - lens
+            ranks[at] = self.NONE
+            for left in (at[at > begin] - 1, at[at < begin + lens - 1]):
+                ranks[left] = self.rank(symbols[left], symbols[left + 1])
+        out = np.empty(counts.sum(), "<u4")
+        starts = np.cumsum(counts) - counts
+        for pieces, ids in ended:
+            out[spans(starts[pieces], counts[pieces])] = ids
+        return counts, out
 
 
 class WordTokens:
@@ -128,6 +143,8 @@ class WordTokens:
     PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+| ")
     # Composed characters that lower-case one by one and cannot hold a special token.
     PLAIN = regex.compile(r"[!-;=-~¡-¬®-ÿ]+")
+    PLAIN_ASCII = np.array([0x21 <= b < 0x7F and b != 0x3C for b in range(256)])
+    LETTERS = np.array([bytes([b]).isalpha() for b in range(256)])
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -140,73 +157,165 @@ class WordTokens:
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def merged(self, pieces: list[str]) -> dict[str, bytes]:
-        """The ids of new pieces."""
-        short = [p for p in pieces if len(p) <= LONGEST]
-        out = dict(zip(short, self.merges.encode([p.encode() for p in short])))
-        out.update((p, self.whole(p)) for p in pieces if len(p) > LONGEST)
-        return out
-
-    def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """The ids of new words: of letters only, a piece each; of plain characters, cut into pieces; or as the tokenizer has them."""
-        letters = [w for w in words if w.isalpha()]
-        lowered = [w.decode().lower() for w in letters]
-        mixed, out = [], {}
-        for w in words:
-            if not w.isalpha():
-                if self.PLAIN.fullmatch(w.decode()):
-                    mixed.append(w)
-                else:
-                    out[w] = self.whole(w.decode())
-        parts = self.PIECE.findall(b" ".join(mixed).decode().lower())
-        self.pieces.meet({*lowered, *parts} - {" "}, self.merged)
-        known = self.pieces.young
-        out.update(zip(letters, map(known.__getitem__, lowered)))
-        found = list(map(known.get, parts, repeat(b"")))
-        cuts = [i for i, p in enumerate(parts) if p == " "]
-        out.update(zip(mixed, (b"".join(found[a:b]) for a, b in zip([0, *cuts], [*cuts, len(parts)]))))
-        self.pieces.rest()
-        return out
+    def merged(self, data: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each piece of ``lens`` bytes has, and the ids of all."""
+        short = lens <= LONGEST
+        if short.all():
+            return self.merges.encode(data, lens)
+        return in_order(
+            (np.flatnonzero(short), *self.merges.encode(data[np.repeat(short, lens)], lens[short])),
+            (np.flatnonzero(~short), *flat_ids([self.whole(x.decode()) for x in cut(data[np.repeat(~short, lens)], lens[~short])])),
+        )
+
+    def learn(self, data: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``merged`` of words: of letters only, a piece each; of plain characters, cut into pieces; or as the tokenizer has them."""
+        words, begin = cut(data, lens), np.cumsum(lens) - lens
+        alpha, plain = (np.logical_and.reduceat(kind[data], begin) for kind in (self.LETTERS, self.PLAIN_ASCII))
+        for i in np.flatnonzero(~plain).tolist():
+            plain[i] = self.PLAIN.fullmatch(words[i].decode()) is not None
+        letters, mixed, other = (np.flatnonzero(x) for x in (alpha, plain & ~alpha, ~plain))
+        lowered = b"".join([words[i] for i in letters.tolist()]).lower()
+        text = b" ".join([words[i] for i in mixed.tolist()]).decode().lower()
+        parts = self.PIECE.findall(text)  # all characters of the words, and the blanks between them
+        pieces = np.frombuffer(lowered + text.encode(), np.uint8)
+        sizes = np.fromiter(map(len, parts if text.isascii() else map(str.encode, parts)), np.int64, len(parts))
+        sizes = np.concatenate([lens[letters], sizes])
+        starts = np.cumsum(sizes) - sizes
+        blank = pieces[starts] == 0x20
+        owner = np.concatenate([np.arange(len(letters)), len(letters) + np.cumsum(blank[len(letters) :])])[~blank]
+        counts, ids = self.pieces.ids_of(pieces, starts[~blank], sizes[~blank], self.merged)
+        counts = np.bincount(owner, counts, len(letters) + len(mixed)).astype(np.int64)
+        wholes = flat_ids([self.whole(words[i].decode()) for i in other.tolist()])
+        return in_order((np.concatenate([letters, mixed]), counts, ids), (other, *wholes))
 
     def ids_of(self, texts: list[bytes]) -> list[np.ndarray]:
         """All ids of each text and the end id."""
-        words = [t.split() for t in texts]  # at ASCII white space
-        flat = list(chain.from_iterable(words))
-        self.words.meet(set(flat), self.learn)
-        found = list(map(self.words.young.__getitem__, flat))
-        self.words.rest()
-        end = np.array([END_ID], "<u4").tobytes()
-        stops = list(accumulate(map(len, words)))
-        return [np.frombuffer(b"".join(found[a:b]) + end, "<u4") for a, b in zip([0, *stops], stops)]
+        data = np.frombuffer(b"\n".join([b"", *texts, b""]), np.uint8)
+        apart = WHITE[data]
+        starts, stops = np.flatnonzero(apart[:-1] & ~apart[1:]) + 1, np.flatnonzero(~apart[:-1] & apart[1:]) + 1
+        del apart
+        lens = stops - starts
+        words = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts]))  # before the end of each text
+        size = np.cumsum(np.minimum(lens, LONGEST))
+        cuts = [0, *np.searchsorted(size, np.arange(GROUP_BYTES, size[-1], GROUP_BYTES)).tolist(), len(lens)] if len(lens) else []
+        groups = [self.words.ids_of(data, starts[a:b], lens[a:b], self.learn) for a, b in zip(cuts, cuts[1:])]
+        ids = np.concatenate([NO_IDS, *(g[1] for g in groups)])
+        at = np.concatenate([[0], *(g[0] for g in groups)]).cumsum()[words].tolist()
+        return [np.append(ids[a:b], NO_IDS.dtype.type(END_ID)) for a, b in zip([0, *at], at)]
+
+
+def flat_ids(each: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return np.array([len(x) >> 2 for x in each], np.int64), np.frombuffer(b"".join(each), "<u4")
+
+
+def in_order(*parts: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Of (places, counts, ids): counts by place, and the ids in this order."""
+    places, counts, ids = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(places)
+    return counts[order], ids[spans((np.cumsum(counts) - counts)[order], counts[order])]
+
+
+def cut(data: np.ndarray, lens: np.ndarray) -> list[bytes]:
+    blob, ends = data.tobytes(), np.cumsum(lens).tolist()
+    return [blob[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def spans(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of each span, one after the other."""
+    return np.repeat(starts - (np.cumsum(lens) - lens), lens) + np.arange(lens.sum())
+
+
+class Known:
+    """Strings and their ids, in flat arrays in the order they came. The place of a string is found by its hash."""
+
+    def __init__(self):
+        self.hashes, self.place = np.zeros(0, U64), np.zeros(0, np.int32)  # by hash
+        self.data, self.starts, self.lens = np.zeros(0, np.uint8), np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.ids, self.id_starts, self.counts = NO_IDS, np.zeros(0, np.int32), np.zeros(0, np.int32)
+
+    def __len__(self) -> int:
+        return len(self.lens)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The place of what has each hash, or -1."""
+        if not len(self):
+            return np.full(len(hashes), -1, np.int32)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self) - 1)
+        return np.where(self.hashes[at] == hashes, self.place[at], np.int32(-1))
+
+    def add(self, hashes: np.ndarray, data: np.ndarray, lens: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        """Strings with ascending hashes that are not here yet."""
+        at = np.searchsorted(self.hashes, hashes)
+        self.hashes = np.insert(self.hashes, at, hashes)
+        self.place = np.insert(self.place, at, np.arange(len(self), len(self) + len(lens)))
+        for name, more in (
+            ("starts", len(self.data) + np.cumsum(lens) - lens), ("lens", lens), ("data", data),
+            ("id_starts", len(self.ids) + np.cumsum(counts) - counts), ("counts", counts), ("ids", ids),
+        ):
+            own = getattr(self, name)
+            setattr(self, name, np.concatenate([own, more.astype(own.dtype)]))
+
+    def take(self, place: np.ndarray) -> tuple:
+        """What ``add`` wants besides the hashes."""
+        lens, counts = self.lens[place], self.counts[place]
+        return self.data[spans(self.starts[place], lens)], lens, self.ids[spans(self.id_starts[place], counts)], counts
 
 
 class Generations:
     """A bounded cache: when the young entries are too many they become the old ones, and the old ones go.
 
-    Whatever is met again while it is old becomes young, so frequent entries stay. Long keys are not kept.
+    Whatever is met again while it is old becomes young, so frequent entries stay. Long strings are not kept, nor are
+    those whose hash is that of another: what was found is compared byte by byte.
     """
 
     def __init__(self):
-        self.young: dict = {}
-        self.old: dict = {}
-        self.long: list = []
-
-    def meet(self, keys: set, learn: Callable[[list], dict]) -> None:
-        """Have all keys among the young, by learning those that are not known."""
-        unknown = keys - self.young.keys()
-        again = unknown & self.old.keys()
-        self.young.update((k, self.old[k]) for k in again)
-        unknown -= again
-        self.long = [k for k in unknown if len(k) > LONGEST]
-        self.young.update(learn(list(unknown)))
-
-    def rest(self) -> None:
-        """Forget what is too much; to be called when the entries met were read."""
-        for k in self.long:
-            del self.young[k]
-        self.long = []
+        self.young, self.old = Known(), Known()
+
+    def ids_of(self, data: np.ndarray, starts: np.ndarray, lens: np.ndarray, learn: Callable) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each string data[start : start + len] has, and the ids of all; ``learn`` tells both of new strings."""
+        place = np.full(len(lens), -1)
+        short = lens <= LONGEST
+        if short.all():
+            place = self.meet(data, starts, lens, learn)
+        elif short.any():
+            place[short] = self.meet(data, starts[short], lens[short], learn)
+        at, counts, pool = self.young.id_starts, self.young.counts, self.young.ids
+        if (apart := np.flatnonzero(place < 0)).size:
+            strings = [data[s : s + n].tobytes() for s, n in zip(starts[apart].tolist(), lens[apart].tolist())]
+            distinct = {x: i for i, x in enumerate(dict.fromkeys(strings), len(counts))}
+            place[apart] = [distinct[x] for x in strings]
+            more, ids = learn(np.frombuffer(b"".join(distinct), np.uint8), np.array([*map(len, distinct)]))
+            at = np.concatenate([at, len(pool) + np.cumsum(more) - more])
+            counts, pool = np.concatenate([counts, more]), np.concatenate([pool, ids])
+        counts = counts[place].astype(np.int64)
+        ids = pool[spans(at[place], counts)]
         if len(self.young) > CACHE_ENTRIES:
-            self.old, self.young = self.young, {}
+            self.old, self.young = self.young, Known()
+        return counts, ids
+
+    def meet(self, data: np.ndarray, starts: np.ndarray, lens: np.ndarray, learn: Callable) -> np.ndarray:
+        """The place of each string among the young, where unknown ones are put; -1 if another string has its hash."""
+        lens = lens.astype(np.int32)
+        begin = np.cumsum(lens) - lens
+        inside = spans(np.zeros(len(lens), np.int32), lens).astype(np.int32)
+        letters = data[np.repeat((starts - begin).astype(np.int64), lens) + np.arange(len(inside))]
+        hashes = np.add.reduceat((letters.astype(U64) + U64(1)) * WEIGHTS[inside], begin)
+        distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+        new = np.flatnonzero(self.young.find(distinct) < 0)
+        if len(new):
+            old = self.old.find(distinct[new])
+            again = old >= 0
+            self.young.add(distinct[new[again]], *self.old.take(old[again]))
+            new = new[~again]
+            if len(new):
+                size = lens[first[new]]
+                strings = data[spans(starts[first[new]], size)]
+                counts, ids = learn(strings, size)
+                self.young.add(distinct[new], strings, size, ids, counts)
+        place = self.young.find(distinct)[back]
+        there = np.take(self.young.data, np.repeat(self.young.starts[place], lens) + inside, mode="clip")
+        same = (there == letters).all() and (self.young.lens[place] == lens).all()
+        return place if same else np.where(np.logical_and.reduceat(there == letters, begin) & (self.young.lens[place] == lens), place, np.int32(-1))
 
 
 @lru_cache(maxsize=2)
